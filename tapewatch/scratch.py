@@ -1,0 +1,27 @@
+"""Folders for intermediate tables that every executor can reach."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+PREFIX = "tapewatch"
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder the cluster names in `spark.checkpoint.dir`; a local session may go without."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if spark.conf.get("spark.master", "").startswith("local"):
+        root = tempfile.mkdtemp(prefix=f"{PREFIX}-")
+        spark.conf.set("spark.checkpoint.dir", root)
+        return root
+    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder; nothing is created yet."""
+    return f"{shared_root(spark)}/{PREFIX}/{label}-{uuid.uuid4().hex}"
