@@ -18,17 +18,34 @@ DATE_PATTERN = rf"^{_DATE}$"
 TIMESTAMP_PATTERN = rf"^({_DATE}(?:{_TIME})?)((?<=.{{11}})(?:{_OFFSET}))?$"
 
 
+def is_iso_date(text: Column) -> Column:
+    return text.rlike(DATE_PATTERN) & text.try_cast("date").isNotNull()
+
+
 def iso_date(text: Column) -> Column:
     """DATE of a `yyyy-MM-dd` string, null when it is not one."""
     return F.when(text.rlike(DATE_PATTERN), text.try_cast("date"))
 
 
+def _has_offset(text: Column) -> Column:
+    return F.substring(text, 11, 64).rlike("[Z+-]")
+
+
+def _local(text: Column) -> Column:
+    """Wall clock of a string that matches the pattern, its offset left aside."""
+    clock = F.when(_has_offset(text), F.regexp_extract(text, TIMESTAMP_PATTERN, 1)).otherwise(text)
+    return F.replace(clock, F.lit(","), F.lit(".")).try_cast("timestamp_ntz")
+
+
+def is_iso_timestamp(text: Column) -> Column:
+    return text.rlike(TIMESTAMP_PATTERN) & _local(text).isNotNull()
+
+
 def iso_timestamp(text: Column) -> Column:
     """TIMESTAMP_NTZ in UTC of an ISO string, null when it is not one. Naive text is kept as is."""
-    plain = F.translate(text, ",", ".")
-    local = F.regexp_extract(plain, TIMESTAMP_PATTERN, 1).try_cast("timestamp_ntz")
-    offset = F.regexp_extract(plain, TIMESTAMP_PATTERN, 2)
-    digits = F.rpad(F.translate(offset, "Z:+-", ""), 6, "0")
+    local = _local(text)
+    offset = F.regexp_extract(text, TIMESTAMP_PATTERN, 2)
+    digits = F.rpad(F.regexp_replace(offset, "[^0-9]", ""), 6, "0")
     seconds = (
         F.substring(digits, 1, 2).try_cast("int") * 3600
         + F.substring(digits, 3, 2).try_cast("int") * 60
@@ -36,10 +53,8 @@ def iso_timestamp(text: Column) -> Column:
     )
     signed = F.when(offset.startswith("-"), -seconds).otherwise(seconds)
     shifted = local - F.make_dt_interval(secs=signed.cast("decimal(18,6)"))
-    has_offset = F.substring(text, 11, 64).rlike("[Z+-]")
     return F.when(
-        text.rlike(TIMESTAMP_PATTERN),
-        F.when(has_offset, shifted).otherwise(plain.try_cast("timestamp_ntz")),
+        text.rlike(TIMESTAMP_PATTERN), F.when(_has_offset(text), shifted).otherwise(local)
     )
 
 

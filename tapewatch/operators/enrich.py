@@ -66,12 +66,14 @@ def unusual_events(enriched: DataFrame) -> DataFrame:
     return enriched.filter(is_unusual())
 
 
-def activity_rows(enriched: DataFrame) -> DataFrame:
+def activity_rows(enriched: DataFrame, *extra: str) -> DataFrame:
     """One row per event and flag. `explode` (not outer) drops events without flags early."""
-    return enriched.select(
+    rows = enriched.select(
         "event_id",
         "contract_symbol",
         "symbol",
         F.explode("unusual_activity_flags").alias("flag"),
         "event_timestamp",
-    ).filter(F.col("flag").isNotNull())
+        *extra,
+    )
+    return rows.filter(F.col("flag").isNotNull())

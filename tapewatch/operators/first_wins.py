@@ -41,7 +41,8 @@ def new_rows(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """
     wanted = batch.select(*keys).distinct()
     held = target.select(*keys).join(wanted, keys, "left_semi")
-    return first_per_key(batch, keys).join(held, keys, "left_anti")
+    first = wanted if batch.columns == keys else first_per_key(batch, keys)
+    return first.join(held, keys, "left_anti")
 
 
 CONTRACT_ATTRIBUTES = ["contract_symbol", "symbol", "option_type", "strike", "expiration_date"]

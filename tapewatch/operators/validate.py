@@ -1,8 +1,12 @@
 """Validation rules and the valid / quarantine split.
 
-Every rule is a Column. `is_valid` is a plain boolean for filters; error arrays are
-only built for rows that fail it. Nothing raises on bad input: a line that is not
-JSON or a field of the wrong type becomes an error of that row.
+Every rule is a Column. `valid_condition` is a conjunction of plain predicates, so filters
+on columnar input reach the scan; error arrays are only built for rows that fail it.
+Nothing raises on bad input: a line that is not JSON or a field of the wrong type becomes
+an error of that row.
+
+Frames from `sources.jsonl.parse_events` carry the line (`value`) and Spark's corrupt-record
+column, by which missing keys are told from nulls. On columnar input a null is a missing field.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapewatch.functions.iso import iso_date, iso_timestamp
+from tapewatch.functions.iso import is_iso_date, is_iso_timestamp
 from tapewatch.schema import RAW_FIELDS
 
 # Accepted option types and error texts, in the order they are reported.
@@ -33,7 +37,7 @@ IV_ERROR = "implied_volatility must be positive"
 TIMESTAMP_ERROR = "event_timestamp must be a valid ISO datetime"
 EXPIRATION_ERROR = "expiration_date must be a valid ISO date"
 
-# Numbers the rules compare; `delta` is never inspected, so it may be null.
+# Numbers the rules compare; a null here is a type error.
 CHECKED_NUMBERS = [
     "ask",
     "bid",
@@ -45,83 +49,112 @@ CHECKED_NUMBERS = [
     "volume",
 ]
 
+# Fields no value rule inspects: null is accepted where the key is present.
+UNCHECKED_FIELDS = ["event_id", "symbol", "contract_symbol", "delta", "source"]
+
 ERRORS = "validation_errors"
+CORRUPT = "_corrupt_record"
 
 
 def value_rules() -> list[tuple[str, Column]]:
-    """(message, condition that breaks the rule), in reporting order."""
+    """(message, condition a row must meet), in reporting order. Null does not meet it."""
     c = F.col
     return [
-        (OPTION_TYPE_ERROR, ~F.coalesce(c("option_type").isin(*OPTION_TYPES), F.lit(False))),
-        (VOLUME_ERROR, c("volume") < 0),
-        (OPEN_INTEREST_ERROR, c("open_interest") < 0),
-        (BID_ERROR, c("bid") < 0),
-        (ASK_ERROR, c("ask") < 0),
-        (CROSSED_ERROR, c("bid") > c("ask")),
-        (LAST_PRICE_ERROR, c("last_price") < 0),
-        (STRIKE_ERROR, c("strike") <= 0),
-        (UNDERLYING_ERROR, c("underlying_price") <= 0),
-        (IV_ERROR, c("implied_volatility") <= 0),
-        (TIMESTAMP_ERROR, iso_timestamp(c("event_timestamp")).isNull()),
-        (EXPIRATION_ERROR, iso_date(c("expiration_date")).isNull()),
+        (OPTION_TYPE_ERROR, c("option_type").isin(*OPTION_TYPES)),
+        (VOLUME_ERROR, c("volume") >= 0),
+        (OPEN_INTEREST_ERROR, c("open_interest") >= 0),
+        (BID_ERROR, c("bid") >= 0),
+        (ASK_ERROR, c("ask") >= 0),
+        (CROSSED_ERROR, c("bid") <= c("ask")),
+        (LAST_PRICE_ERROR, c("last_price") >= 0),
+        (STRIKE_ERROR, c("strike") > 0),
+        (UNDERLYING_ERROR, c("underlying_price") > 0),
+        (IV_ERROR, c("implied_volatility") > 0),
+        (TIMESTAMP_ERROR, is_iso_timestamp(c("event_timestamp"))),
+        (EXPIRATION_ERROR, is_iso_date(c("expiration_date"))),
     ]
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda left, right: left | right, conditions)
+def _all(conditions: list[Column]) -> Column:
+    return reduce(lambda left, right: left & right, conditions)
 
 
-def _collect(rules: list[tuple[str, Column]]) -> Column:
-    slots = [F.when(broken, message).otherwise("") for message, broken in rules]
-    return F.array_remove(F.array(*slots), "")
+def _from_json(df: DataFrame) -> bool:
+    return CORRUPT in df.columns
 
 
-def _missing_rules(df: DataFrame) -> list[tuple[str, Column]]:
-    """A field is missing when its key is absent; columnar input has no keys, so null counts."""
-    if "json_keys" in df.columns:
-        keys = F.col("json_keys")
-        absent = {name: ~F.array_contains(keys, name) for name in RAW_FIELDS}
-    else:
-        absent = {name: F.col(name).isNull() for name in RAW_FIELDS}
-    return [
-        (MISSING_PREFIX + name, F.coalesce(absent[name], F.lit(False)))
-        for name in sorted(RAW_FIELDS)
-    ]
+def _single_value() -> Column:
+    """Whether the line holds one JSON value and nothing behind it.
+
+    Parsers stop after the first value, so a second event in the same line would be lost.
+    In flat events the first "}" ends the line; only other lines are read again.
+    """
+    flat = F.instr("value", "}") == F.length("value")
+    values = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    return flat | (values == 1)
+
+
+def is_malformed() -> Column:
+    """Whether a parsed line is anything but one JSON object."""
+    nothing_parsed = _all([F.col(name).isNull() for name in RAW_FIELDS])
+    failed = nothing_parsed & F.col(CORRUPT).isNotNull()
+    return failed | ~F.coalesce(_single_value(), F.lit(False))
+
+
+def valid_condition(df: DataFrame) -> Column:
+    """Conjunction that is true for exactly the rows without errors (else false or null)."""
+    rules = [met for _, met in value_rules()]
+    present = _all([F.col(name).isNotNull() for name in UNCHECKED_FIELDS])
+    if not _from_json(df):
+        return _all([present, *rules])
+    expected = F.array(*[F.lit(name) for name in UNCHECKED_FIELDS])
+    has_keys = F.size(F.array_except(expected, F.json_object_keys("value"))) == 0
+    return _all([present | has_keys, *rules, _single_value()])
 
 
 def is_valid(df: DataFrame) -> Column:
-    """True when no rule is broken; equals `size(validation_errors(df)) = 0`."""
-    rules = [broken for _, broken in _missing_rules(df)]
-    rules += [F.col(name).isNull() for name in CHECKED_NUMBERS]
-    rules += [broken for _, broken in value_rules()]
-    if "json_malformed" in df.columns:
-        rules.insert(0, F.col("json_malformed"))
-    return ~F.coalesce(_any(rules), F.lit(True))
+    return F.coalesce(valid_condition(df), F.lit(False))
+
+
+def _collect(rules: list[tuple[str, Column]]) -> Column:
+    slots = [
+        F.when(F.coalesce(met, F.lit(False)), "").otherwise(message) for message, met in rules
+    ]
+    return F.array_remove(F.array(*slots), "")
 
 
-def validation_errors(df: DataFrame) -> Column:
-    """Array of error texts, empty for a valid row.
+def with_validation_errors(df: DataFrame, only: Column | None = None) -> DataFrame:
+    """Add `validation_errors`, empty for a valid row; null where `only` is false.
 
     The first of these that applies is reported alone: malformed line, missing fields,
     wrong types, broken value rules.
     """
-    missing = _missing_rules(df)
-    types = [(name + TYPE_SUFFIX, F.col(name).isNull()) for name in CHECKED_NUMBERS]
-    malformed = F.col("json_malformed") if "json_malformed" in df.columns else F.lit(False)
-    return (
+    columns = df.columns
+    if _from_json(df):
+        some_null = ~_all([F.col(name).isNotNull() for name in RAW_FIELDS])
+        df = df.withColumn("_keys", F.when(some_null, F.json_object_keys("value")))
+        has_field = {
+            name: F.col("_keys").isNull() | F.array_contains("_keys", name) for name in RAW_FIELDS
+        }
+        malformed = is_malformed()
+    else:
+        has_field = {name: F.col(name).isNotNull() for name in RAW_FIELDS}
+        malformed = F.lit(False)
+    missing = [(MISSING_PREFIX + name, has_field[name]) for name in sorted(RAW_FIELDS)]
+    types = [(name + TYPE_SUFFIX, F.col(name).isNotNull()) for name in CHECKED_NUMBERS]
+    errors = (
         F.when(malformed, F.array(F.lit(MALFORMED)))
-        .when(_any([broken for _, broken in missing]), _collect(missing))
-        .when(_any([broken for _, broken in types]), _collect(types))
+        .when(~_all([met for _, met in missing]), _collect(missing))
+        .when(~_all([met for _, met in types]), _collect(types))
         .otherwise(_collect(value_rules()))
     )
-
-
-def with_validation_errors(df: DataFrame) -> DataFrame:
-    return df.withColumn(ERRORS, validation_errors(df))
+    if only is not None:
+        errors = F.when(only, errors)
+    return df.withColumn(ERRORS, errors).select(*columns, ERRORS)
 
 
 def valid_events(df: DataFrame) -> DataFrame:
-    return df.filter(is_valid(df))
+    return df.filter(valid_condition(df))
 
 
 def invalid_events(df: DataFrame) -> DataFrame:

@@ -46,30 +46,50 @@ ENRICHED_SCHEMA = T.StructType(
 ENRICHED_FIELDS: list[str] = ENRICHED_SCHEMA.names
 
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-# Warehouse tables: natural columns first, then the audit columns. `load_id` is the
-# directory partition that makes a load repeatable.
+_TEXT = T.StringType()
+_MONEY = T.DecimalType(12, 4)
+
+# Warehouse tables: natural columns. Audit columns and the directory partition `load_id`
+# come on top, see `warehouse_schema`.
 WAREHOUSE_COLUMNS: dict[str, T.StructType] = {
-    "dim_symbol": _ddl("symbol string"),
-    "dim_option_contract": _ddl(
-        "contract_symbol string, symbol string, option_type string, "
-        "strike decimal(12,2), expiration_date date"
+    "dim_symbol": _struct(symbol=_TEXT),
+    "dim_option_contract": _struct(
+        contract_symbol=_TEXT,
+        symbol=_TEXT,
+        option_type=_TEXT,
+        strike=T.DecimalType(12, 2),
+        expiration_date=T.DateType(),
     ),
-    "fact_options_event": _ddl(
-        "event_id string, contract_symbol string, symbol string, option_type string, "
-        "strike decimal(12,2), expiration_date date, "
-        "bid decimal(12,4), ask decimal(12,4), last_price decimal(12,4), "
-        "volume int, open_interest int, volume_open_interest_ratio decimal(12,4), "
-        "implied_volatility decimal(12,4), delta decimal(12,4), "
-        "underlying_price decimal(12,4), unusual_activity_score int, "
-        "event_timestamp timestamp_ntz, source string"
+    "fact_options_event": _struct(
+        event_id=_TEXT,
+        contract_symbol=_TEXT,
+        symbol=_TEXT,
+        option_type=_TEXT,
+        strike=T.DecimalType(12, 2),
+        expiration_date=T.DateType(),
+        bid=_MONEY,
+        ask=_MONEY,
+        last_price=_MONEY,
+        volume=T.IntegerType(),
+        open_interest=T.IntegerType(),
+        volume_open_interest_ratio=_MONEY,
+        implied_volatility=_MONEY,
+        delta=_MONEY,
+        underlying_price=_MONEY,
+        unusual_activity_score=T.IntegerType(),
+        event_timestamp=T.TimestampNTZType(),
+        source=_TEXT,
     ),
-    "fact_unusual_activity": _ddl(
-        "event_id string, contract_symbol string, symbol string, flag string, "
-        "event_timestamp timestamp_ntz"
+    "fact_unusual_activity": _struct(
+        event_id=_TEXT,
+        contract_symbol=_TEXT,
+        symbol=_TEXT,
+        flag=_TEXT,
+        event_timestamp=T.TimestampNTZType(),
     ),
 }
 

@@ -6,24 +6,22 @@ pass and a bad line stays a row.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapewatch.functions.text import enriched_line, quarantine_line
 from tapewatch.operators.first_wins import SOURCE_ORDER
-from tapewatch.operators.validate import ERRORS, MALFORMED
-from tapewatch.schema import ENRICHED_FIELDS, ENRICHED_SCHEMA, RAW_FIELDS, RAW_SCHEMA
+from tapewatch.operators.validate import CORRUPT, ERRORS, MALFORMED, is_malformed
+from tapewatch.schema import ENRICHED_FIELDS, ENRICHED_SCHEMA, RAW_SCHEMA
 
 # Fixed value: the characters Python's `str.strip` removes.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       "
-    "         　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
+    "           "
+    "    　"
 )
 
-CORRUPT = "_corrupt"
 JSON_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT,
@@ -65,33 +63,17 @@ def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
     return lines.select("*", F.inline(F.array(parsed)))
 
 
-def _all(conditions: list[Column]) -> Column:
-    return reduce(lambda left, right: left & right, conditions)
-
-
 def parse_events(lines: DataFrame, fail_fast: bool = False) -> DataFrame:
-    """Raw events from stripped lines.
+    """Raw events from stripped lines: the line, the 16 fields and the corrupt-record column.
 
-    Adds the 16 fields, `json_keys` (the keys present, only computed when some field is null,
-    as only then a key can be absent) and `json_malformed`. A line is malformed when it is not
-    one JSON object; text after the object makes it malformed too, as it may hide a second event.
+    `fail_fast` ends the job at the first line that is not a JSON object.
     """
     parsed = _parsed(lines, RAW_SCHEMA)
-    some_null = ~_all([F.col(name).isNotNull() for name in RAW_FIELDS])
-    all_null = _all([F.col(name).isNull() for name in RAW_FIELDS])
-    keys = F.when(some_null, F.json_object_keys("value"))
-    no_object = some_null & (
-        F.json_object_keys("value").isNull() | (all_null & F.col(CORRUPT).isNotNull())
-    )
-    # The first "}" at the very end closes the object; otherwise count the values in the line.
-    ends_with_object = F.instr("value", "}") == F.length("value")
-    one_value = F.json_array_length(F.concat(F.lit("["), "value", F.lit("]"))) == 1
-    trailing = ~(ends_with_object | F.coalesce(one_value, F.lit(False)))
-    malformed = no_object | trailing
     if fail_fast:
         message = F.concat(F.lit("not a JSON object: "), F.col("value"))
-        malformed = F.when(malformed, F.raise_error(message).cast("boolean")).otherwise(False)
-    return parsed.withColumns({"json_keys": keys, "json_malformed": malformed}).drop(CORRUPT)
+        checked = F.when(is_malformed(), F.raise_error(message).cast("boolean")).otherwise(True)
+        parsed = parsed.filter(checked)
+    return parsed
 
 
 def read_events(

@@ -50,12 +50,12 @@ def project_events(events: DataFrame) -> DataFrame:
         F.expr("date_add(cast(ts as date), cast(7 + e % 54 as int))").alias("ex"),
     ).withColumn("strike_c", F.expr("((und_c + ((e * 31) % 17) * 500 - 4000) div 500) * 500"))
     side = "case when e % 2 = 0 then 'CALL' else 'PUT' end"
-    expiry = "date_format(ex, 'yyyy-MM-dd')"
+    expiry = "cast(ex as string)"
     fields = {
         "event_id": F.expr("concat('evt_', e)"),
         "symbol": _faulty(107, "null", "sym"),
         "contract_symbol": F.expr(
-            "concat_ws('_', sym, date_format(ex, 'yyyyMMdd'), lpad(strike_c * 10, 8, '0'), "
+            "concat_ws('_', sym, replace(cast(ex as string), '-', ''), lpad(strike_c * 10, 8, '0'), "
             "case when e % 2 = 0 then 'C' else 'P' end)"
         ),
         "expiration_date": _faulty(101, "'2024-02-30'", expiry),
@@ -82,9 +82,12 @@ def project_events(events: DataFrame) -> DataFrame:
         ),
         "source": F.lit("simulated"),
     }
-    return steps.select("e", *[column.alias(name) for name, column in fields.items()])
+    # Through a generator, so that a filter on a field does not compute the field again.
+    row = F.struct("e", *[column.alias(name) for name, column in fields.items()])
+    return steps.select(F.inline(F.array(row)))
 
 
 def options_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as JSON lines (`value`); null fields become absent keys."""
-    return json_lines(options_events(spark, sf_dir), keep_nulls=False)
+    lines = json_lines(options_events(spark, sf_dir), keep_nulls=False)
+    return lines.select(F.inline(F.array(F.struct("value"))))

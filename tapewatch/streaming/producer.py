@@ -1,0 +1,41 @@
+"""Stream of simulated events into JSON-lines files at a fixed rate."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tapewatch.sources.jsonl import json_lines
+from tapewatch.sources.simulate import simulate_events
+
+
+def start_producer(
+    spark: SparkSession,
+    output_dir: str,
+    checkpoint_dir: str,
+    *,
+    rows_per_second: int = 4,
+    count: int | None = None,
+    seed: int = 0,
+    now: datetime | None = None,
+    interval: str = "1 second",
+) -> StreamingQuery:
+    """Write events as they fall due; `count` ends the stream of events after that many.
+
+    Files appear whole, as the consumer needs them. The caller stops the query.
+    """
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    ids = ticks.select("value")
+    if count is not None:
+        ids = ids.filter(F.col("value") < count)
+    lines = json_lines(simulate_events(ids, seed, now))
+    return (
+        lines.writeStream.format("text")
+        .option("path", output_dir)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(processingTime=interval)
+        .start()
+    )
