@@ -1,7 +1,8 @@
 """Every registered query. Each reads whole tables of `sf_dir`.
 
-Queries on raw or enriched events run straight from the source. Queries on the warehouse
-read tables that a real load wrote, once per session and input, to the shared folder.
+Validation, routing and the flagship summary run straight from the source. Reports and marts
+read the Parquet layer that one batch run wrote, analytics the tables that one load wrote;
+both happen once per session and input, in the shared folder.
 Results carry doubles for decimals and ISO text for dates, so that engines compare alike.
 """
 
@@ -23,12 +24,11 @@ from tapewatch.operators.validate import (
     invalid_events,
     is_valid,
     split_events,
-    valid_events,
     with_validation_errors,
 )
 from tapewatch.plans import analytics, batch, marts, metrics, reports, warehouse
 from tapewatch.scratch import new_folder
-from tapewatch.schema import ENRICHED_FIELDS
+from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
 from tapewatch.sources import simulate
 from tapewatch.sources.jsonl import parse_events, read_enriched, write_jsonl
 from tapewatch.sources.market_events import options_events, options_lines
@@ -66,10 +66,6 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_events(options_lines(spark, sf_dir))
 
 
-def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return process(options_events(spark, sf_dir))
-
-
 _written: dict[tuple[str, str, str], object] = {}
 
 
@@ -81,14 +77,23 @@ def _once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[str], o
     return _written[key]
 
 
+def batch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched Parquet layer that a batch run writes from JSON lines."""
+
+    def build(folder: str) -> DataFrame:
+        options_lines(spark, sf_dir).write.text(f"{folder}/raw")
+        batch.run_batch(spark, f"{folder}/raw", f"{folder}/out")
+        return batch.read_valid(spark, f"{folder}/out")
+
+    return _once(spark, sf_dir, "batch", build)
+
+
 def loaded_warehouse(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
-    """All valid events, written as the enriched Parquet layer and loaded from there."""
+    """The four tables, loaded from the batch layer."""
 
     def build(folder: str) -> warehouse.Warehouse:
-        write_parquet(_enriched(spark, sf_dir), f"{folder}/enriched")
-        enriched = spark.read.parquet(f"{folder}/enriched")
-        warehouse.load_warehouse(enriched, f"{folder}/tables", reset=True)
-        return warehouse.Warehouse(spark, f"{folder}/tables")
+        warehouse.load_warehouse(batch_events(spark, sf_dir), folder, reset=True)
+        return warehouse.Warehouse(spark, folder)
 
     return _once(spark, sf_dir, "warehouse", build)
 
@@ -129,19 +134,15 @@ def _replayed_warehouse(spark: SparkSession, sf_dir: str) -> Loads:
     """Three loads: every event, its changed replay, and that replay again."""
 
     def build(folder: str) -> Loads:
-        valid = valid_events(options_events(spark, sf_dir))
-        write_parquet(enrich(valid), f"{folder}/first")
-        write_parquet(replayed_events(valid), f"{folder}/second")
+        first = batch_events(spark, sf_dir)
+        second = replayed_events(first.drop(*DERIVED_FIELDS))
         counts = []
-        for load, part in [("load1", "first"), ("load2", "second"), ("load3", "second")]:
+        for load, events in [("load1", first), ("load2", second), ("load3", second)]:
             inserted = warehouse.load_warehouse(
-                spark.read.parquet(f"{folder}/{part}"),
-                f"{folder}/tables",
-                reset=load == "load1",
-                load_id=load,
+                events, folder, reset=load == "load1", load_id=load
             )
             counts += [(load, table, rows) for table, rows in inserted.items()]
-        return warehouse.Warehouse(spark, f"{folder}/tables"), counts
+        return warehouse.Warehouse(spark, folder), counts
 
     return _once(spark, sf_dir, "replay", build)
 
@@ -186,7 +187,7 @@ def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = with_types(_enriched(spark, sf_dir))
+    typed = with_types(batch_events(spark, sf_dir))
     return plain(
         typed.select(
             "event_id",
@@ -234,28 +235,28 @@ def symbol_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def flag_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.flag_distribution(_enriched(spark, sf_dir))
+    return summaries.flag_distribution(batch_events(spark, sf_dir))
 
 
 @query
 def option_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.option_type_summary(_enriched(spark, sf_dir))
+    return summaries.option_type_summary(batch_events(spark, sf_dir))
 
 
 @query
 def top_unusual_contracts_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rankings.top_unusual_contracts_report(_enriched(spark, sf_dir))
+    return rankings.top_unusual_contracts_report(batch_events(spark, sf_dir))
 
 
 @query
 def unusual_events_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = with_types(_enriched(spark, sf_dir))
+    typed = with_types(batch_events(spark, sf_dir))
     return plain(unusual_events(typed))
 
 
 @query
 def symbol_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(summaries.symbol_daily_summary(with_types(_enriched(spark, sf_dir))))
+    return plain(summaries.symbol_daily_summary(with_types(batch_events(spark, sf_dir))))
 
 
 @query
@@ -263,7 +264,7 @@ def csv_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Symbol report written as CSV and read back."""
     folder = new_folder(spark, "csv")
     columns = reports.REPORT_COLUMNS["symbol_summary"]
-    write_csv(summaries.symbol_summary(_enriched(spark, sf_dir)), folder, columns)
+    write_csv(summaries.symbol_summary(batch_events(spark, sf_dir)), folder, columns)
     schema = (
         "symbol string, total_events bigint, unusual_events bigint, unusual_event_pct double, "
         "total_volume bigint, avg_implied_volatility double, avg_unusual_activity_score double"
@@ -274,7 +275,7 @@ def csv_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written per report file."""
-    enriched = loaded_layer(spark, sf_dir)
+    enriched = batch_events(spark, sf_dir)
     written = reports.write_reports(enriched, new_folder(spark, "reports"))
     return spark.createDataFrame(sorted(written.items()), "report string, rows bigint")
 
@@ -282,40 +283,29 @@ def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written per mart, the events mart partitioned by day."""
-    enriched = loaded_layer(spark, sf_dir)
+    enriched = batch_events(spark, sf_dir)
     folder = new_folder(spark, "marts")
     written = marts.write_marts(enriched, folder, partition_events_by=["event_date"])
     return spark.createDataFrame(sorted(written.items()), "mart string, rows bigint")
 
 
-def loaded_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The enriched Parquet layer a batch run writes, from JSON lines."""
-
-    def build(folder: str) -> DataFrame:
-        options_lines(spark, sf_dir).write.text(f"{folder}/raw")
-        batch.run_batch(spark, f"{folder}/raw", f"{folder}/out")
-        return batch.read_valid(spark, f"{folder}/out")
-
-    return _once(spark, sf_dir, "batch", build)
-
-
 @query
 def batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid events of a whole batch run: text in, one pass, Parquet out."""
-    return plain(loaded_layer(spark, sf_dir))
+    return plain(batch_events(spark, sf_dir))
 
 
 @query
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "jsonl")
-    write_jsonl(_enriched(spark, sf_dir).select(*ENRICHED_FIELDS), folder)
+    write_jsonl(batch_events(spark, sf_dir).select(*ENRICHED_FIELDS), folder)
     return plain(read_enriched(spark, folder))
 
 
 @query
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "parquet")
-    write_parquet(_enriched(spark, sf_dir).select(*ENRICHED_FIELDS), folder)
+    write_parquet(batch_events(spark, sf_dir).select(*ENRICHED_FIELDS), folder)
     return plain(spark.read.parquet(folder))
 
 
@@ -324,17 +314,17 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def distinct_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.distinct_symbols(_enriched(spark, sf_dir))
+    return summaries.distinct_symbols(batch_events(spark, sf_dir))
 
 
 @query
 def unique_contract_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(unique_contracts(_enriched(spark, sf_dir)))
+    return plain(unique_contracts(batch_events(spark, sf_dir)))
 
 
 @query
 def unusual_activity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity_rows(_enriched(spark, sf_dir))
+    return activity_rows(batch_events(spark, sf_dir))
 
 
 @query
@@ -531,11 +521,15 @@ def simulated_events_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "time": (seen <= F.lit(now).cast("timestamp_ntz"))
         & (seen >= F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(mins=F.lit(390))),
     }
-    counts = events.agg(
-        F.count(F.lit(1)).alias("rows_checked"),
-        *[F.count_if(~F.coalesce(met, F.lit(False))).alias(name) for name, met in bounds.items()],
+    checks = [
+        F.struct(F.lit(name).alias("check_name"), F.coalesce(met, F.lit(False)).alias("met"))
+        for name, met in bounds.items()
+    ]
+    return (
+        events.select(F.inline(F.array(*checks)))
+        .groupBy("check_name")
+        .agg(F.count(F.lit(1)).alias("rows_checked"), F.count_if(~F.col("met")).alias("violations"))
     )
-    return counts.unpivot("rows_checked", list(bounds), "check_name", "violations")
 
 
 @query
@@ -543,5 +537,5 @@ def flags_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flags as piped text, `NONE` where there are none."""
     flags = F.col("unusual_activity_flags")
     text = F.when(F.size(flags) > 0, piped_flags(flags)).otherwise("NONE")
-    return _enriched(spark, sf_dir).select("event_id", text.alias("flags"))
+    return batch_events(spark, sf_dir).select("event_id", text.alias("flags"))
 

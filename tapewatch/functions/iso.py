@@ -11,11 +11,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _DATE = r"(?!0000)\d{4}-\d{2}-\d{2}"
-_TIME = r"[T ]\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?"
+_CLOCK = r"\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?"
 _OFFSET = r"Z|[+-](?:[01]\d|2[0-3])(?:[0-5]\d(?:[0-5]\d)?|:[0-5]\d(?::[0-5]\d)?)?"
 
 DATE_PATTERN = rf"^{_DATE}$"
-TIMESTAMP_PATTERN = rf"^({_DATE}(?:{_TIME})?)((?<=.{{11}})(?:{_OFFSET}))?$"
+TIMESTAMP_PATTERN = rf"^{_DATE}(?:[T ]{_CLOCK}(?:{_OFFSET})?)?$"
+
+_EPOCH = "1970-01-01 00:00:00"
 
 
 def is_iso_date(text: Column) -> Column:
@@ -31,30 +33,30 @@ def _has_offset(text: Column) -> Column:
     return F.substring(text, 11, 64).rlike("[Z+-]")
 
 
-def _local(text: Column) -> Column:
-    """Wall clock of a string that matches the pattern, its offset left aside."""
-    clock = F.when(_has_offset(text), F.regexp_extract(text, TIMESTAMP_PATTERN, 1)).otherwise(text)
-    return F.replace(clock, F.lit(","), F.lit(".")).try_cast("timestamp_ntz")
+def _castable(text: Column) -> Column:
+    """The same moment as Spark's cast reads it: "." in fractions, seconds before an offset."""
+    dotted = F.replace(text, F.lit(","), F.lit("."))
+    with_minutes = F.regexp_replace(dotted, "^(.{13})(?=[Z+-])", "$1:00")
+    with_seconds = F.regexp_replace(with_minutes, "^(.{16})(?=[Z+-])", "$1:00")
+    return F.when(_has_offset(text), with_seconds).otherwise(dotted)
 
 
 def is_iso_timestamp(text: Column) -> Column:
-    return text.rlike(TIMESTAMP_PATTERN) & _local(text).isNotNull()
+    return text.rlike(TIMESTAMP_PATTERN) & _castable(text).try_cast("timestamp_ntz").isNotNull()
 
 
 def iso_timestamp(text: Column) -> Column:
-    """TIMESTAMP_NTZ in UTC of an ISO string, null when it is not one. Naive text is kept as is."""
-    local = _local(text)
-    offset = F.regexp_extract(text, TIMESTAMP_PATTERN, 2)
-    digits = F.rpad(F.regexp_replace(offset, "[^0-9]", ""), 6, "0")
-    seconds = (
-        F.substring(digits, 1, 2).try_cast("int") * 3600
-        + F.substring(digits, 3, 2).try_cast("int") * 60
-        + F.substring(digits, 5, 2).try_cast("int")
-    )
-    signed = F.when(offset.startswith("-"), -seconds).otherwise(seconds)
-    shifted = local - F.make_dt_interval(secs=signed.cast("decimal(18,6)"))
+    """TIMESTAMP_NTZ in UTC of an ISO string, null when it is not one. Naive text is kept as is.
+
+    The instant of a string with an offset is counted from the epoch, as a cast back to a
+    wall clock would use the session's zone. Offsets beyond 18 hours are not accepted.
+    """
+    micros = F.unix_micros(_castable(text).try_cast("timestamp"))
+    since_epoch = F.make_dt_interval(secs=micros.cast("decimal(24,6)") / 1000000)
+    instant = F.lit(_EPOCH).cast("timestamp_ntz") + since_epoch
+    local = F.replace(text, F.lit(","), F.lit(".")).try_cast("timestamp_ntz")
     return F.when(
-        text.rlike(TIMESTAMP_PATTERN), F.when(_has_offset(text), shifted).otherwise(local)
+        text.rlike(TIMESTAMP_PATTERN), F.when(_has_offset(text), instant).otherwise(local)
     )
 
 

@@ -116,11 +116,18 @@ def is_valid(df: DataFrame) -> Column:
     return F.coalesce(valid_condition(df), F.lit(False))
 
 
-def _collect(rules: list[tuple[str, Column]]) -> Column:
-    slots = [
-        F.when(F.coalesce(met, F.lit(False)), "").otherwise(message) for message, met in rules
-    ]
-    return F.array_remove(F.array(*slots), "")
+def _broken(rules: list[tuple[str, Column]]) -> Column:
+    """Messages of the rules a row does not meet."""
+    return F.array_compact(
+        F.array(*[F.when(~F.coalesce(met, F.lit(False)), message) for message, met in rules])
+    )
+
+
+def _missing_fields(df: DataFrame) -> Column:
+    required = F.array(*[F.lit(name) for name in sorted(RAW_FIELDS)])
+    if _from_json(df):
+        return F.array_except(required, F.json_object_keys("value"))
+    return F.array_compact(F.array(*[F.when(F.col(n).isNull(), n) for n in sorted(RAW_FIELDS)]))
 
 
 def with_validation_errors(df: DataFrame, only: Column | None = None) -> DataFrame:
@@ -129,28 +136,22 @@ def with_validation_errors(df: DataFrame, only: Column | None = None) -> DataFra
     The first of these that applies is reported alone: malformed line, missing fields,
     wrong types, broken value rules.
     """
-    columns = df.columns
-    if _from_json(df):
-        some_null = ~_all([F.col(name).isNotNull() for name in RAW_FIELDS])
-        df = df.withColumn("_keys", F.when(some_null, F.json_object_keys("value")))
-        has_field = {
-            name: F.col("_keys").isNull() | F.array_contains("_keys", name) for name in RAW_FIELDS
-        }
-        malformed = is_malformed()
-    else:
-        has_field = {name: F.col(name).isNotNull() for name in RAW_FIELDS}
-        malformed = F.lit(False)
-    missing = [(MISSING_PREFIX + name, has_field[name]) for name in sorted(RAW_FIELDS)]
-    types = [(name + TYPE_SUFFIX, F.col(name).isNotNull()) for name in CHECKED_NUMBERS]
+    missing = F.transform(_missing_fields(df), lambda name: F.concat(F.lit(MISSING_PREFIX), name))
+    wrong_types = _broken(
+        [(name + TYPE_SUFFIX, F.col(name).isNotNull()) for name in CHECKED_NUMBERS]
+    )
+    has_nulls = ~_all([F.col(name).isNotNull() for name in RAW_FIELDS])
+    has_all_numbers = _all([F.col(name).isNotNull() for name in CHECKED_NUMBERS])
     errors = (
-        F.when(malformed, F.array(F.lit(MALFORMED)))
-        .when(~_all([met for _, met in missing]), _collect(missing))
-        .when(~_all([met for _, met in types]), _collect(types))
-        .otherwise(_collect(value_rules()))
+        F.when(has_nulls & (F.size(missing) > 0), missing)
+        .when(~has_all_numbers, wrong_types)
+        .otherwise(_broken(value_rules()))
     )
+    if _from_json(df):
+        errors = F.when(is_malformed(), F.array(F.lit(MALFORMED))).otherwise(errors)
     if only is not None:
         errors = F.when(only, errors)
-    return df.withColumn(ERRORS, errors).select(*columns, ERRORS)
+    return df.withColumn(ERRORS, errors)
 
 
 def valid_events(df: DataFrame) -> DataFrame:

@@ -59,24 +59,24 @@ def project_events(events: DataFrame) -> DataFrame:
             "case when e % 2 = 0 then 'C' else 'P' end)"
         ),
         "expiration_date": _faulty(101, "'2024-02-30'", expiry),
-        "strike": _faulty(113, "0", "strike_c / 100.0").cast("double"),
+        "strike": _faulty(113, "0", "strike_c / 100D"),
         "option_type": _faulty(61, "'SELL'", side),
-        "bid": _faulty(137, "-0.01", "bid_c / 100.0").cast("double"),
+        "bid": _faulty(137, "-0.01D", "bid_c / 100D"),
         "ask": F.expr(
-            "case when e % 131 = 0 then -0.02 when e % 71 = 0 then (bid_c - 5) / 100.0 "
-            "else (bid_c + 1 + e % 75) / 100.0 end"
-        ).cast("double"),
-        "last_price": _faulty(109, "-0.01", "bid_c / 100.0").cast("double"),
+            "case when e % 131 = 0 then -0.02D when e % 71 = 0 then (bid_c - 5) / 100D "
+            "else (bid_c + 1 + e % 75) / 100D end"
+        ),
+        "last_price": _faulty(109, "-0.01D", "bid_c / 100D"),
         "volume": _faulty(53, "-1", "cast(floor(v * 40) as int)"),
         "open_interest": F.expr(
             "cast(case when e % 97 = 0 then 0 when e % 83 = 0 then -5 "
             "else 50 + (e * 7919 + k * 131) % 15000 end as int)"
         ),
         "implied_volatility": _faulty(
-            89, "0", "(1500 + (e * 104729) % 10501) / 10000.0"
-        ).cast("double"),
-        "delta": F.expr("((e * 13) % 181 - 90) / 100.0").cast("double"),
-        "underlying_price": _faulty(127, "0", "und_c / 100.0").cast("double"),
+            89, "0D", "(1500 + (e * 104729) % 10501) / 10000D"
+        ),
+        "delta": F.expr("((e * 13) % 181 - 90) / 100D"),
+        "underlying_price": _faulty(127, "0", "und_c / 100D"),
         "event_timestamp": _faulty(
             103, "'not-a-timestamp'", "replace(substr(cast(ts as string), 1, 19), ' ', 'T')"
         ),
