@@ -29,14 +29,12 @@ def quotient4(total: Column, count: Column) -> Column:
     """total / count of aggregated non-negative values, half-up at 4 dp.
 
     Works on decimals: a sum of 100 TB of volumes times 20000 would leave the bigint range.
+    Quotients above 9e14, whose ten-thousandths a bigint cannot hold, are divided as doubles.
     """
     top = total.cast("decimal(32,10)") * F.lit(20000) + count
-    return F.when(count != 0, _int_div(top, count * 2) / F.lit(10000.0))
-
-
-def decimal_part(value: Column) -> Column:
-    """Exact summand for `mean4`; null when the value is outside the exact range (or NaN)."""
-    return value.try_cast("decimal(22,10)")
+    exact = _int_div(top, count * 2) / F.lit(10000.0)
+    rough = F.round(total.cast("double") / count, 4)
+    return F.when(count != 0, F.when(total <= count * F.lit(9e14), exact).otherwise(rough))
 
 
 def mean4(value: Column) -> Column:
@@ -45,7 +43,7 @@ def mean4(value: Column) -> Column:
     Exact for values below 1e12 with up to 10 decimals. If any value lies outside, the
     double average is used rather than leaving that value out.
     """
-    part = decimal_part(value)
+    part = value.try_cast("decimal(22,10)")
     exact = quotient4(F.sum(part), F.count(part))
     rough = F.round(F.avg(value.cast("double")), 4)
     return F.when(F.count(part) == F.count(value), exact).otherwise(rough)

@@ -82,7 +82,9 @@ class Warehouse:
         """Create missing tables; `reset` empties existing ones."""
         for table in [*TABLES, REJECTS]:
             if reset or not self.exists(table):
-                empty = self.spark.createDataFrame([], self.schema(table))
+                empty = self.spark.range(0).select(
+                    *[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema(table)]
+                )
                 empty.write.mode("overwrite").partitionBy(LOAD_ID).parquet(self.path(table))
 
     def tables(self) -> dict[str, DataFrame]:
@@ -121,9 +123,9 @@ def table_input(typed: DataFrame, table: str) -> DataFrame:
 
 def table_delta(typed: DataFrame, target: DataFrame, table: str) -> DataFrame:
     """Rows a load would insert: stored types, first row per key, keys not held yet."""
-    rows = _storable(table_input(typed, table), table)
     keys = WAREHOUSE_KEYS[table]
-    inserted = new_rows(rows, target, keys)
+    arrived = table_input(typed, table)
+    inserted = new_rows(_storable(arrived, table), target, keys, wanted=arrived)
     return inserted.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in WAREHOUSE_COLUMNS[table]]
     )

@@ -1,0 +1,153 @@
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+from conftest import SMALL, event, events_frame, write_lines
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from tapewatch.operators.enrich import process
+from tapewatch.operators.validate import invalid_events, is_valid
+from tapewatch.schema import ENRICHED_FIELDS, RAW_FIELDS
+from tapewatch.sources.jsonl import parse_events, read_events, read_lines
+from tapewatch.sources.market_events import options_events, options_lines
+from tapewatch.sources.simulate import generate_events, next_friday, round_to_step, simulate_events
+from tapewatch.streaming import consumer, producer
+
+
+def test_routes(spark):
+    rows = [
+        event(event_id="alert", volume=9000, open_interest=4000, implied_volatility=0.95),
+        event(event_id="normal"),
+        event(event_id="bad", volume=-5),
+    ]
+    found = {row.event_id: row for row in consumer.route(events_frame(spark, rows)).collect()}
+    assert {name: row.route for name, row in found.items()} == {
+        "alert": "alert",
+        "normal": "normal",
+        "bad": "invalid",
+    }
+    assert found["alert"].unusual_activity_score == 3
+    assert found["bad"].unusual_activity_flags is None
+
+
+def consume(spark, root, **options):
+    run = consumer.start_consumer(
+        spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", **options
+    )
+    run.awaitTermination()
+
+
+@pytest.fixture()
+def stream(spark, tmp_path):
+    options_lines(spark, SMALL).repartition(6).write.text(str(tmp_path / "in"))
+    return str(tmp_path)
+
+
+def check_outputs(spark, root):
+    alerts = consumer.read_alerts(spark, f"{root}/out")
+    expected = process(options_events(spark, SMALL)).filter("unusual_activity_score > 0")
+    expected = expected.select(*ENRICHED_FIELDS)
+    assert alerts.count() == 416
+    assert alerts.exceptAll(expected).count() == 0
+    invalid = invalid_events(parse_events(options_lines(spark, SMALL)))
+    wanted = {(row.event_id, tuple(row.validation_errors)) for row in invalid.collect()}
+    lines = [json.loads(row.value) for row in consumer.read_quarantine(spark, f"{root}/out").collect()]
+    assert len(lines) == 137
+    assert {(line["event_id"], tuple(line["validation_errors"])) for line in lines} == wanted
+
+
+def test_stream_equals_batch_and_a_rerun_adds_nothing(spark, stream):
+    consume(spark, stream, max_files_per_trigger=2, log=True)
+    assert len([d for d in os.listdir(f"{stream}/out") if d.startswith("batch_id=")]) >= 3
+    check_outputs(spark, stream)
+    assert consumer.read_log(spark, f"{stream}/out").count() == 1000
+    consume(spark, stream, max_files_per_trigger=2, log=True)
+    check_outputs(spark, stream)
+
+
+def test_failure_in_a_batch_and_restart(spark, stream, monkeypatch):
+    write = consumer.output_lines
+    calls = []
+
+    def dies_after_writing(routed, log):
+        calls.append(1)
+        lines = write(routed, log)
+        if len(calls) == 2:
+            # Half of the batch reaches its folder, then the driver fails.
+            lines.filter(F.col("route") == "alert").write.mode("overwrite").partitionBy(
+                "route"
+            ).text(f"{stream}/out/batch_id=1")
+            raise RuntimeError("lost")
+        return lines
+
+    monkeypatch.setattr(consumer, "output_lines", dies_after_writing)
+    with pytest.raises(StreamingQueryException):
+        consume(spark, stream, max_files_per_trigger=2)
+    monkeypatch.undo()
+    consume(spark, stream, max_files_per_trigger=2)
+    check_outputs(spark, stream)
+
+
+def test_new_files_are_picked_up(spark, tmp_path):
+    write_lines(tmp_path / "in", [event(event_id="a", volume=9000), "", "{bad"])
+    consume(spark, str(tmp_path))
+    assert consumer.read_alerts(spark, f"{tmp_path}/out").count() == 1
+    (tmp_path / "in" / "next.jsonl").write_text(json.dumps(event(event_id="b", volume=9000)))
+    consume(spark, str(tmp_path))
+    found = consumer.read_alerts(spark, f"{tmp_path}/out").collect()
+    assert {row.event_id for row in found} == {"a", "b"}
+    assert consumer.read_quarantine(spark, f"{tmp_path}/out").count() == 1
+
+
+def test_bounded_run_takes_the_first_events(spark, tmp_path):
+    rows = [event(event_id=str(i), volume=9000 if i % 2 else 1) for i in range(10)]
+    path = write_lines(tmp_path / "in", ["", *rows[:4], "   ", "{bad", *rows[4:]])
+    routed = consumer.consume_batch(read_lines(spark, path, with_order=True), max_events=6)
+    found = routed.groupBy("route").count().collect()
+    assert {row.route: row["count"] for row in found} == {"normal": 3, "alert": 2, "invalid": 1}
+
+
+def test_producer_feeds_the_consumer(spark, tmp_path):
+    run = producer.start_producer(
+        spark,
+        str(tmp_path / "in"),
+        str(tmp_path / "producer"),
+        rows_per_second=50,
+        count=40,
+        seed=5,
+        interval="500 milliseconds",
+    )
+    try:
+        for _ in range(60):
+            run.awaitTermination(1)
+            if run.isActive and read_events(spark, str(tmp_path / "in")).count() >= 40:
+                break
+    finally:
+        run.stop()
+    events = read_events(spark, str(tmp_path / "in"))
+    assert events.count() == 40
+    assert events.filter(~is_valid(events)).count() == 0
+
+
+def test_simulation_does_not_depend_on_partitioning(spark):
+    from datetime import datetime
+
+    now = datetime(2026, 5, 29, 20, 0)
+    one = generate_events(spark, 500, seed=1, now=now)
+    other = simulate_events(spark.range(0, 500, 1, 7).repartition(3), seed=1, now=now)
+    assert one.columns == RAW_FIELDS
+    assert one.exceptAll(other).count() == 0
+    assert one.exceptAll(generate_events(spark, 500, seed=2, now=now)).count() == 500
+    assert one.select("event_id").distinct().count() == 500
+
+
+def test_next_friday_and_steps(spark):
+    days = spark.sql("select explode(sequence(date'2026-05-25', date'2026-05-31')) as d")
+    found = [str(row[0]) for row in days.select(next_friday(F.col("d"))).collect()]
+    assert found == ["2026-05-29"] * 4 + ["2026-06-05"] * 3
+    frame = spark.createDataFrame([(501.25, 2.5), (7.5, 5.0), (12.5, 5.0)], "v double, s double")
+    steps = [r[0] for r in frame.select(round_to_step(F.col("v"), F.col("s"))).collect()]
+    assert steps == [500.0, 10.0, 10.0]

@@ -1,0 +1,243 @@
+"""Reports, marts, rankings and whole jobs against plain Python over the same rows."""
+
+from __future__ import annotations
+
+import csv
+import json
+from collections import Counter, defaultdict
+from datetime import date
+from pathlib import Path
+
+import pytest
+from conftest import SMALL, event, events_frame, write_lines
+
+from tapewatch.operators import rankings, summaries
+from tapewatch.operators.enrich import enrich, process, with_types
+from tapewatch.plans import batch, marts, metrics, reports
+from tapewatch.schema import ENRICHED_FIELDS, ENRICHED_SCHEMA
+from tapewatch.sources.jsonl import read_enriched, write_jsonl
+from tapewatch.sources.market_events import options_events, options_lines
+
+
+@pytest.fixture(scope="module")
+def enriched(spark):
+    return process(options_events(spark, SMALL)).cache()
+
+
+def test_fixture_counts(spark, enriched):
+    assert enriched.count() == 863
+    assert enriched.filter("unusual_activity_score > 0").count() == 416
+    flags = summaries.flag_distribution(enriched).collect()
+    assert [tuple(row) for row in flags] == [
+        ("HIGH_IV", 334),
+        ("VOLUME_EXCEEDS_OPEN_INTEREST", 120),
+        ("HIGH_VOLUME", 61),
+    ]
+
+
+def test_totals_agree_across_summaries(spark, enriched):
+    by_symbol = summaries.symbol_summary(enriched).collect()
+    by_type = summaries.option_type_summary(enriched).collect()
+    daily = summaries.symbol_daily_summary(with_types(enriched)).collect()
+    for name in ("total_events", "unusual_events", "total_volume"):
+        totals = {sum(row[name] for row in rows) for rows in (by_symbol, by_type, daily)}
+        assert len(totals) == 1
+    flags = sum(row["count"] for row in summaries.flag_distribution(enriched).collect())
+    assert flags == enriched.agg({"unusual_activity_score": "sum"}).first()[0]
+
+
+def test_symbol_summary(spark):
+    rows = [event(), event(volume=9000), event(symbol="QQQ", implied_volatility=0.9)]
+    found = summaries.symbol_summary(enrich(events_frame(spark, rows))).collect()
+    assert [row.symbol for row in found] == ["SPY", "QQQ"]
+    assert (found[0].total_events, found[0].unusual_events, found[0].unusual_event_pct) == (
+        2,
+        1,
+        0.5,
+    )
+    assert (found[0].total_volume, found[0].avg_implied_volatility) == (10200, 0.245)
+    assert found[0].avg_unusual_activity_score == 1.0
+
+
+def test_daily_summary(spark):
+    rows = [
+        event(),
+        event(implied_volatility=0.9),
+        event(event_timestamp="2026-05-30T09:00:00"),
+        event(symbol="QQQ"),
+    ]
+    typed = with_types(enrich(events_frame(spark, rows)))
+    found = {
+        (row.symbol, row.event_date): row for row in summaries.symbol_daily_summary(typed).collect()
+    }
+    assert len(found) == 3
+    day = found["SPY", date(2026, 5, 29)]
+    assert (day.total_events, day.unusual_events, day.unusual_event_pct) == (2, 1, 0.5)
+
+
+def test_ranking_order(spark):
+    rows = [
+        event(event_id="a", volume=9000, open_interest=90000),
+        event(event_id="b", volume=100, open_interest=10, implied_volatility=0.9),
+        event(event_id="c", volume=500, open_interest=10, implied_volatility=0.9),
+        event(event_id="d"),
+    ]
+    frame = enrich(events_frame(spark, rows))
+    top = rankings.top_unusual_contracts_report(frame).collect()
+    assert [(row.unusual_activity_score, row.volume) for row in top] == [
+        (2, 500),
+        (2, 100),
+        (1, 9000),
+    ]
+    assert top[0].unusual_activity_flags == "VOLUME_EXCEEDS_OPEN_INTEREST|HIGH_IV"
+    assert rankings.top_unusual_contracts_report(frame, limit=1).count() == 1
+
+
+def test_ranking_over_all_rows_matches_sorted(spark, enriched):
+    rows = enriched.collect()
+    ranked = sorted(
+        (row for row in rows if row.unusual_activity_score > 0),
+        key=lambda r: (
+            -r.unusual_activity_score,
+            -r.volume,
+            -(r.volume_open_interest_ratio or 0),
+            r.event_id,
+        ),
+    )
+    found = rankings.top_unusual_contracts_script(enriched).collect()
+    assert [row.contract_symbol for row in found] == [r.contract_symbol for r in ranked[:25]]
+    by_ratio = sorted(
+        (row for row in rows if row.volume_open_interest_ratio is not None),
+        key=lambda r: (-r.volume_open_interest_ratio, -r.volume, r.event_id),
+    )
+    found = rankings.highest_ratio(enriched).collect()
+    assert [row.contract_symbol for row in found] == [r.contract_symbol for r in by_ratio[:25]]
+
+
+def test_top_symbols(spark, enriched):
+    volumes, counts = defaultdict(int), Counter()
+    for row in enriched.collect():
+        volumes[row.symbol] += row.volume
+        counts[row.symbol] += 1
+    found = rankings.top_symbols_by_volume(enriched, limit=3).collect()
+    expected = sorted(volumes, key=lambda s: (-volumes[s], -counts[s], s))[:3]
+    assert [row.symbol for row in found] == expected
+    assert found[0].avg_volume_per_event == pytest.approx(
+        volumes[expected[0]] / counts[expected[0]], abs=5.1e-5
+    )
+
+
+def test_empty_input(spark, tmp_path):
+    none = spark.createDataFrame([], ENRICHED_SCHEMA)
+    for report in reports.reports(none).values():
+        assert report.count() == 0
+    for mart in marts.marts(none).values():
+        assert mart.count() == 0
+    assert set(reports.write_reports(none, str(tmp_path / "r")).values()) == {0}
+
+
+def test_hot_symbol_gives_the_same_summary(spark):
+    """A third of all rows and more under one symbol."""
+    frame = spark.range(30_000).selectExpr(
+        "case when id % 3 < 2 then 'HOT' else concat('S', id % 50) end as symbol",
+        "cast(id % 977 as int) as volume",
+        "(id % 9000) / 10000D as implied_volatility",
+        "cast(id % 4 as int) as unusual_activity_score",
+    )
+    row = summaries.symbol_summary(frame.repartition(16)).first()
+    hot = [i for i in range(30_000) if i % 3 < 2]
+    assert (row.symbol, row.total_events) == ("HOT", len(hot))
+    assert row.total_volume == sum(i % 977 for i in hot)
+    assert row.unusual_events == sum(i % 4 > 0 for i in hot)
+
+
+def test_csv_reports(spark, enriched, tmp_path):
+    written = reports.write_reports(enriched, str(tmp_path))
+    assert written == {
+        "top_unusual_contracts": 25,
+        "symbol_summary": 8,
+        "flag_distribution": 3,
+        "option_type_summary": 2,
+    }
+    [part] = (tmp_path / "flag_distribution").glob("part-*.csv")
+    with part.open(newline="") as file:
+        rows = list(csv.reader(file))
+    assert rows[0] == ["flag", "count"]
+    assert rows[1] == ["HIGH_IV", "334"]
+    [part] = (tmp_path / "top_unusual_contracts").glob("part-*.csv")
+    header = part.read_text().splitlines()[0]
+    assert header == ",".join(reports.REPORT_COLUMNS["top_unusual_contracts"])
+
+
+def test_marts(spark, enriched, tmp_path):
+    written = marts.write_marts(enriched, str(tmp_path), partition_events_by=["event_date"])
+    assert written["unusual_events"] == 416
+    events = spark.read.parquet(str(tmp_path / "unusual_events"))
+    assert events.count() == 416
+    assert list((tmp_path / "unusual_events").glob("event_date=2024-01-*"))
+    assert spark.read.parquet(str(tmp_path / "flag_summary")).columns == ["flag", "flag_count"]
+
+
+def test_jsonl_keeps_nulls(spark, tmp_path):
+    frame = enrich(events_frame(spark, [event(open_interest=0)])).select(*ENRICHED_FIELDS)
+    write_jsonl(frame, str(tmp_path / "out"))
+    [part] = [p for p in (tmp_path / "out").glob("part-*") if p.stat().st_size]
+    record = json.loads(part.read_text())
+    assert record["volume_open_interest_ratio"] is None
+    assert record["unusual_activity_flags"] == []
+    assert read_enriched(spark, str(tmp_path / "out")).collect() == frame.collect()
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "jsonl"])
+def test_batch_job(spark, tmp_path, fmt):
+    options_lines(spark, SMALL).write.text(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    counts = batch.run_batch(spark, str(tmp_path / "in"), out, fmt=fmt)
+    assert counts == batch.BatchCounts(read=1000, valid=863, invalid=137, unusual=416)
+    valid = batch.read_valid(spark, out, fmt)
+    expected = process(options_events(spark, SMALL)).select(*ENRICHED_FIELDS)
+    assert valid.exceptAll(expected).count() == 0
+    assert valid.count() == 863
+    if fmt == "parquet":
+        assert batch.read_invalid(spark, out).count() == 137
+    again = batch.run_batch(spark, str(tmp_path / "in"), out, fmt=fmt)
+    assert again == counts
+    assert batch.read_valid(spark, out, fmt).count() == 863
+
+
+def test_batch_jsonl_keeps_unknown_fields(spark, tmp_path):
+    rows = [event(venue="CBOE", note='a "quoted" }'), event(venue="X", volume=-1), "{bad", "{}"]
+    path = write_lines(tmp_path / "in", rows)
+    batch.run_batch(spark, path, str(tmp_path / "out"), fmt="jsonl")
+
+    def records(route):
+        folder = Path(tmp_path / "out" / f"route={route}")
+        text = "".join(part.read_text() for part in sorted(folder.glob("part-*")))
+        return [json.loads(line) for line in text.splitlines()]
+
+    [valid] = records("valid")
+    assert valid == {
+        **event(venue="CBOE", note='a "quoted" }'),
+        "unusual_activity_flags": [],
+        "unusual_activity_score": 0,
+        "volume_open_interest_ratio": 0.1412,
+    }
+    by_size = sorted(records("invalid"), key=len)
+    assert any(r.get("raw_line") == "{bad" and r["validation_errors"] for r in by_size)
+    assert any(set(r) == {"validation_errors"} and len(r["validation_errors"]) == 16
+               for r in by_size)
+    assert by_size[-1] == {
+        **event(venue="X", volume=-1),
+        "validation_errors": ["volume cannot be negative"],
+    }
+
+
+def test_run_metrics(spark):
+    frame = events_frame(spark, [event(), event(volume=9000), event(volume=-1), "{bad"])
+    found = {row.metric: row.value for row in metrics.run_metrics(frame).collect()}
+    assert found == {
+        "records_read": 4,
+        "valid_records": 2,
+        "invalid_records": 2,
+        "unusual_records": 1,
+    }
