@@ -1,8 +1,8 @@
 """Every registered query. Each reads whole tables of `sf_dir`.
 
-Validation, routing and the flagship summary run straight from the source. Reports and marts
-read the Parquet layer that one batch run wrote, analytics the tables that one load wrote;
-both happen once per session and input, in the shared folder.
+The order of a real deployment: events as JSON-lines files; validation and routing on those;
+reports and marts on the Parquet layer a batch run wrote from them; analytics on the tables a
+load wrote from that. Each layer is written once per session and input, in the shared folder.
 Results carry doubles for decimals and ISO text for dates, so that engines compare alike.
 """
 
@@ -30,7 +30,7 @@ from tapewatch.plans import analytics, batch, marts, metrics, reports, warehouse
 from tapewatch.scratch import new_folder
 from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
 from tapewatch.sources import simulate
-from tapewatch.sources.jsonl import parse_events, read_enriched, write_jsonl
+from tapewatch.sources.jsonl import parse_events, read_enriched, read_events, write_jsonl
 from tapewatch.sources.market_events import options_events, options_lines
 from tapewatch.sources.tables import read_csv, write_csv, write_parquet
 from tapewatch.streaming import consumer
@@ -62,10 +62,6 @@ def plain(df: DataFrame) -> DataFrame:
 # ---- inputs -------------------------------------------------------------------------
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_events(options_lines(spark, sf_dir))
-
-
 _written: dict[tuple[str, str, str], object] = {}
 
 
@@ -77,13 +73,26 @@ def _once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[str], o
     return _written[key]
 
 
+def raw_folder(spark: SparkSession, sf_dir: str) -> str:
+    """All events as JSON-lines files."""
+
+    def build(folder: str) -> str:
+        options_lines(spark, sf_dir).write.option("maxRecordsPerFile", 1_000_000).text(folder)
+        return folder
+
+    return _once(spark, sf_dir, "raw", build)
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_events(spark, raw_folder(spark, sf_dir))
+
+
 def batch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The enriched Parquet layer that a batch run writes from JSON lines."""
 
     def build(folder: str) -> DataFrame:
-        options_lines(spark, sf_dir).write.text(f"{folder}/raw")
-        batch.run_batch(spark, f"{folder}/raw", f"{folder}/out")
-        return batch.read_valid(spark, f"{folder}/out")
+        batch.run_batch(spark, raw_folder(spark, sf_dir), folder)
+        return batch.read_valid(spark, folder)
 
     return _once(spark, sf_dir, "batch", build)
 
@@ -230,7 +239,9 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def symbol_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.symbol_summary(process(_parsed(spark, sf_dir)))
+    """The flagship: one lazy plan from the table through JSON text to the summary."""
+    events = parse_events(options_lines(spark, sf_dir))
+    return summaries.symbol_summary(process(events))
 
 
 @query
@@ -457,11 +468,9 @@ def consumed_stream(spark: SparkSession, sf_dir: str) -> str:
     """All events through the streaming consumer; returns its output folder."""
 
     def build(folder: str) -> str:
-        lines = options_lines(spark, sf_dir)
-        lines.write.option("maxRecordsPerFile", 25_000).text(f"{folder}/in")
         run = consumer.start_consumer(
             spark,
-            f"{folder}/in",
+            raw_folder(spark, sf_dir),
             f"{folder}/out",
             f"{folder}/checkpoint",
             max_files_per_trigger=1024,

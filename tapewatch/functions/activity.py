@@ -45,5 +45,7 @@ def volume_open_interest_ratio() -> Column:
 
 
 def is_unusual() -> Column:
-    """True for a positive score; a missing score counts as 0."""
-    return F.coalesce(F.col("unusual_activity_score"), F.lit(0)) > 0
+    """True for a positive score. A missing score gives null, which filters and counts skip;
+    wrapping it in a coalesce would keep the filter from reaching the scan.
+    """
+    return F.col("unusual_activity_score") > 0

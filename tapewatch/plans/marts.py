@@ -12,7 +12,7 @@ from tapewatch.operators.summaries import (
     option_type_summary,
     symbol_daily_summary,
 )
-from tapewatch.sources.tables import counted, write_parquet
+from tapewatch.sources.tables import counted, gathered, write_parquet
 
 
 def marts(enriched: DataFrame) -> dict[str, DataFrame]:
@@ -34,8 +34,8 @@ def write_marts(
     """
     written = {}
     for name, mart in marts(enriched).items():
-        rows, observation = counted(mart)
         partition_by = partition_events_by if name == "unusual_events" else ()
+        rows, observation = counted(gathered(mart, partition_by))
         write_parquet(rows, f"{output_dir}/{name}", partition_by=partition_by)
         written[name] = observation.get["rows"]
     return written

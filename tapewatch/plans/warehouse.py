@@ -12,7 +12,6 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,23 +68,14 @@ class Warehouse:
         """Natural columns of a table."""
         return self.stored(table).select(*WAREHOUSE_COLUMNS[table].names)
 
-    def exists(self, table: str) -> bool:
-        try:
-            self.stored(table)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-        return True
-
     def create(self, reset: bool = False) -> None:
         """Create missing tables; `reset` empties existing ones."""
         for table in [*TABLES, REJECTS]:
-            if reset or not self.exists(table):
-                empty = self.spark.range(0).select(
-                    *[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema(table)]
-                )
-                empty.write.mode("overwrite").partitionBy(LOAD_ID).parquet(self.path(table))
+            empty = self.spark.range(0).select(
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema(table)]
+            )
+            writer = empty.write.mode("overwrite" if reset else "ignore")
+            writer.partitionBy(LOAD_ID).parquet(self.path(table))
 
     def tables(self) -> dict[str, DataFrame]:
         return {table: self.table(table) for table in TABLES}

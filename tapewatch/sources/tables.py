@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a directory partition together before a partitioned write.
+
+    Without this every task writes a small file per directory. A rebalance rather than a
+    repartition: adaptive execution splits a directory that holds a large share of the rows.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> None:
