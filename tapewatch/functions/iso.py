@@ -30,15 +30,20 @@ def iso_date(text: Column) -> Column:
 
 
 def _has_offset(text: Column) -> Column:
-    return F.substring(text, 11, 64).rlike("[Z+-]")
+    tail = F.substring(text, 11, 64)
+    return tail.endswith("Z") | tail.contains("+") | tail.contains("-")
 
 
 def _castable(text: Column) -> Column:
-    """The same moment as Spark's cast reads it: "." in fractions, seconds before an offset."""
+    """The same moment as Spark's cast reads it: "." in fractions, seconds before an offset.
+
+    Text with seconds and no comma, by far the most common, is left alone.
+    """
     dotted = F.replace(text, F.lit(","), F.lit("."))
     with_minutes = F.regexp_replace(dotted, "^(.{13})(?=[Z+-])", "$1:00")
     with_seconds = F.regexp_replace(with_minutes, "^(.{16})(?=[Z+-])", "$1:00")
-    return F.when(_has_offset(text), with_seconds).otherwise(dotted)
+    usual = (F.substring(text, 17, 1) == ":") & ~text.contains(",")
+    return F.when(usual, text).otherwise(with_seconds)
 
 
 def is_iso_timestamp(text: Column) -> Column:

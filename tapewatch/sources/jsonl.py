@@ -32,8 +32,10 @@ JSON_OPTIONS = {
 
 def strip_lines(lines: DataFrame) -> DataFrame:
     """Trim `value` and skip blank lines; other columns ride along."""
-    stripped = lines.withColumn("value", F.btrim(F.col("value"), F.lit(WHITESPACE)))
-    return stripped.filter(F.col("value") != "")
+    line = F.col("value")
+    bare = line.startswith("{") & line.endswith("}")
+    stripped = F.when(bare, line).otherwise(F.btrim(line, F.lit(WHITESPACE)))
+    return lines.withColumn("value", stripped).filter(F.col("value") != "")
 
 
 def read_lines(spark: SparkSession, path: str, with_order: bool = False) -> DataFrame:
