@@ -33,7 +33,7 @@ JOBS = {
 HEADLINE = [
     "validation_errors",
     "validation_error_counts",
-    "enriched_events",
+    "enrich",
     "symbol_summary",
     "run_metrics",
     "stream_route",
@@ -42,7 +42,7 @@ HEADLINE = [
     "option_type_summary",
     "top_unusual_contracts_report",
     "symbol_daily_summary",
-    "unique_contract_rows",
+    "unique_contracts",
     "unusual_activity_rows",
     "symbol_activity",
     "unusual_count_by_symbol",
@@ -54,7 +54,7 @@ HEADLINE = [
     "top_unusual_contracts",
     "highest_ratio",
     "top_symbols_by_volume",
-    "simulated_events_checks",
+    "generated_events_profile",
 ]
 
 

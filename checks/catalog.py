@@ -39,11 +39,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+def query(build: Query, name: str | None = None) -> Query:
+    QUERIES[name or build.__name__] = build
     return build
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    """Register under a name that an operator of this module already has."""
+    return lambda build: query(build, name)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates as ISO text, flag arrays as piped text."""
     columns = []
@@ -189,7 +194,7 @@ def columnar_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invalid.select("event_id", F.array_join(ERRORS, ";").alias(ERRORS))
 
 
-@query
+@named("enrich")
 def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(process(_parsed(spark, sf_dir)).select(*ENRICHED_FIELDS))
 
@@ -259,7 +264,7 @@ def top_unusual_contracts_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rankings.top_unusual_contracts_report(batch_events(spark, sf_dir))
 
 
-@query
+@named("unusual_events")
 def unusual_events_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = with_types(batch_events(spark, sf_dir))
     return plain(unusual_events(typed))
@@ -328,7 +333,7 @@ def distinct_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.distinct_symbols(batch_events(spark, sf_dir))
 
 
-@query
+@named("unique_contracts")
 def unique_contract_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(unique_contracts(batch_events(spark, sf_dir)))
 
@@ -504,7 +509,7 @@ def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def simulated_events_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def generated_events_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One simulated event per row of `events`; rows checked and rows out of bounds."""
     ids = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
     now = datetime(2026, 5, 29, 20, 0, 0)
@@ -512,6 +517,7 @@ def simulated_events_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     expiry = c("expiration_date").cast("date")
     seen = F.substring("event_timestamp", 1, 19).cast("timestamp_ntz")
+    latest = F.lit(str(now)).cast("timestamp_ntz")
     bounds = {
         "valid": is_valid(events),
         "id": c("event_id").rlike("^evt_[0-9a-f]{32}$"),
@@ -527,8 +533,7 @@ def simulated_events_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "delta": F.when(c("option_type") == "CALL", c("delta").between(0.05, 0.95)).otherwise(
             c("delta").between(-0.95, -0.05)
         ),
-        "time": (seen <= F.lit(now).cast("timestamp_ntz"))
-        & (seen >= F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(mins=F.lit(390))),
+        "time": seen.between(latest - F.make_dt_interval(mins=F.lit(390)), latest),
     }
     checks = [
         F.struct(F.lit(name).alias("check_name"), F.coalesce(met, F.lit(False)).alias("met"))

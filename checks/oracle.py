@@ -231,7 +231,7 @@ ORACLE_SQL: dict[str, str] = {
     "validity": _raw("SELECT event_id, validation_errors = '' AS is_valid FROM checked"),
     "quarantine": _raw(_QUARANTINE),
     "columnar_quarantine": _raw(_QUARANTINE),
-    "enriched_events": _enriched(f"SELECT {_ENRICHED_COLUMNS} FROM enriched"),
+    "enrich": _enriched(f"SELECT {_ENRICHED_COLUMNS} FROM enriched"),
     "typed_events": _enriched(
         """SELECT event_id, event_timestamp, expiration_date,
   strftime(event_day, '%Y-%m-%d') AS event_date,
@@ -265,7 +265,7 @@ UNION ALL SELECT 'unusual_records', COUNT(*) FROM enriched WHERE unusual_activit
     "top_unusual_contracts_report": _enriched(
         f"SELECT {_CONTRACT_COLUMNS}, unusual_activity_flags {_TOP}"
     ),
-    "unusual_events_mart": _enriched(
+    "unusual_events": _enriched(
         f"""SELECT {_ENRICHED_COLUMNS}, strftime(event_day, '%Y-%m-%d') AS event_date,
   CAST(hour(event_timestamp) AS INTEGER) AS event_hour
 FROM typed WHERE unusual_activity_score > 0"""
@@ -294,7 +294,7 @@ UNION ALL SELECT 'unusual_events', COUNT(*) FROM typed WHERE unusual_activity_sc
     "parquet_roundtrip": _enriched(f"SELECT {_ENRICHED_COLUMNS} FROM enriched"),
     # warehouse
     "distinct_symbols": _enriched("SELECT DISTINCT symbol FROM enriched"),
-    "unique_contract_rows": _enriched(_CONTRACTS),
+    "unique_contracts": _enriched(_CONTRACTS),
     "unusual_activity_rows": _enriched(
         """SELECT event_id, contract_symbol, symbol,
   unnest(string_split(unusual_activity_flags, '|')) AS flag, event_timestamp
@@ -387,7 +387,7 @@ SELECT event_id, CASE WHEN validation_errors <> '' THEN 'invalid'
     "stream_quarantine": _raw(_QUARANTINE),
     "stream_log": _raw(f""", scored AS ({_ENRICHED_OF} FROM checked)
 SELECT {_STATUS} FROM scored"""),
-    "simulated_events_checks": f"""SELECT n.rows_checked, c.check_name, CAST(0 AS BIGINT) AS violations
+    "generated_events_profile": f"""SELECT n.rows_checked, c.check_name, CAST(0 AS BIGINT) AS violations
 FROM (SELECT COUNT(*) AS rows_checked FROM events) n,
   (SELECT unnest([{", ".join(f"'{name}'" for name in _SIMULATION_CHECKS)}]) AS check_name) c""",
 }

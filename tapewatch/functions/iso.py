@@ -56,12 +56,15 @@ def iso_timestamp(text: Column) -> Column:
     The instant of a string with an offset is counted from the epoch, as a cast back to a
     wall clock would use the session's zone. Offsets beyond 18 hours are not accepted.
     """
-    micros = F.unix_micros(_castable(text).try_cast("timestamp"))
-    since_epoch = F.make_dt_interval(secs=micros.cast("decimal(24,6)") / 1000000)
+    clock = _castable(text)
+    since_epoch = F.make_dt_interval(
+        secs=F.unix_micros(clock.try_cast("timestamp")).cast("decimal(24,6)") / 1000000
+    )
     instant = F.lit(_EPOCH).cast("timestamp_ntz") + since_epoch
-    local = F.replace(text, F.lit(","), F.lit(".")).try_cast("timestamp_ntz")
+    in_utc = ~_has_offset(text) | text.endswith("Z") | text.endswith("+00:00")
     return F.when(
-        text.rlike(TIMESTAMP_PATTERN), F.when(_has_offset(text), instant).otherwise(local)
+        text.rlike(TIMESTAMP_PATTERN),
+        F.when(in_utc, clock.try_cast("timestamp_ntz")).otherwise(instant),
     )
 
 

@@ -73,26 +73,33 @@ def consume_batch(lines: DataFrame, max_events: int | None = None) -> DataFrame:
     return route(parse_events(stripped))
 
 
-def start_consumer(
-    spark: SparkSession,
-    input_dir: str,
+def read_stream(
+    spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None, **options: str
+) -> DataFrame:
+    """Lines (`value`) of a growing directory of JSON-lines files.
+
+    New events must arrive as new files, moved into place whole: bytes appended to a file
+    already read are not seen. `options` go to the file source, e.g. `cleanSource`.
+    """
+    reader = spark.readStream.format("text").options(**options)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(input_dir)
+
+
+def consume(
+    lines: DataFrame,
     output_dir: str,
     checkpoint_dir: str,
     *,
-    max_files_per_trigger: int | None = None,
     poll_interval: str | None = None,
     log: bool = False,
     thresholds: Thresholds = DEFAULT_THRESHOLDS,
 ) -> StreamingQuery:
-    """Follow a directory of JSON-lines files.
+    """Route a stream that has a `value` column, from files or any other source.
 
-    Without `poll_interval` the query handles what is there and stops. New events must arrive
-    as new files, moved into place whole: bytes appended to a file already read are not seen.
+    Without `poll_interval` the query handles what is there and stops.
     """
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = strip_lines(reader.load(input_dir))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = output_lines(route(parse_events(batch), thresholds), log)
@@ -100,14 +107,35 @@ def start_consumer(
             folder = f"{output_dir}/batch_id={batch_id}"
             out.write.mode("overwrite").partitionBy(ROUTE).text(folder)
 
-    writer = lines.writeStream.foreachBatch(write_batch).option(
-        "checkpointLocation", checkpoint_dir
-    )
+    writer = strip_lines(lines.select("value")).writeStream.foreachBatch(write_batch)
+    writer = writer.option("checkpointLocation", checkpoint_dir)
     if poll_interval:
         return writer.trigger(processingTime=poll_interval).start()
     return writer.trigger(availableNow=True).start()
 
 
+def start_consumer(
+    spark: SparkSession,
+    input_dir: str,
+    output_dir: str,
+    checkpoint_dir: str,
+    *,
+    max_files_per_trigger: int | None = None,
+    poll_interval: str | None = None,
+    log: bool = False,
+    thresholds: Thresholds = DEFAULT_THRESHOLDS,
+) -> StreamingQuery:
+    """Follow a directory of JSON-lines files, see `read_stream` and `consume`."""
+    return consume(
+        read_stream(spark, input_dir, max_files_per_trigger),
+        output_dir,
+        checkpoint_dir,
+        poll_interval=poll_interval,
+        log=log,
+        thresholds=thresholds,
+    )
+
+
 def _read_route(spark: SparkSession, output_dir: str, name: str) -> DataFrame:
     schema = f"value string, batch_id bigint, {ROUTE} string"
     return spark.read.schema(schema).text(output_dir).filter(F.col(ROUTE) == name)
