@@ -1,0 +1,156 @@
+"""Validation, routing, enrichment and first-wins against row-by-row Python on random events."""
+
+from __future__ import annotations
+
+import json
+import random
+from datetime import date, datetime
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from conftest import event, events_frame, write_lines
+from pyspark.sql import functions as F
+
+from tapewatch.operators import validate as v
+from tapewatch.plans import batch, marts, reports
+from tapewatch.sources.jsonl import read_events
+from tapewatch.sources.tables import gathered
+from tapewatch.streaming.consumer import route
+
+NOT_A_NUMBER = [None, "7", "x", True, [1], {"a": 1}]
+CHOICES = {
+    "symbol": ["SPY", None, ...],
+    "option_type": ["CALL", "PUT", "call", None, 5, ...],
+    "expiration_date": ["2026-06-19", "2026-02-30", "20260619", None, 7, ...],
+    "event_timestamp": ["2026-05-29T13:45:00+00:00", "2026-05-29 13:45", "soon", None, ...],
+    "strike": [530.0, 1, 0, -5.5, *NOT_A_NUMBER, ...],
+    "bid": [0, 4.2, 9.5, -0.01, *NOT_A_NUMBER, ...],
+    "ask": [4.5, 4.2, -1, *NOT_A_NUMBER, ...],
+    "last_price": [0, 4.4, -2, *NOT_A_NUMBER, ...],
+    "volume": [0, 4999, 5000, 20000, -1, 1.5, *NOT_A_NUMBER, ...],
+    "open_interest": [0, 1, 5000, -1, *NOT_A_NUMBER, ...],
+    "implied_volatility": [0.8, 0.7999, 1.1, 0, -1, *NOT_A_NUMBER, ...],
+    "delta": [0.5, None, "x", ...],
+    "underlying_price": [528.1, 0, -3, *NOT_A_NUMBER, ...],
+}
+
+
+def random_event(rng: random.Random, i: int) -> dict:
+    faults = rng.choice([0, 0, 1, 1, 2, 4])
+    changes = {name: rng.choice(CHOICES[name]) for name in rng.sample(list(CHOICES), faults)}
+    return event(event_id=f"e{i}", **changes)
+
+
+def parses(parser, value) -> bool:
+    try:
+        parser(value)
+    except (TypeError, ValueError):
+        return False
+    # Basic form is a documented rejection.
+    return "-" in value
+
+
+def expected_errors(row: dict) -> list[str]:
+    missing = [v.MISSING_PREFIX + name for name in sorted(event()) if name not in row]
+    if missing:
+        return missing
+    whole = ("volume", "open_interest")
+    wrong = []
+    for name in v.CHECKED_NUMBERS:
+        value = row[name]
+        number = isinstance(value, (int, float)) and not isinstance(value, bool)
+        if not number or (name in whole and not isinstance(value, int)):
+            wrong.append(name + v.TYPE_SUFFIX)
+    if wrong:
+        return wrong
+    checks = [
+        (v.OPTION_TYPE_ERROR, row["option_type"] in v.OPTION_TYPES),
+        (v.VOLUME_ERROR, row["volume"] >= 0),
+        (v.OPEN_INTEREST_ERROR, row["open_interest"] >= 0),
+        (v.BID_ERROR, row["bid"] >= 0),
+        (v.ASK_ERROR, row["ask"] >= 0),
+        (v.CROSSED_ERROR, row["bid"] <= row["ask"]),
+        (v.LAST_PRICE_ERROR, row["last_price"] >= 0),
+        (v.STRIKE_ERROR, row["strike"] > 0),
+        (v.UNDERLYING_ERROR, row["underlying_price"] > 0),
+        (v.IV_ERROR, row["implied_volatility"] > 0),
+        (v.TIMESTAMP_ERROR, parses(datetime.fromisoformat, row["event_timestamp"])),
+        (v.EXPIRATION_ERROR, parses(date.fromisoformat, row["expiration_date"])),
+    ]
+    return [message for message, met in checks if not met]
+
+
+def expected_score(row: dict) -> int:
+    share = row["volume"] / row["open_interest"] if row["open_interest"] else 0
+    return (row["volume"] >= 5000) + (share >= 1) + (row["implied_volatility"] >= 0.8)
+
+
+def expected_ratio(row: dict) -> float | None:
+    if not row["open_interest"]:
+        return None
+    share = Decimal(row["volume"]) / row["open_interest"]
+    return float(share.quantize(Decimal("0.0001"), ROUND_HALF_UP))
+
+
+@pytest.fixture(scope="module")
+def events():
+    rng = random.Random(11)
+    return {f"e{i}": random_event(rng, i) for i in range(1500)}
+
+
+def test_errors_flags_and_routes(spark, events):
+    frame = events_frame(spark, list(events.values()))
+    routed = {row.event_id: row for row in route(frame).collect()}
+    assert len(routed) == len(events)
+    seen = set()
+    for name, row in events.items():
+        errors = expected_errors(row)
+        seen.update(errors)
+        found = routed[name]
+        assert (found.validation_errors or []) == errors, row
+        assert found.is_valid == (not errors)
+        if errors:
+            assert (found.route, found.unusual_activity_score) == ("invalid", None)
+        else:
+            score = expected_score(row)
+            assert found.unusual_activity_score == len(found.unusual_activity_flags) == score
+            assert found.volume_open_interest_ratio == expected_ratio(row)
+            assert found.route == ("alert" if score else "normal")
+    assert len(seen) > 30
+
+
+def test_batch_over_files_gives_the_same(spark, events, tmp_path):
+    lines = [json.dumps(row) for row in events.values()]
+    path = write_lines(tmp_path / "in", [*lines[:700], "", "  ", *lines[700:], "{bad"])
+    counts = batch.run_batch(spark, path, str(tmp_path / "out"))
+    bad = [row for row in events.values() if expected_errors(row)]
+    assert (counts.read, counts.invalid) == (len(events) + 1, len(bad) + 1)
+    stored = batch.read_invalid(spark, str(tmp_path / "out")).collect()
+    assert sorted(r.value for r in stored) == sorted([*map(json.dumps, bad), "{bad"])
+
+
+def test_empty_file(spark, tmp_path):
+    path = write_lines(tmp_path / "in", [""])
+    counts = batch.run_batch(spark, path, str(tmp_path / "out"))
+    assert counts == batch.BatchCounts(0, 0, 0, 0)
+    assert read_events(spark, path).count() == 0
+    valid = batch.read_valid(spark, str(tmp_path / "out"))
+    assert valid.count() == 0
+    assert reports.write_reports(valid, str(tmp_path / "r"))["symbol_summary"] == 0
+    assert marts.write_marts(valid, str(tmp_path / "m"))["unusual_events"] == 0
+
+
+def test_hot_day_is_kept_whole(spark, tmp_path):
+    """Two thirds of the rows on one day; the write is rebalanced and loses nothing."""
+    frame = spark.range(0, 30_000, 1, 6).select(
+        "id",
+        F.when(F.col("id") % 3 < 2, "2026-05-29").otherwise(
+            F.concat(F.lit("2026-06-0"), F.col("id") % 9 + 1)
+        ).alias("event_date"),
+    )
+    spread = gathered(frame, ["event_date"])
+    assert "RebalancePartitions" in spread._jdf.queryExecution().optimizedPlan().toString()
+    spread.write.partitionBy("event_date").parquet(str(tmp_path / "out"))
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert stored.select("id").distinct().count() == stored.count() == 30_000
+    assert stored.filter("event_date = '2026-05-29'").count() == 20_000
