@@ -26,7 +26,7 @@ from tapewatch.operators.validate import (
     split_events,
     with_validation_errors,
 )
-from tapewatch.plans import analytics, batch, marts, metrics, reports, warehouse
+from tapewatch.plans import batch, marts, metrics, reports, warehouse
 from tapewatch.scratch import new_folder
 from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
 from tapewatch.sources import simulate

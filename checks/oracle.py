@@ -387,7 +387,8 @@ SELECT event_id, CASE WHEN validation_errors <> '' THEN 'invalid'
     "stream_quarantine": _raw(_QUARANTINE),
     "stream_log": _raw(f""", scored AS ({_ENRICHED_OF} FROM checked)
 SELECT {_STATUS} FROM scored"""),
-    "generated_events_profile": f"""SELECT n.rows_checked, c.check_name, CAST(0 AS BIGINT) AS violations
+    "generated_events_profile": f"""SELECT n.rows_checked, c.check_name,
+  CAST(0 AS BIGINT) AS violations
 FROM (SELECT COUNT(*) AS rows_checked FROM events) n,
   (SELECT unnest([{", ".join(f"'{name}'" for name in _SIMULATION_CHECKS)}]) AS check_name) c""",
 }

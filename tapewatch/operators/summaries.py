@@ -1,4 +1,7 @@
-"""Grouped summaries. All measures combine map-side, so a hot symbol costs one partial row per task."""
+"""Grouped summaries.
+
+All measures combine map-side, so a hot symbol costs one partial row per task.
+"""
 
 from __future__ import annotations
 

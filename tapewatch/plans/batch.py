@@ -43,7 +43,7 @@ def unsorted_partition_writes(spark: SparkSession, writers: int = 8) -> Iterator
 
 
 def classify(events: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Every event with `is_valid`, its errors (null if valid) and the derived fields (null if not)."""
+    """Every event with `is_valid`, its errors if not valid and the derived fields if valid."""
     checked = events.withColumn("is_valid", is_valid(events))
     valid = F.col("is_valid")
     enriched = enrich(with_validation_errors(checked, only=~valid), thresholds)

@@ -55,8 +55,8 @@ def project_events(events: DataFrame) -> DataFrame:
         "event_id": F.expr("concat('evt_', e)"),
         "symbol": _faulty(107, "null", "sym"),
         "contract_symbol": F.expr(
-            "concat_ws('_', sym, replace(cast(ex as string), '-', ''), lpad(strike_c * 10, 8, '0'), "
-            "case when e % 2 = 0 then 'C' else 'P' end)"
+            "concat_ws('_', sym, replace(cast(ex as string), '-', ''), "
+            "lpad(strike_c * 10, 8, '0'), case when e % 2 = 0 then 'C' else 'P' end)"
         ),
         "expiration_date": _faulty(101, "'2024-02-30'", expiry),
         "strike": _faulty(113, "0", "strike_c / 100D"),

@@ -54,7 +54,8 @@ def check_outputs(spark, root):
     assert alerts.exceptAll(expected).count() == 0
     invalid = invalid_events(parse_events(options_lines(spark, SMALL)))
     wanted = {(row.event_id, tuple(row.validation_errors)) for row in invalid.collect()}
-    lines = [json.loads(row.value) for row in consumer.read_quarantine(spark, f"{root}/out").collect()]
+    stored = consumer.read_quarantine(spark, f"{root}/out").collect()
+    lines = [json.loads(row.value) for row in stored]
     assert len(lines) == 137
     assert {(line["event_id"], tuple(line["validation_errors"])) for line in lines} == wanted
 
