@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapewatch.llm import licenses
+from tapewatch.llm.licenses import PHRASES, TEMPLATES, Scanner, SuffixAutomaton, scanned
+
+
+def words(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def base(text):
+    """(words, places, first, last, labels) of the phrases, by comparing words."""
+    found, starts, labels = words(text), [], set()
+    for phrase, label in PHRASES.items():
+        own = phrase.split()
+        for at in range(len(found) - len(own) + 1):
+            if found[at : at + len(own)] == own:
+                starts.append(at)
+                labels.add(label)
+    return len(found), len(starts), min(starts, default=None), max(starts, default=None), sorted(labels)
+
+
+@pytest.fixture(scope="module")
+def scanner():
+    return Scanner(PHRASES, TEMPLATES)
+
+
+def longest_ending(sequences, ids, at):
+    for length in range(at + 1, 0, -1):
+        part = ids[at + 1 - length : at + 1]
+        if any(s[i : i + length] == part for s in sequences for i in range(len(s) - length + 1)):
+            return length
+    return 0
+
+
+def test_matching_statistics():
+    random.seed(1)
+    for _ in range(60):
+        sequences = [[random.randrange(3) for _ in range(random.randrange(1, 9))] for _ in range(4)]
+        automaton = SuffixAutomaton(sequences)
+        ids = [random.randrange(-1, 4) for _ in range(25)]
+        for at, (state, length) in enumerate(automaton.statistics(ids)):
+            assert length == longest_ending(sequences, ids, at)
+            part = ids[at + 1 - length : at + 1]
+            ends = {
+                (n, i + length)
+                for n, s in enumerate(sequences)
+                for i in range(len(s) - length + 1)
+                if length and s[i : i + length] == part
+            }
+            assert set(automaton.places[state]) == ends
+
+
+def test_base_on_random_texts(scanner):
+    random.seed(2)
+    pool = ["mit", "MIT", "license", "License.", "apache", "general", "public", "the", "é", "x9", "-", "GNU"]
+    for _ in range(500):
+        text = " ".join(random.choice(pool) for _ in range(random.randrange(30)))
+        found = scanner.scan(text)
+        assert (found["n_words"], found["n_base"], found["first_word"], found["last_word"], found["base_labels"]) == base(text)
+        assert set(found["base_labels"]) <= set(found["labels"]) and 0 <= found["score"] <= 1
+
+
+@pytest.mark.parametrize("label", TEMPLATES)
+def test_templates_are_found_with_edits(scanner, label):
+    text = TEMPLATES[label]
+    exact = scanner.scan("Some words before.\n" + text + "\nAnd words after it.")
+    span = next(s for s in exact["spans"] if s["label"] == label)
+    assert (span["first_word"], span["last_word"], span["cover"]) == (3, 2 + len(words(text)), 1.0)
+    own = text.split()
+    if len(own) > 20:
+        own[10] = "REPLACED"
+        del own[15]
+        edited = scanner.scan(" ".join(own))
+        assert label in edited["labels"]
+    assert label not in scanner.scan(" ".join(text.split()[: len(own) // 3]))["labels"]
+
+
+def test_clean_text_has_no_licence(scanner):
+    found = scanner.scan("the software is provided to you, and a copy of the file may not use this. " * 20)
+    assert (found["n_base"], found["labels"], found["score"]) == (0, [], 0.0)
+
+
+def test_long_text(scanner):
+    text = "plain words of no licence here " * 80_000 + "released under the MIT License. " + "more words " * 80_000
+    found = scanner.scan(text)
+    assert (found["n_words"], found["n_base"], found["first_word"]) == (480_000 + 5 + 160_000, 1, 480_003)
+    assert found["labels"] == ["mit", "mit-line"]
+
+
+def test_odd_documents(odd_documents):
+    rows = odd_documents.withColumn("scan", scanned(F.col("text"))).collect()
+    assert len(rows) == odd_documents.count()
+    for row in rows:
+        assert tuple(row.scan)[:5] == base(row.text)
+
+
+def test_no_documents(no_documents):
+    assert no_documents.select(scanned(F.col("text"))).collect() == []
+
+
+def test_registered_query(spark):
+    from tapewatch.llm.queries import op3_license_scan
+
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    rows = op3_license_scan(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == len(docs) and sum(r.n_base for r in rows) > 10
+    for row in rows:
+        n_words, n_base, first, last, labels = base(docs[row.doc_id])
+        assert (row.n_words, row.n_base, row.first_word, row.last_word) == (n_words, n_base, first, last)
+        assert row.base_labels == ",".join(labels)
+
+
+def test_states_are_linear():
+    """A suffix automaton has fewer than two states per word."""
+    scanner = licenses.Scanner(PHRASES, TEMPLATES)
+    total = sum(len(words(t)) for t in [*PHRASES, *TEMPLATES.values()])
+    assert len(scanner.automaton.states) < 2 * total

@@ -1,0 +1,142 @@
+from __future__ import annotations
+
+import random
+import re
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapewatch.llm.pii import Feistel, Finder, check_digit, pseudonymised
+
+KEY = b"a secret"
+
+
+@pytest.fixture(scope="module")
+def own():
+    return Finder(KEY)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 256, 1000])
+def test_permutation(size):
+    network = Feistel(KEY, "test", size)
+    images = [network.permute(v) for v in range(size)]
+    assert sorted(images) == list(range(size))
+    assert [network.restore(v) for v in images] == list(range(size))
+    assert size < 10 or images != [Feistel(b"other", "test", size).permute(v) for v in range(size)]
+    even = [v for v in range(size) if v % 2 == 0]
+    walked = [network.permute(v, lambda v: v % 2 == 0) for v in even]
+    assert sorted(walked) == even and [network.restore(v, lambda v: v % 2 == 0) for v in walked] == even
+
+
+def card(seed, length=16):
+    body = random.Random(seed).choice("456") + "".join(random.Random(seed + 1).choices("0123456789", k=length - 2))
+    return body + str(check_digit(body))
+
+
+def luhn(digits):
+    values = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(v - 9 if v > 9 else v for v in values) % 10 == 0
+
+
+@pytest.mark.parametrize("length", [13, 15, 16, 19])
+def test_cards(own, length):
+    for seed in range(50):
+        number = card(seed, length)
+        assert luhn(number)
+        new, [(kind, first, last, pseudonym)] = own.replace(f"pay {number} now")
+        assert (kind, first, last) == ("card", 4, 4 + length) and new == f"pay {pseudonym} now"
+        assert luhn(pseudonym) and len(pseudonym) == length and pseudonym != number and pseudonym[0] == number[0]
+        wrong = number[:-1] + str((int(number[-1]) + 1) % 10)
+        assert own.replace(f"pay {wrong} now") == (f"pay {wrong} now", [])
+
+
+def test_formats_stay_and_values_stay_linked(own):
+    number = card(7)
+    spaced = " ".join(number[i : i + 4] for i in range(0, 16, 4))
+    (plain, _), (parted, _) = own.replace(number), own.replace(spaced)
+    assert parted.replace(" ", "") == plain and re.fullmatch(r"(\d{4} ){3}\d{4}", parted)
+    assert own.replace(f"{number} {number}")[0] == f"{plain} {plain}"
+    assert Finder(b"other").replace(number)[0] != plain
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "shape"),
+    [
+        ("call +1 (389) 555-5010 now", "phone", r"call \+1 \(\d{3}\) \d{3}-\d{4} now"),
+        ("call (389) 555-5010.", "phone", r"call \(\d{3}\) \d{3}-\d{4}\."),
+        ("+49 30 1234 5678", "phone", r"\+49 \d\d \d{4} \d{4}"),
+        ("at 169.122.221.182!", "ipv4", r"at \d{1,3}(\.\d{1,3}){3}!"),
+        ("born 1984-02-29,", "date", r"born \d{4}-\d\d-\d\d,"),
+        ("born 3.11.1984 x", "date", r"born [1-9]\.1[0-2]\.\d{4} x"),
+        ("born 02/29/1984", "date", r"born \d\d/\d\d/\d{4}"),
+        ("ssn 123-45-6789", "ssn", r"ssn \d{3}-\d\d-\d{4}"),
+        ("GB82 WEST 1234 5698 7654 32", "iban", r"GB\d\d WEST \d{4} \d{4} \d{4} \d\d"),
+        ("mail the.72@mail3.example.com&&&", "email", r"mail [a-z]{3}\.\d\d@mail3\.example\.com&&&"),
+        ("MAIL Reeux.09@mail2.example.com,", "email", r"MAIL [A-Z][a-z]{4}\.\d\d@mail2\.example\.com,"),
+    ],
+)
+def test_kinds(own, text, kind, shape):
+    new, spans = own.replace(text)
+    assert [s[0] for s in spans] == [kind] and re.fullmatch(shape, new) and new != text
+    assert own.replace(new)[1][0][0] == kind  # the pseudonym is a valid value itself
+    for _, first, last, pseudonym in spans:
+        assert pseudonym in new and text[:first] == new[:first] and last <= len(text)
+
+
+@pytest.mark.parametrize("text", ["256.1.1.1", "1.2.3", "1.2.3.4.5", "2023-02-30", "31.04.2020", "000-12-3456", "GB83 WEST 1234 5698 7654 32", "12345", "a@b", "@", "v1.02.3.4", "0000000000000000"])
+def test_no_such_value(own, text):
+    assert own.replace(text) == (text, [])
+
+
+def test_dates_are_a_permutation(own):
+    days = [date(1990 + i % 30, 1 + i % 12, 1 + i % 28) for i in range(300)]
+    distinct = sorted(set(days))
+    images = {own.replace(day.isoformat())[0] for day in distinct}
+    assert len(images) == len(distinct) and all(date.fromisoformat(image) for image in images)
+
+
+def test_long_text(own):
+    filler = "nothing of the kind here. " * 200_000
+    number = card(3)
+    text = filler + number + filler + "x.1@mail.example.com" + filler
+    new, spans = own.replace(text)
+    assert [(s[0], s[1]) for s in spans] == [("card", len(filler)), ("email", 2 * len(filler) + 16)]
+    assert len(new) == len(text)
+
+
+def test_windows_miss_nothing(own):
+    """Values at all distances from each other are found as in a text of their own."""
+    values = [card(1), "+1 (389) 555-5010", "9.122.221.182", "ab.72@mail3.example.com", "1984-02-29"]
+    alone = {value: own.replace(value)[0] for value in values}
+    for gap in (1, 2, 50, 99, 100, 101, 200, 319, 320, 321, 419, 420, 421, 900):
+        text = (" " + "z" * (gap - 1) + " ").join(values)
+        expected = (" " + "z" * (gap - 1) + " ").join(alone[value] for value in values)
+        assert own.replace(text)[0] == expected
+
+
+def test_odd_documents(odd_documents):
+    rows = odd_documents.withColumn("p", pseudonymised(F.col("text"), KEY)).collect()
+    assert len(rows) == odd_documents.count()
+    assert all(r.p.text == r.text and not r.p.spans for r in rows if r.text is None or not re.search(r"\d|@", r.text))
+    assert all((r.p.text is None) == (r.text is None) for r in rows)
+
+
+def test_no_documents(no_documents):
+    assert no_documents.select(pseudonymised(F.col("text"), KEY)).collect() == []
+
+
+def test_registered_query_leaves_no_personal_value(spark):
+    from tapewatch.llm.queries import op10_pseudonyms
+
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    rows = op10_pseudonyms(spark, "/root/testdata/sf0.01").collect()
+    found = 0
+    for row in rows:
+        text = docs[row.doc_id]
+        values = re.findall(r"[\w.]+@[\w.]+|\+1 \(\d{3}\) \d{3}-\d{4}|(?<![\d.])\d+\.\d+\.\d+\.\d+", text)
+        values += [n for n in re.findall(r"(?<!\d)\d{16}(?!\d)", text) if luhn(n)]
+        found += len(values)
+        assert not [v for v in values if v in row.text]
+        assert values or (row.text == text and row.n_spans == 0)
+    assert found > 20 and len(rows) == len(docs)
