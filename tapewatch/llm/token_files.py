@@ -22,16 +22,20 @@ store Spark can write to, under Spark's commit protocol, and a lost executor's t
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tapewatch.llm.support import pieces_of
+
 #: Token numbers in a frame at most: what a reader holds at a time.
 FRAME_TOKENS = 1 << 20
 #: Compressed bytes that are put into one record, about.
@@ -47,15 +51,46 @@ ENTRY = struct.Struct("<qBQIII")
 FOOTER = struct.Struct("<II")
 HAS_ID, FIRST = 1, 2
 
-#: Words that a worker remembers the tokens of, and the longest that it remembers.
-CACHE_WORDS, CACHE_LENGTH = 400_000, 64
+#: Parts and words that a worker remembers the tokens of.
+CACHE_PARTS, CACHE_WORDS = 600_000, 100_000
+
+#: Texts of ASCII and Latin-1 letters, which the tokenizer's own splitting pattern takes apart like this
+#: once they are lower-case.
+_PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+_PARTS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
+
+
+def trimmed(memory: dict, limit: int) -> None:
+    """Forgets the later half of a memory over its limit: frequent words come early, rare ones late."""
+    if len(memory) > limit:
+        kept = list(islice(memory.items(), limit // 2))
+        memory.clear()
+        memory.update(kept)
+
+
+class Parts(dict):
+    """Tokens of parts of words, by the library's model, remembered."""
 
+    def __init__(self, model):
+        from tokenizers.pre_tokenizers import ByteLevel
 
-class WordEncoder(dict):
-    """Token numbers of texts, by the tokenizers library, remembered by word.
+        self.model = model
+        self.bytes = ByteLevel(add_prefix_space=False, use_regex=False)
 
-    The tokenizer must not look across ASCII white space and must drop it, as tokenizers with word ends
-    do: then a text's tokens are those of its words, one after the other.
+    def __missing__(self, part: str) -> bytes:
+        symbols = part if part.isascii() else self.bytes.pre_tokenize_str(part)[0][0]
+        found = [token.id for token in self.model.tokenize(symbols)]
+        ids = self[part] = struct.pack(f"<{len(found)}I", *found)
+        return ids
+
+
+class WordEncoder:
+    """Token numbers of texts, by the tokenizers library, remembered by part or word.
+
+    For tokenizers that lower-case, drop white space and split words into runs of letters, single
+    digits, contractions and runs of the rest: a text's tokens are those of its parts, one after the
+    other. Parts of plain texts go to the library's model; the words of other texts, between ASCII
+    white space, go to the whole library.
     """
 
     def __init__(self, path: str, end: int):
@@ -63,22 +98,29 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = struct.pack("<I", end)
+        self.parts = Parts(self.tokenizer.model)
+        self.words: dict[str, bytes] = {}
+
+    def _by_word(self, words: list[str]) -> bytes:
+        trimmed(self.words, CACHE_WORDS)
+        new = list({word for word in words if word not in self.words})
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.words.update((word, struct.pack(f"<{len(one)}I", *one.ids)) for word, one in zip(new, found))
+        return b"".join(map(self.words.__getitem__, words))
 
     def encode(self, text: str | None) -> bytes:
         """Token numbers as little-endian 32-bit integers, then the end number."""
-        words = (text or "").encode().split()
-        new = list({word for word in words if word not in self})
-        if new:
-            if len(self) + len(new) > CACHE_WORDS:
-                self.clear()
-                new = list(set(words))
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            self.update((w, struct.pack(f"<{len(one)}I", *one.ids)) for w, one in zip(new, found))
-        ids = b"".join(map(self.__getitem__, words)) + self.end
-        if len(self) > CACHE_WORDS:  # a text with more different words than that
-            self.clear()
-        return ids
+        out = []
+        for data in pieces_of((text or "").encode()):
+            piece = data.decode()
+            if _PLAIN.fullmatch(piece) and not any(token in piece for token in self.special):
+                trimmed(self.parts, CACHE_PARTS)
+                out.append(b"".join(map(self.parts.__getitem__, _PARTS.findall(piece.lower()))))
+            else:
+                out.append(self._by_word([word.decode() for word in data.split()]))
+        return b"".join(out) + self.end
 
 
 @lru_cache(maxsize=2)

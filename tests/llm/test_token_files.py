@@ -7,6 +7,8 @@ from pathlib import Path
 import public_tokenizers
 import pytest
 import zstandard
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tapewatch.llm import token_files
@@ -105,7 +107,21 @@ def test_like_the_library_on_all_texts(spark, library):
 
 def test_memory_of_words_is_bounded(library, monkeypatch):
     monkeypatch.setattr(token_files, "CACHE_WORDS", 5)
+    monkeypatch.setattr(token_files, "CACHE_PARTS", 4)
     encoder = token_files.WordEncoder(PATH, 2)
-    for text in ("one two three", "four five six one", "a b c d e f g h i j k", "one", ""):
+    for text in ("one two three", "four five six one", "a b c d e f g h i j k", "漢 字 か な", "漢", "one", "", "one two"):
+        assert encoder.encode(text) == ids_of(library, text)
+        # over the limit by what one text adds at most
+        assert len(encoder.words) <= 5 + 11 and len(encoder.parts) <= 4 + 11
+
+
+WORDS = st.text("aZéÉßÿª'strevmld09½.,!<|endoftext>漢́_$\x1c\x00\x85\xa0 \t\n", max_size=30)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(WORDS, st.sampled_from(["it's", "DON'T", "<|endoftext|>", "a<|startoftext|>b", "Σς", "İ"])), max_size=8))
+def test_words_one_by_one_are_like_the_library(library, words):
+    encoder = token_files.word_encoder(PATH, 2)
+    plain = "".join(c for c in " ".join(words) if c in "aZéÉßÿ'strevmld09., <|end>_$")
+    for text in (" ".join(words), "".join(words), plain, plain.upper()):
         assert encoder.encode(text) == ids_of(library, text)
-        assert len(encoder) <= 5
