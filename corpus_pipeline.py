@@ -63,21 +63,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token numbers of each document, with the check that they decode to its text."""
-    encoded = docs.select("doc_id", "text", byte_bpe.encoded(F.col("text"), BYTE_RANKS).alias("tokens"))
-    decoded = encoded.select(
-        "doc_id",
-        "text",
-        F.col("tokens.ids").alias("ids"),
-        F.col("tokens.offsets").alias("offsets"),
-        byte_bpe.decoded(F.col("tokens.ids"), BYTE_RANKS).alias("bytes"),
-    )
-    original = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return decoded.select(
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    encoded = byte_bpe.with_tokens(docs.select("doc_id", "text", digest.alias("text_sha256")), BYTE_RANKS)
+    return byte_bpe.with_decoded(encoded, BYTE_RANKS).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",
         "offsets",
-        (F.col("bytes") == original).alias("exact"),
+        (F.sha2("decoded", 256) == F.col("text_sha256")).alias("exact"),
     )
 
 

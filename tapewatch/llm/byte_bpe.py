@@ -17,15 +17,18 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tapewatch.llm.support import slices, trimmed
 
 # ---- character classes ----------------------------------------------------------------
 
@@ -35,7 +38,7 @@ CODE_POINTS = 0x110000
 #: Characters of a text that are scanned at a time.
 PART = 1 << 19
 #: Pieces a worker remembers the tokens of, and the longest that it remembers.
-CACHE_PIECES, CACHE_LENGTH = 400_000, 64
+CACHE_PIECES, CACHE_LENGTH = 200_000, 64
 
 
 @lru_cache(maxsize=1)
@@ -45,14 +48,15 @@ def character_classes() -> np.ndarray:
     The library's tables decide what is a letter, a number or white space: all code points are run
     through it once per class.
     """
-    codes = [chr(code) for code in range(CODE_POINTS) if not 0xD800 <= code < 0xE000]
     ranks = {bytes([value]): value for value in range(256)}
     classes = np.full(CODE_POINTS, OTHER, dtype=np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (BLANK, r"\s")):
         found = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        for start in range(0, len(codes), 1 << 16):
-            text = bytes(found.encode_ordinary("".join(codes[start : start + (1 << 16)]))).decode()
-            classes[np.frombuffer(text.encode("utf-32-le"), np.uint32)] = kind
+        for start in range(0, CODE_POINTS, 1 << 11):
+            if not 0xD800 <= start < 0xE000:  # surrogates are no characters
+                codes = np.arange(start, start + (1 << 11), dtype="<u4").tobytes().decode("utf-32-le")
+                text = bytes(found.encode_ordinary(codes)).decode()
+                classes[np.frombuffer(text.encode("utf-32-le"), np.uint32)] = kind
     classes[ord(" ")] = SPACE
     return classes
 
@@ -261,7 +265,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Merges(dict):
-    """Piece to token numbers as bytes; forgets all when full, so memory is bounded."""
+    """Piece to token numbers as bytes; forgets the later half when full, so memory is bounded."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -269,8 +273,7 @@ class Merges(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = np.array(merge(piece.encode(), self.ranks), dtype="<u4").tobytes()
         if len(piece) <= CACHE_LENGTH:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
+            trimmed(self, CACHE_PIECES)
             self[piece] = ids
         return ids
 
@@ -310,9 +313,9 @@ class Codec:
                 size += len(text)
 
     def offsets(self, ids: bytes) -> bytes:
-        """The byte offset of each token in the text, as 64-bit integers."""
+        """The byte offset of each token in the text, as 32-bit integers: no text has 4 GB."""
         lengths = self.lengths[np.frombuffer(ids, dtype="<u4")]
-        return (np.cumsum(lengths) - lengths).astype("<i8").tobytes()
+        return (np.cumsum(lengths) - lengths).astype("<u4").tobytes()
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
@@ -324,41 +327,54 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encoded(text: Column, path: str, offsets: bool = True) -> Column:
-    """Struct of `ids` (little-endian unsigned 32-bit integers) and `offsets` (64-bit byte offsets).
+def with_tokens(
+    docs: DataFrame, path: str, text_column: str = "text", ids: str = "ids", offsets: str | None = "offsets"
+) -> DataFrame:
+    """`docs` with the tokens of a text in place of it: `ids`, and the byte `offsets` of each unless None.
 
-    Null counts as empty; an empty text has no tokens. With `offsets` false that field is null.
+    Both are little-endian unsigned 32-bit integers. Null counts as empty; an empty text has no tokens.
+    All rows and other columns stay; `ids` and `offsets` must be new names.
     """
-
-    @F.arrow_udf("struct<ids: binary, offsets: binary>")
-    def column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    kept = [name for name in docs.columns if name != text_column]
+    added = [name for name in (ids, offsets) if name]
+    if {name.lower() for name in kept} & {name.lower() for name in added}:
+        raise ValueError(f"docs already has a column of {added}")
+    rows = docs.select(F.col(text_column).alias(text_column), *[F.col(name) for name in kept])
+    schema = T.StructType([docs.schema[name] for name in kept] + [T.StructField(x, T.BinaryType()) for x in added])
+
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for texts in batches:
-            found = list(own.encode([text or "" for text in texts.to_pylist()]))
-            places = [own.offsets(ids) if offsets else None for ids in found]
-            # large batches of ids may pass 2 GB: Arrow then makes chunks, which are rare here
-            yield pa.StructArray.from_arrays(
-                [pa.array(found, pa.binary()), pa.array(places, pa.binary())], ["ids", "offsets"]
-            )
+        for batch in batches:
+            for part in slices(batch, 0):
+                found = list(own.encode([text or "" for text in part.column(0).to_pylist()]))
+                columns = [*part.columns[1:], pa.array(found, pa.binary())]
+                if offsets:
+                    columns.append(pa.array(map(own.offsets, found), pa.binary(), size=len(found)))
+                yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
 
-    return column(text)
+    return rows.mapInArrow(encode, schema)
 
 
-def decoded(ids: Column, path: str) -> Column:
-    """The bytes that token numbers stand for; null stays null."""
+def with_decoded(tokens: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """`tokens` with the bytes that the column `ids` stands for as the new column `decoded`; null stays null."""
+    if decoded.lower() in {name.lower() for name in tokens.columns}:
+        raise ValueError(f"tokens already has a column {decoded}")
+    names, at = tokens.columns, tokens.columns.index(ids)
+    schema = T.StructType([*tokens.schema.fields, T.StructField(decoded, T.BinaryType())])
 
-    @F.arrow_udf("binary")
-    def column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for rows in batches:
-            yield pa.array([None if ids is None else own.decode(ids) for ids in rows.to_pylist()], pa.binary())
+        for batch in batches:
+            for part in slices(batch, at):
+                found = [None if row is None else own.decode(row) for row in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], [*names, decoded])
 
-    return column(ids)
+    return tokens.mapInArrow(decode, schema)
 
 
 def decode_range(ids: bytes, offsets: bytes, path: str, first: int, last: int) -> tuple[int, bytes]:
     """Where tokens `first` to `last` (without it) begin in the text, and their bytes."""
-    places = np.frombuffer(offsets, dtype="<i8")
+    places = np.frombuffer(offsets, dtype="<u4")
     part = ids[4 * first : 4 * last]
     begin = int(places[first]) if first < len(places) else 0
     return begin, codec(path).decode(part)

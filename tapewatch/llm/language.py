@@ -20,24 +20,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewatch.llm.support import cut, pieces_of
+from tapewatch.llm.support import cut, pieces_of, trimmed
 
 UNDETERMINED = "und"
-#: Documents in the training sample at most, those with the smallest hash of their id.
-TRAIN_DOCUMENTS = 20_000
+#: Documents in the training sample, as expected of thresholds on a hash; all if there are fewer.
+TRAIN_DOCUMENTS = 8_000
 #: Rows (word, language) and (n-gram, language) that the model keeps at most, the most frequent.
-MAX_WORDS = 150_000
-MAX_GRAMS = 50_000
+MAX_WORDS = 60_000
+MAX_GRAMS = 30_000
 GRAM_SIZES = (4, 3, 2, 1)
 #: Log score that each step to a shorter n-gram costs.
 BACKOFF = math.log(0.4)
 #: Half a count for what a language never showed.
 SMOOTHING = 0.5
 #: Words that a worker remembers the backed-off score of.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 50_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -77,20 +77,25 @@ def train(
 ) -> Model:
     """A model of the languages in `labelled`; rows without a text or a language are left out.
 
-    The sample is spread evenly over languages: of each, the documents with the smallest hash of
-    their id. No labelled row at all gives a model that finds every text undetermined.
+    The sample is spread evenly over languages: of each, the documents whose hash of id and text is
+    below a threshold that `documents / languages` of them are expected to pass. No labelled row at all gives a model that finds every text undetermined.
     """
     rows = labelled.select(
         F.col(id_column).alias("id"),
         F.col(lang_column).cast("string").alias("lang"),
         F.col(text_column).alias("text"),
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = sorted(row["lang"] for row in rows.select("lang").distinct().collect())
+    counts = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
+    languages = sorted(counts)
     if not languages:
         return Model((), {}, {})
-    share = max(1, documents // len(languages))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), F.xxhash64("text"))
-    sample = rows.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= share)
+    # Documents below a threshold of a uniform hash, one per language: no text is moved to choose them.
+    share = documents / len(languages)
+    limits = F.create_map(
+        *[x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, share / counts[lang]) * 2.0**53))]
+    )
+    place = F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string"), "text"), 11).cast("double")
+    sample = rows.filter(place < limits[F.col("lang")])
     words = (
         sample.select("lang", F.explode(words_of(F.col("text"))).alias("word"))
         .groupBy("word", "lang")
@@ -121,6 +126,7 @@ def train(
         .groupBy("gram", "lang")
         .agg(F.sum("count").alias("count"))
     )
+    grams = cut(grams)
     kept_grams = grams.orderBy(F.desc("count"), "gram", "lang").limit(max_grams).collect()
     totals = {row["lang"]: row["n"] for row in words.groupBy("lang").agg(F.sum("count").alias("n")).collect()}
     gram_totals = {
@@ -158,8 +164,7 @@ class Scorer:
                     places += 1
                     break
         found = tuple(total / places for total in sums) if places else tuple(sums)
-        if len(self.other) >= CACHE_WORDS:
-            self.other.clear()
+        trimmed(self.other, CACHE_WORDS)
         self.other[word] = found
         return found
 

@@ -81,23 +81,15 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _digests(ids: Column, decoded: Column) -> list[Column]:
-    return [
-        (F.octet_length(ids) / 4).cast("long").alias("n_tokens"),
-        F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2(decoded, 256).alias("decoded_sha256"),
-    ]
-
-
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded again."""
-    encoded = documents(spark, sf_dir).select(
-        "doc_id", byte_bpe.encoded(F.col("text"), BYTE_RANKS, offsets=False).alias("tokens")
-    )
-    decoded = encoded.select(
-        "doc_id", F.col("tokens.ids").alias("ids"), byte_bpe.decoded(F.col("tokens.ids"), BYTE_RANKS).alias("bytes")
+    encoded = byte_bpe.with_tokens(documents(spark, sf_dir).select("doc_id", "text"), BYTE_RANKS, offsets=None)
+    return byte_bpe.with_decoded(encoded, BYTE_RANKS).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    return decoded.select("doc_id", *_digests(F.col("ids"), F.col("bytes")))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +67,30 @@ def signed(value: int) -> int:
     return value - 2**64 if value >= 2**63 else value
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows of `batch` in order, about `size` bytes of text or binary `column` at a time, one row at least.
+
+    What a worker makes of a slice is handed on before it takes the next one.
+    """
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start = total = 0
+    for at, length in enumerate(lengths):
+        if total and total + length > size:
+            yield batch.slice(start, at - start)
+            start, total = at, 0
+        total += length
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def trimmed(memory: dict, limit: int) -> None:
+    """Forgets the later half of a memory over its limit: frequent words come early, rare ones late."""
+    if len(memory) > limit:
+        kept = list(islice(memory.items(), limit // 2))
+        memory.clear()
+        memory.update(kept)
+
+
 def pieces_of(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
     """`data` in pieces of about `size` bytes, cut at ASCII white space so that no word is split.
 

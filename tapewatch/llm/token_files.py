@@ -27,14 +27,13 @@ import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import islice
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.support import pieces_of
+from tapewatch.llm.support import pieces_of, trimmed
 
 #: Token numbers in a frame at most: what a reader holds at a time.
 FRAME_TOKENS = 1 << 20
@@ -52,7 +51,7 @@ FOOTER = struct.Struct("<II")
 HAS_ID, FIRST = 1, 2
 
 #: Parts and words that a worker remembers the tokens of.
-CACHE_PARTS, CACHE_WORDS = 600_000, 100_000
+CACHE_PARTS, CACHE_WORDS = 500_000, 50_000
 
 #: Texts of ASCII and Latin-1 letters, which the tokenizer's own splitting pattern takes apart like this
 #: once they are lower-case.
@@ -60,14 +59,6 @@ _PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 _PARTS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
 
 
-def trimmed(memory: dict, limit: int) -> None:
-    """Forgets the later half of a memory over its limit: frequent words come early, rare ones late."""
-    if len(memory) > limit:
-        kept = list(islice(memory.items(), limit // 2))
-        memory.clear()
-        memory.update(kept)
-
-
 class Parts(dict):
     """Tokens of parts of words, by the library's model, remembered."""
 

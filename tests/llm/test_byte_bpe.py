@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -13,7 +14,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tapewatch.llm import byte_bpe
-from tapewatch.llm.byte_bpe import codec, decode_range, decoded, encoded, merge, split_long, split_texts, transitions
+from tapewatch.llm.byte_bpe import codec, decode_range, merge, split_long, split_texts, transitions, with_decoded, with_tokens
+from tapewatch.llm.support import slices
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE = regex.compile(public_tokenizers.PATTERN)
@@ -83,23 +85,37 @@ def test_every_code_point(library):
 
 
 def test_odd_documents(library, odd_documents):
-    frame = odd_documents.withColumn("t", encoded(F.col("text"), PATH))
-    rows = frame.withColumn("back", decoded(F.col("t.ids"), PATH)).collect()
+    frame = with_tokens(odd_documents.withColumn("old", F.col("text")), PATH)
+    assert frame.columns == [*[c for c in odd_documents.columns if c != "text"], "old", "ids", "offsets"]
+    rows = with_decoded(frame, PATH).collect()
     assert len(rows) == odd_documents.count()
     for row in rows:
-        data = (row.text or "").encode()
-        ids = np.frombuffer(row.t.ids, "<u4")
-        assert ids.tolist() == library.encode_ordinary(row.text or "")
-        assert bytes(row.back) == data
-        offsets = np.frombuffer(row.t.offsets, "<i8")
+        data = (row.old or "").encode()
+        ids = np.frombuffer(row.ids, "<u4")
+        assert ids.tolist() == library.encode_ordinary(row.old or "")
+        assert bytes(row.decoded) == data
+        offsets = np.frombuffer(row.offsets, "<u4")
         assert len(offsets) == len(ids) and (not len(ids) or offsets[0] == 0)
         first, last = len(ids) // 3, 2 * len(ids) // 3
-        begin, part = decode_range(row.t.ids, row.t.offsets, PATH, first, last)
+        begin, part = decode_range(row.ids, row.offsets, PATH, first, last)
         assert data[begin : begin + len(part)] == part
+    with pytest.raises(ValueError, match="ids"):
+        with_tokens(frame.withColumn("text", F.lit("")), PATH)
+    with pytest.raises(ValueError, match="ids"):
+        with_decoded(frame, PATH, decoded="ids")
 
 
 def test_no_documents(no_documents):
-    assert no_documents.select(encoded(F.col("text"), PATH)).collect() == []
+    assert with_decoded(with_tokens(no_documents, PATH), PATH).collect() == []
+
+
+def test_slices_keep_all_rows():
+    texts = ["a" * n for n in (0, 5, 30, 1, 1, 0, 12, 3)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
+    parts = list(slices(batch, 0, 10))
+    assert [x for part in parts for x in part.column(0).to_pylist()] == texts
+    assert all(part.num_rows == 1 or sum(len(x or "") for x in part.column(0).to_pylist()) <= 10 for part in parts)
+    assert list(slices(batch.slice(0, 0), 0)) == []
 
 
 def test_memory_of_pieces_is_bounded(library, monkeypatch):
@@ -107,7 +123,7 @@ def test_memory_of_pieces_is_bounded(library, monkeypatch):
     own = byte_bpe.Codec(PATH)
     text = " ".join(str(i * 7919) + chr(97 + i % 26) for i in range(500))
     ids = next(own.encode([text]))
-    assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text) and len(own.merges) <= 10
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text) and len(own.merges) <= 11
 
 
 def test_registered_query(spark, library):
