@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -54,7 +55,6 @@ HEADLINE = [
     "top_unusual_contracts",
     "highest_ratio",
     "top_symbols_by_volume",
-    "generated_events_profile",
 ]
 
 
@@ -73,6 +73,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,12 +9,12 @@ Results carry doubles for decimals and ISO text for dates, so that engines compa
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from checks.scratch import new_folder
 from tapewatch.functions.text import event_summary, piped_flags, processing_summary
 from tapewatch.operators import rankings, summaries
 from tapewatch.operators.enrich import activity_rows, enrich, process, unusual_events, with_types
@@ -27,9 +27,7 @@ from tapewatch.operators.validate import (
     with_validation_errors,
 )
 from tapewatch.plans import batch, marts, metrics, reports, warehouse
-from tapewatch.scratch import new_folder
 from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
-from tapewatch.sources import simulate
 from tapewatch.sources.jsonl import parse_events, read_enriched, read_events, write_jsonl
 from tapewatch.sources.market_events import options_events, options_lines
 from tapewatch.sources.tables import read_csv, write_csv, write_parquet
@@ -508,44 +506,6 @@ def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(F.col("value").alias("status_line"))
 
 
-@query
-def generated_events_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One simulated event per row of `events`; rows checked and rows out of bounds."""
-    ids = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
-    now = datetime(2026, 5, 29, 20, 0, 0)
-    events = simulate.simulate_events(ids, seed=7, now=now)
-    c = F.col
-    expiry = c("expiration_date").cast("date")
-    seen = F.substring("event_timestamp", 1, 19).cast("timestamp_ntz")
-    latest = F.lit(str(now)).cast("timestamp_ntz")
-    bounds = {
-        "valid": is_valid(events),
-        "id": c("event_id").rlike("^evt_[0-9a-f]{32}$"),
-        "symbol": c("symbol").isin(list(simulate.TICKERS)),
-        "contract": c("contract_symbol").rlike("^[A-Z]+_[0-9]{8}_[0-9]{8,}_[CP]$"),
-        "friday": (F.dayofweek(expiry) == 6)
-        & F.datediff(expiry, F.lit(now.date())).between(8, 67),
-        "strike_on_step": c("strike") % simulate.strike_step(c("symbol")) == 0,
-        "bid_last_ask": (c("bid") >= 0.01) & c("last_price").between(c("bid"), c("ask")),
-        "volume": c("volume").between(0, 25000),
-        "open_interest": c("open_interest").between(50, 15000),
-        "implied_volatility": c("implied_volatility").between(0.15, 1.20),
-        "delta": F.when(c("option_type") == "CALL", c("delta").between(0.05, 0.95)).otherwise(
-            c("delta").between(-0.95, -0.05)
-        ),
-        "time": seen.between(latest - F.make_dt_interval(mins=F.lit(390)), latest),
-    }
-    checks = [
-        F.struct(F.lit(name).alias("check_name"), F.coalesce(met, F.lit(False)).alias("met"))
-        for name, met in bounds.items()
-    ]
-    return (
-        events.select(F.inline(F.array(*checks)))
-        .groupBy("check_name")
-        .agg(F.count(F.lit(1)).alias("rows_checked"), F.count_if(~F.col("met")).alias("violations"))
-    )
-
-
 @query
 def flags_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flags as piped text, `NONE` where there are none."""

@@ -205,21 +205,6 @@ _STATUS = """'event_id=' || event_id || ' symbol=' || COALESCE(symbol, 'None') |
        THEN CAST(unusual_activity_score AS VARCHAR) ELSE '0' END
   || ' flags=' || CASE WHEN validation_errors = '' AND unusual_activity_flags <> ''
        THEN unusual_activity_flags ELSE 'NONE' END AS status_line"""
-_SIMULATION_CHECKS = [
-    "valid",
-    "id",
-    "symbol",
-    "contract",
-    "friday",
-    "strike_on_step",
-    "bid_last_ask",
-    "volume",
-    "open_interest",
-    "implied_volatility",
-    "delta",
-    "time",
-]
-
 ORACLE_SQL: dict[str, str] = {
     # validation and enrichment
     "validation_errors": _raw("SELECT event_id, validation_errors FROM checked"),
@@ -375,7 +360,7 @@ FROM typed GROUP BY symbol ORDER BY total_volume DESC, total_events DESC, symbol
         """SELECT symbol, CAST(SUM(volume) AS BIGINT) AS total_volume
 FROM typed GROUP BY symbol ORDER BY total_volume DESC, symbol LIMIT 25"""
     ),
-    # streaming and simulation
+    # streaming
     "stream_route": _raw(
         f""", scored AS ({_ENRICHED_OF} FROM checked)
 SELECT event_id, CASE WHEN validation_errors <> '' THEN 'invalid'
@@ -387,8 +372,4 @@ SELECT event_id, CASE WHEN validation_errors <> '' THEN 'invalid'
     "stream_quarantine": _raw(_QUARANTINE),
     "stream_log": _raw(f""", scored AS ({_ENRICHED_OF} FROM checked)
 SELECT {_STATUS} FROM scored"""),
-    "generated_events_profile": f"""SELECT n.rows_checked, c.check_name,
-  CAST(0 AS BIGINT) AS violations
-FROM (SELECT COUNT(*) AS rows_checked FROM events) n,
-  (SELECT unnest([{", ".join(f"'{name}'" for name in _SIMULATION_CHECKS)}]) AS check_name) c""",
 }

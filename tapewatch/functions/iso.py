@@ -14,8 +14,8 @@ _DATE = r"(?!0000)\d{4}-\d{2}-\d{2}"
 _CLOCK = r"\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?"
 _OFFSET = r"Z|[+-](?:[01]\d|2[0-3])(?:[0-5]\d(?:[0-5]\d)?|:[0-5]\d(?::[0-5]\d)?)?"
 
-DATE_PATTERN = rf"^{_DATE}$"
-TIMESTAMP_PATTERN = rf"^{_DATE}(?:[T ]{_CLOCK}(?:{_OFFSET})?)?$"
+DATE_PATTERN = rf"^{_DATE}\z"
+TIMESTAMP_PATTERN = rf"^{_DATE}(?:[T ]{_CLOCK}(?:{_OFFSET})?)?\z"
 
 _EPOCH = "1970-01-01 00:00:00"
 

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Numbers of events lie below this. It keeps every average exact: its ten-thousandths fit a bigint.
+NUMBER_LIMIT = 1e14
+
 
 def _int_div(numerator: Column, denominator: Column) -> Column:
     return F.call_function("div", numerator, denominator)
@@ -26,24 +29,19 @@ def ratio4(numerator: Column, denominator: Column) -> Column:
 
 
 def quotient4(total: Column, count: Column) -> Column:
-    """total / count of aggregated non-negative values, half-up at 4 dp.
+    """total / count of aggregated non-negative values, half-up at 4 dp, null where count is 0.
 
-    Works on decimals: a sum of 100 TB of volumes times 20000 would leave the bigint range.
-    Quotients above 9e14, whose ten-thousandths a bigint cannot hold, are divided as doubles.
+    Works on decimals: a sum of 100 TB of volumes times 20000 would leave the bigint range. The
+    quotient must stay below 9e14, as that of numbers below `NUMBER_LIMIT` does; others raise.
     """
     top = total.cast("decimal(32,10)") * F.lit(20000) + count
-    exact = _int_div(top, count * 2) / F.lit(10000.0)
-    rough = F.round(total.cast("double") / count, 4)
-    return F.when(count != 0, F.when(total <= count * F.lit(9e14), exact).otherwise(rough))
+    return F.when(count != 0, _int_div(top, count * 2) / F.lit(10000.0))
 
 
 def mean4(value: Column) -> Column:
-    """Average of a non-negative numeric column, half-up at 4 dp.
+    """Average of a non-negative numeric column below `NUMBER_LIMIT`, half-up at 4 dp.
 
-    Exact for values below 1e12 with up to 10 decimals. If any value lies outside, the
-    double average is used rather than leaving that value out.
+    Exact for up to 10 decimals. Larger numbers are set aside by the validation; here they raise.
     """
-    part = value.try_cast("decimal(22,10)")
-    exact = quotient4(F.sum(part), F.count(part))
-    rough = F.round(F.avg(value.cast("double")), 4)
-    return F.when(F.count(part) == F.count(value), exact).otherwise(rough)
+    part = value.cast("decimal(24,10)")
+    return quotient4(F.sum(part), F.count(part))

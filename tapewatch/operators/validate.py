@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapewatch.functions.rounding import NUMBER_LIMIT
 from tapewatch.functions.iso import is_iso_date, is_iso_timestamp
 from tapewatch.schema import RAW_FIELDS
 
@@ -49,6 +50,9 @@ CHECKED_NUMBERS = [
     "volume",
 ]
 
+# Of these, the ones held as doubles: NaN, infinities and numbers beyond the limit are type errors.
+LIMITED_NUMBERS = [name for name in CHECKED_NUMBERS if name not in ("open_interest", "volume")]
+
 # Fields no value rule inspects: null is accepted where the key is present.
 UNCHECKED_FIELDS = ["event_id", "symbol", "contract_symbol", "delta", "source"]
 
@@ -75,6 +79,15 @@ def value_rules() -> list[tuple[str, Column]]:
     ]
 
 
+def _usable(name: str) -> Column:
+    """Whether a number is there and can be held; NaN is above every limit."""
+    there = F.col(name).isNotNull()
+    if name not in LIMITED_NUMBERS:
+        return there
+    limit = F.lit(NUMBER_LIMIT)
+    return there & (F.col(name) < limit) & (F.col(name) > -limit)
+
+
 def _all(conditions: list[Column]) -> Column:
     return reduce(lambda left, right: left & right, conditions)
 
@@ -106,6 +119,7 @@ def is_malformed() -> Column:
 def valid_condition(df: DataFrame) -> Column:
     """Conjunction that is true for exactly the rows without errors (else false or null)."""
     rules = [met for _, met in value_rules()]
+    rules += [F.col(name) < F.lit(NUMBER_LIMIT) for name in LIMITED_NUMBERS]
     present = _all([F.col(name).isNotNull() for name in UNCHECKED_FIELDS])
     if not _from_json(df):
         return _all([present, *rules])
@@ -140,10 +154,10 @@ def with_validation_errors(df: DataFrame, only: Column | None = None) -> DataFra
     """
     missing = F.transform(_missing_fields(df), lambda name: F.concat(F.lit(MISSING_PREFIX), name))
     wrong_types = _broken(
-        [(name + TYPE_SUFFIX, F.col(name).isNotNull()) for name in CHECKED_NUMBERS]
+        [(name + TYPE_SUFFIX, _usable(name)) for name in CHECKED_NUMBERS]
     )
     has_nulls = ~_all([F.col(name).isNotNull() for name in RAW_FIELDS])
-    has_all_numbers = _all([F.col(name).isNotNull() for name in CHECKED_NUMBERS])
+    has_all_numbers = F.coalesce(_all([_usable(name) for name in CHECKED_NUMBERS]), F.lit(False))
     errors = (
         F.when(has_nulls & (F.size(missing) > 0), missing)
         .when(~has_all_numbers, wrong_types)

@@ -75,7 +75,10 @@ class Warehouse:
                 *[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema(table)]
             )
             writer = empty.write.mode("overwrite" if reset else "ignore")
-            writer.partitionBy(LOAD_ID).parquet(self.path(table))
+            # static, or a reset would keep the folders of all loads in a dynamic session
+            writer.partitionBy(LOAD_ID).option("partitionOverwriteMode", "static").parquet(
+                self.path(table)
+            )
 
     def tables(self) -> dict[str, DataFrame]:
         return {table: self.table(table) for table in TABLES}

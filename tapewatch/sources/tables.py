@@ -9,6 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Quotes inside a field are doubled and blanks at its ends kept, as CSV readers expect.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring the rows of a directory partition together before a partitioned write.
 
@@ -25,13 +35,13 @@ def write_parquet(
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "overwrite") -> None:
-    """CSV with a header, the given column order and nulls as empty fields."""
-    writer = df.select(*columns).write.mode(mode).option("header", True)
+    """CSV with a header, the given column order and nulls as empty fields; text stays as it is."""
+    writer = df.select(*columns).write.mode(mode).options(**CSV_OPTIONS)
     writer.option("nullValue", "").option("emptyValue", "").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:

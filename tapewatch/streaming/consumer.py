@@ -13,8 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapewatch.functions.activity import DEFAULT_THRESHOLDS, Thresholds, is_unusual
 from tapewatch.functions.text import processing_summary
-from tapewatch.operators.first_wins import SOURCE_ORDER
-from tapewatch.plans.batch import ROUTE, classify, unsorted_partition_writes
+from tapewatch.plans.batch import REPLACE_ALL, ROUTE, classify, read_route, unsorted_partition_writes
 from tapewatch.schema import ENRICHED_FIELDS
 from tapewatch.sources.jsonl import (
     enriched_text,
@@ -61,16 +60,9 @@ def output_lines(routed: DataFrame, log: bool = False) -> DataFrame:
     return routed.select(F.inline(F.array(pair, log_pair))).filter(F.col("value").isNotNull())
 
 
-def consume_batch(lines: DataFrame, max_events: int | None = None) -> DataFrame:
-    """Routed events of a bounded input; `max_events` keeps the first N non-blank lines.
-
-    The order is that of `read_lines(with_order=True)`, or else of the line text.
-    """
-    stripped = strip_lines(lines)
-    if max_events is not None:
-        order = SOURCE_ORDER if SOURCE_ORDER in stripped.columns else "value"
-        stripped = stripped.orderBy(order).limit(max_events)
-    return route(parse_events(stripped))
+def consume_batch(lines: DataFrame) -> DataFrame:
+    """Routed events of a bounded input."""
+    return route(parse_events(strip_lines(lines)))
 
 
 def read_stream(
@@ -105,7 +97,11 @@ def consume(
         out = output_lines(route(parse_events(batch), thresholds), log)
         with unsorted_partition_writes(batch.sparkSession):
             folder = f"{output_dir}/batch_id={batch_id}"
-            out.write.mode("overwrite").partitionBy(ROUTE).text(folder)
+            out.write.mode("overwrite").partitionBy(ROUTE).options(**REPLACE_ALL).text(folder)
+
+    # the folder exists from the start, so that it can be read before the first batch wrote to it
+    nothing = lines.sparkSession.createDataFrame([], f"value string, batch_id string, {ROUTE} string")
+    nothing.write.mode("ignore").partitionBy("batch_id", ROUTE).text(output_dir)
 
     writer = strip_lines(lines.select("value")).writeStream.foreachBatch(write_batch)
     writer = writer.option("checkpointLocation", checkpoint_dir)
@@ -136,22 +132,17 @@ def start_consumer(
     )
 
 
-def _read_route(spark: SparkSession, output_dir: str, name: str) -> DataFrame:
-    schema = f"value string, batch_id bigint, {ROUTE} string"
-    return spark.read.schema(schema).text(output_dir).filter(F.col(ROUTE) == name)
-
-
 def read_alerts(spark: SparkSession, output_dir: str) -> DataFrame:
     """Alerts written so far, parsed."""
-    lines = _read_route(spark, output_dir, ALERT).select("value")
+    lines = read_route(spark, output_dir, ALERT)
     return parse_enriched(lines).select(*ENRICHED_FIELDS)
 
 
 def read_quarantine(spark: SparkSession, output_dir: str) -> DataFrame:
     """Quarantined lines (`value`) written so far."""
-    return _read_route(spark, output_dir, INVALID).select("value")
+    return read_route(spark, output_dir, INVALID)
 
 
 def read_log(spark: SparkSession, output_dir: str) -> DataFrame:
     """Status lines (`value`) written so far, if the consumer was asked to log."""
-    return _read_route(spark, output_dir, LOG).select("value")
+    return read_route(spark, output_dir, LOG)

@@ -13,8 +13,7 @@ from tapewatch.operators.validate import invalid_events, is_valid
 from tapewatch.schema import ENRICHED_FIELDS, RAW_FIELDS
 from tapewatch.sources.jsonl import parse_events, read_events, read_lines
 from tapewatch.sources.market_events import options_events, options_lines
-from tapewatch.sources.simulate import generate_events, next_friday, round_to_step, simulate_events
-from tapewatch.streaming import consumer, producer
+from tapewatch.streaming import consumer
 
 
 def test_routes(spark):
@@ -103,52 +102,26 @@ def test_new_files_are_picked_up(spark, tmp_path):
     assert consumer.read_quarantine(spark, f"{tmp_path}/out").count() == 1
 
 
-def test_bounded_run_takes_the_first_events(spark, tmp_path):
-    rows = [event(event_id=str(i), volume=9000 if i % 2 else 1) for i in range(10)]
-    path = write_lines(tmp_path / "in", ["", *rows[:4], "   ", "{bad", *rows[4:]])
-    routed = consumer.consume_batch(read_lines(spark, path, with_order=True), max_events=6)
-    found = routed.groupBy("route").count().collect()
-    assert {row.route: row["count"] for row in found} == {"normal": 3, "alert": 2, "invalid": 1}
-
-
-def test_producer_feeds_the_consumer(spark, tmp_path):
-    run = producer.start_producer(
-        spark,
-        str(tmp_path / "in"),
-        str(tmp_path / "producer"),
-        rows_per_second=50,
-        count=40,
-        seed=5,
-        interval="500 milliseconds",
+def test_poll_interval_keeps_running(spark, tmp_path):
+    """With an interval the query follows the folder until it is stopped."""
+    write_lines(tmp_path / "in", [event(event_id="a", volume=9000)])
+    run = consumer.start_consumer(
+        spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), poll_interval="200 milliseconds"
     )
     try:
-        for _ in range(60):
-            run.awaitTermination(1)
-            if run.isActive and read_events(spark, str(tmp_path / "in")).count() >= 40:
-                break
+        run.processAllAvailable()
+        assert run.isActive and consumer.read_alerts(spark, str(tmp_path / "out")).count() == 1
+        (tmp_path / "next.jsonl").write_text(json.dumps(event(event_id="b", volume=9000)) + "\n")
+        (tmp_path / "next.jsonl").rename(tmp_path / "in" / "next.jsonl")
+        run.processAllAvailable()
+        assert consumer.read_alerts(spark, str(tmp_path / "out")).count() == 2
     finally:
         run.stop()
-    events = read_events(spark, str(tmp_path / "in"))
-    assert events.count() == 40
-    assert events.filter(~is_valid(events)).count() == 0
-
-
-def test_simulation_does_not_depend_on_partitioning(spark):
-    from datetime import datetime
-
-    now = datetime(2026, 5, 29, 20, 0)
-    one = generate_events(spark, 500, seed=1, now=now)
-    other = simulate_events(spark.range(0, 500, 1, 7).repartition(3), seed=1, now=now)
-    assert one.columns == RAW_FIELDS
-    assert one.exceptAll(other).count() == 0
-    assert one.exceptAll(generate_events(spark, 500, seed=2, now=now)).count() == 500
-    assert one.select("event_id").distinct().count() == 500
-
-
-def test_next_friday_and_steps(spark):
-    days = spark.sql("select explode(sequence(date'2026-05-25', date'2026-05-31')) as d")
-    found = [str(row[0]) for row in days.select(next_friday(F.col("d"))).collect()]
-    assert found == ["2026-05-29"] * 4 + ["2026-06-05"] * 3
-    frame = spark.createDataFrame([(501.25, 2.5), (7.5, 5.0), (12.5, 5.0)], "v double, s double")
-    steps = [r[0] for r in frame.select(round_to_step(F.col("v"), F.col("s"))).collect()]
-    assert steps == [500.0, 10.0, 10.0]
+
+
+def test_output_can_be_read_before_anything_was_written(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    run = consumer.start_consumer(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"))
+    run.awaitTermination(60)
+    assert consumer.read_alerts(spark, str(tmp_path / "out")).collect() == []
+    assert consumer.read_quarantine(spark, str(tmp_path / "out")).collect() == []
