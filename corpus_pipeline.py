@@ -64,8 +64,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token numbers of each document, with the check that they decode to its text."""
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    encoded = byte_bpe.with_tokens(docs.select("doc_id", "text", digest.alias("text_sha256")), BYTE_RANKS)
-    return byte_bpe.with_decoded(encoded, BYTE_RANKS).select(
+    rows = docs.select("doc_id", "text", digest.alias("text_sha256"))
+    return byte_bpe.with_tokens(rows, BYTE_RANKS, decoded="decoded").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",

@@ -328,15 +328,22 @@ def codec(path: str) -> Codec:
 
 
 def with_tokens(
-    docs: DataFrame, path: str, text_column: str = "text", ids: str = "ids", offsets: str | None = "offsets"
+    docs: DataFrame,
+    path: str,
+    text_column: str = "text",
+    ids: str = "ids",
+    offsets: str | None = "offsets",
+    decoded: str | None = None,
 ) -> DataFrame:
     """`docs` with the tokens of a text in place of it: `ids`, and the byte `offsets` of each unless None.
 
     Both are little-endian unsigned 32-bit integers. Null counts as empty; an empty text has no tokens.
-    All rows and other columns stay; `ids` and `offsets` must be new names.
+    `decoded`, if given, names a column of the bytes that the ids stand for, as `with_decoded` adds it
+    to tokens read from elsewhere; done here, a core needs one worker with its tables instead of two.
+    All rows and other columns stay; the names added must be new.
     """
     kept = [name for name in docs.columns if name != text_column]
-    added = [name for name in (ids, offsets) if name]
+    added = [name for name in (ids, offsets, decoded) if name]
     if {name.lower() for name in kept} & {name.lower() for name in added}:
         raise ValueError(f"docs already has a column of {added}")
     rows = docs.select(F.col(text_column).alias(text_column), *[F.col(name) for name in kept])
@@ -350,6 +357,8 @@ def with_tokens(
                 columns = [*part.columns[1:], pa.array(found, pa.binary())]
                 if offsets:
                     columns.append(pa.array(map(own.offsets, found), pa.binary(), size=len(found)))
+                if decoded:
+                    columns.append(pa.array(map(own.decode, found), pa.binary(), size=len(found)))
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
 
     return rows.mapInArrow(encode, schema)

@@ -83,8 +83,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded again."""
-    encoded = byte_bpe.with_tokens(documents(spark, sf_dir).select("doc_id", "text"), BYTE_RANKS, offsets=None)
-    return byte_bpe.with_decoded(encoded, BYTE_RANKS).select(
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return byte_bpe.with_tokens(docs, BYTE_RANKS, offsets=None, decoded="decoded").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -99,6 +99,8 @@ def test_odd_documents(library, odd_documents):
         first, last = len(ids) // 3, 2 * len(ids) // 3
         begin, part = decode_range(row.ids, row.offsets, PATH, first, last)
         assert data[begin : begin + len(part)] == part
+    both = with_tokens(odd_documents.withColumn("old", F.col("text")), PATH, offsets=None, decoded="back")
+    assert all(bytes(row.back) == (row.old or "").encode() for row in both.collect())
     with pytest.raises(ValueError, match="ids"):
         with_tokens(frame.withColumn("text", F.lit("")), PATH)
     with pytest.raises(ValueError, match="ids"):
