@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), 1)
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Model:
     """Log frequencies: `words[w]` and `grams[g]` are one value per language."""
 
@@ -78,7 +79,8 @@ def train(
     """A model of the languages in `labelled`; rows without a text or a language are left out.
 
     The sample is spread evenly over languages: of each, the documents whose hash of id and text is
-    below a threshold that `documents / languages` of them are expected to pass. No labelled row at all gives a model that finds every text undetermined.
+    below a threshold that `documents / languages` of them are expected to pass. No labelled row at
+    all gives a model that finds every text undetermined.
     """
     rows = labelled.select(
         F.col(id_column).alias("id"),
@@ -146,10 +148,10 @@ class Scorer:
         self.model = model
         self.table = np.array(list(model.words.values()) or [[0.0] * len(model.languages)])
         self.place = {word: i for i, word in enumerate(model.words)}
-        self.other: dict[str, tuple[float, ...]] = {}
+        self.other: dict[str, bytes] = {}  # scores as 64-bit floats, the most compact form
 
-    def backoff(self, word: str) -> tuple[float, ...]:
-        """Mean over the places of a word of the longest known n-gram there."""
+    def backoff(self, word: str) -> bytes:
+        """Mean over the places of a word of the longest known n-gram there, as 64-bit floats."""
         found = self.other.get(word)
         if found is not None:
             return found
@@ -163,7 +165,7 @@ class Scorer:
                     sums = [total + value + cost for total, value in zip(sums, row)]
                     places += 1
                     break
-        found = tuple(total / places for total in sums) if places else tuple(sums)
+        found = np.array([total / places for total in sums] if places else sums).tobytes()
         trimmed(self.other, CACHE_WORDS)
         self.other[word] = found
         return found
@@ -189,7 +191,7 @@ class Scorer:
             if known:
                 sums += np.asarray(times) @ self.table[known]
             if rows:
-                sums += np.asarray(weights) @ np.asarray(rows)
+                sums += np.asarray(weights) @ np.frombuffer(b"".join(rows)).reshape(len(rows), -1)
             total += sum(times) + sum(weights)
         if not total:
             return UNDETERMINED, 0.0
@@ -198,13 +200,19 @@ class Scorer:
         return languages[best], float(min(1.0, 1.0 / sharp.sum()))
 
 
+@lru_cache(maxsize=1)
+def scorer_of(model: Model) -> Scorer:
+    """One per worker and model: tasks of a worker share its memory of words, and leave none behind."""
+    return Scorer(model)
+
+
 def predicted(text: Column, model: Model) -> Column:
     """Struct (lang, score) of each text. Null text or one without a letter: `und`, 0."""
     shared = SparkSession.active().sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang: string, score: double>")
     def column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = Scorer(shared.value)
+        scorer = scorer_of(shared.value)
         for texts in batches:
             found = [scorer.predict(text.as_py()) for text in texts]
             yield pa.StructArray.from_arrays(
