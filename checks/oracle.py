@@ -19,8 +19,8 @@ WITH base AS (
 ),
 steps AS (
   SELECT *,
-    ['SPY','QQQ','AAPL','TSLA','NVDA','AMD','META','MSFT'][u % 8 + 1] AS sym,
-    ([52800,46000,19500,18500,11200,16000,62000,43000][u % 8 + 1]
+    ['ORBT','KELP','FJRD','QUAY','MOSQ','VANE','TARN','ZEPH'][u % 8 + 1] AS sym,
+    ([31200,9800,14350,27600,45150,12075,58800,20640][u % 8 + 1]
       * (9700 + (e * 7919) % 601)) // 10000 AS und_c,
     10 + (e * 37) % 5000 AS bid_c,
     CAST(ts AS DATE) + CAST(7 + e % 54 AS INTEGER) AS ex
@@ -52,7 +52,7 @@ raw AS (
     CAST(CASE WHEN e % 127 = 0 THEN 0 ELSE und_c / 100.0 END AS DOUBLE) AS underlying_price,
     CASE WHEN e % 103 = 0 THEN 'not-a-timestamp'
          ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS event_timestamp,
-    'simulated' AS source
+    'events' AS source
   FROM struck
 ),
 checked AS (

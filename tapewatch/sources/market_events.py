@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from tapewatch.schema import RAW_FIELDS
 from tapewatch.sources.jsonl import json_lines
 
-# Tickers and base prices in cents, by `user_id % 8`.
-TICKERS = ["SPY", "QQQ", "AAPL", "TSLA", "NVDA", "AMD", "META", "MSFT"]
-BASE_CENTS = [52800, 46000, 19500, 18500, 11200, 16000, 62000, 43000]
+# Invented tickers and their base prices in cents, by `user_id % 8`.
+TICKERS = ["ORBT", "KELP", "FJRD", "QUAY", "MOSQ", "VANE", "TARN", "ZEPH"]
+BASE_CENTS = [31200, 9800, 14350, 27600, 45150, 12075, 58800, 20640]
 
 
 def _pick(values: list, index: str) -> str:
@@ -80,7 +80,7 @@ def project_events(events: DataFrame) -> DataFrame:
         "event_timestamp": _faulty(
             103, "'not-a-timestamp'", "replace(substr(cast(ts as string), 1, 19), ' ', 'T')"
         ),
-        "source": F.lit("simulated"),
+        "source": F.lit("events"),
     }
     # Through a generator, so that a filter on a field does not compute the field again.
     row = F.struct("e", *[column.alias(name) for name, column in fields.items()])

@@ -19,11 +19,11 @@ from tapewatch.streaming.consumer import route
 
 NOT_A_NUMBER = [None, "7", "x", True, [1], {"a": 1}]
 CHOICES = {
-    "symbol": ["SPY", None, ...],
-    "option_type": ["CALL", "PUT", "call", None, 5, ...],
-    "expiration_date": ["2026-06-19", "2026-02-30", "20260619", None, 7, ...],
-    "event_timestamp": ["2026-05-29T13:45:00+00:00", "2026-05-29 13:45", "soon", None, ...],
-    "strike": [530.0, 1, 0, -5.5, *NOT_A_NUMBER, ...],
+    "symbol": ["ORBT", None, ...],
+    "option_type": ["CALL", "PUT", "put", None, 5, ...],
+    "expiration_date": ["2026-12-18", "2026-02-30", "20261218", None, 7, ...],
+    "event_timestamp": ["2026-10-06T10:20:00+00:00", "2026-10-06 10:20", "soon", None, ...],
+    "strike": [84.0, 1, 0, -5.5, *NOT_A_NUMBER, ...],
     "bid": [0, 4.2, 9.5, -0.01, *NOT_A_NUMBER, ...],
     "ask": [4.5, 4.2, -1, *NOT_A_NUMBER, ...],
     "last_price": [0, 4.4, -2, *NOT_A_NUMBER, ...],
@@ -31,7 +31,7 @@ CHOICES = {
     "open_interest": [0, 1, 5000, -1, *NOT_A_NUMBER, ...],
     "implied_volatility": [0.8, 0.7999, 1.1, 0, -1, *NOT_A_NUMBER, ...],
     "delta": [0.5, None, "x", ...],
-    "underlying_price": [528.1, 0, -3, *NOT_A_NUMBER, ...],
+    "underlying_price": [86.75, 0, -3, *NOT_A_NUMBER, ...],
 }
 
 

@@ -78,7 +78,7 @@ def test_hour_start(spark):
 
 
 def test_ratio_rounds_half_up(spark):
-    pairs = [(1, 32), (333, 1000), (1, 3), (0, 7), (10, 0), (2147483647, 1), (1200, 8500), (3, 32)]
+    pairs = [(1, 32), (333, 1000), (1, 3), (0, 7), (10, 0), (2147483647, 1), (640, 15500), (3, 32)]
     frame = spark.createDataFrame(pairs, "v int, o int")
     rows = frame.select("v", "o", rounding.ratio4(F.col("v"), F.col("o")).alias("r")).collect()
     for row in rows:
@@ -118,16 +118,16 @@ def test_quotient_of_large_sums(spark):
 FLAG_CASES = [
     ({"volume": 5000}, ["HIGH_VOLUME"]),
     ({"volume": 4999}, []),
-    ({"volume": 2000, "open_interest": 1000}, ["VOLUME_EXCEEDS_OPEN_INTEREST"]),
-    ({"volume": 1000, "open_interest": 1000}, ["VOLUME_EXCEEDS_OPEN_INTEREST"]),
-    ({"volume": 999, "open_interest": 1000}, []),
+    ({"volume": 1500, "open_interest": 1200}, ["VOLUME_EXCEEDS_OPEN_INTEREST"]),
+    ({"volume": 777, "open_interest": 777}, ["VOLUME_EXCEEDS_OPEN_INTEREST"]),
+    ({"volume": 776, "open_interest": 777}, []),
     ({"implied_volatility": 0.80}, ["HIGH_IV"]),
     ({"implied_volatility": 0.7999}, []),
     (
-        {"volume": 9000, "open_interest": 4000, "implied_volatility": 0.95},
+        {"volume": 7100, "open_interest": 6400, "implied_volatility": 0.88},
         ["HIGH_VOLUME", "VOLUME_EXCEEDS_OPEN_INTEREST", "HIGH_IV"],
     ),
-    ({"open_interest": 0, "volume": 10}, []),
+    ({"open_interest": 0, "volume": 36}, []),
     ({}, []),
 ]
 
@@ -139,11 +139,11 @@ def test_flags_and_score(spark):
         assert found[str(i)].unusual_activity_flags == flags
         assert found[str(i)].unusual_activity_score == len(flags)
     assert found["8"].volume_open_interest_ratio is None
-    assert found["9"].volume_open_interest_ratio == 0.1412
+    assert found["9"].volume_open_interest_ratio == 0.0413
 
 
 def test_thresholds_are_parameters(spark):
-    limits = Thresholds(volume=1000, volume_to_open_interest=0.1, implied_volatility=0.2)
+    limits = Thresholds(volume=600, volume_to_open_interest=0.04, implied_volatility=0.3)
     row = enrich(events_frame(spark, [event()]), limits).first()
     assert row.unusual_activity_score == 3
 
@@ -155,11 +155,11 @@ def test_typed_form(spark):
     assert row.event_timestamp == datetime(2026, 5, 30, 4, 45)
     assert row.event_date == date(2026, 5, 30)
     assert row.event_hour == 4
-    assert row.expiration_date == date(2026, 6, 19)
+    assert row.expiration_date == date(2026, 12, 18)
 
 
 def test_log_lines(spark):
-    frame = enrich(events_frame(spark, [event(volume=9000), event(event_id="b", symbol=...)]))
+    frame = enrich(events_frame(spark, [event(volume=16000), event(event_id="b", symbol=...)]))
     rows = frame.select(
         text.event_summary(),
         text.processing_summary(
@@ -169,11 +169,11 @@ def test_log_lines(spark):
         ),
     ).collect()
     assert rows[0][0] == (
-        "event_id=evt_a symbol=SPY contract_symbol=SPY_20260619_00530000_C "
-        "volume=9000 open_interest=8500 implied_volatility=0.245"
+        "event_id=evt_a symbol=ORBT contract_symbol=ORBT_20261218_00084000_P "
+        "volume=16000 open_interest=15500 implied_volatility=0.312"
     )
     assert rows[0][1] == (
-        "event_id=evt_a symbol=SPY status=valid unusual_activity_score=2 "
+        "event_id=evt_a symbol=ORBT status=valid unusual_activity_score=2 "
         "flags=HIGH_VOLUME|VOLUME_EXCEEDS_OPEN_INTEREST"
     )
     assert rows[1][1] == (

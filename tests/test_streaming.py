@@ -18,9 +18,9 @@ from tapewatch.streaming import consumer
 
 def test_routes(spark):
     rows = [
-        event(event_id="alert", volume=9000, open_interest=4000, implied_volatility=0.95),
+        event(event_id="alert", volume=7100, open_interest=6400, implied_volatility=0.88),
         event(event_id="normal"),
-        event(event_id="bad", volume=-5),
+        event(event_id="bad", volume=-3),
     ]
     found = {row.event_id: row for row in consumer.route(events_frame(spark, rows)).collect()}
     assert {name: row.route for name, row in found.items()} == {

@@ -47,47 +47,48 @@ def test_totals_agree_across_summaries(spark, enriched):
 
 
 def test_symbol_summary(spark):
-    rows = [event(), event(volume=9000), event(symbol="QQQ", implied_volatility=0.9)]
+    rows = [event(), event(volume=16000), event(symbol="KELP", implied_volatility=0.9)]
     found = summaries.symbol_summary(enrich(events_frame(spark, rows))).collect()
-    assert [row.symbol for row in found] == ["SPY", "QQQ"]
+    assert [row.symbol for row in found] == ["ORBT", "KELP"]
     assert (found[0].total_events, found[0].unusual_events, found[0].unusual_event_pct) == (
         2,
         1,
         0.5,
     )
-    assert (found[0].total_volume, found[0].avg_implied_volatility) == (10200, 0.245)
+    assert (found[0].total_volume, found[0].avg_implied_volatility) == (16640, 0.312)
     assert found[0].avg_unusual_activity_score == 1.0
 
 
 def test_daily_summary(spark):
     rows = [
         event(),
-        event(implied_volatility=0.9),
-        event(event_timestamp="2026-05-30T09:00:00"),
-        event(symbol="QQQ"),
+        event(),
+        event(implied_volatility=0.91),
+        event(event_timestamp="2026-10-07T09:30:00"),
+        event(symbol="KELP"),
     ]
     typed = with_types(enrich(events_frame(spark, rows)))
     found = {
         (row.symbol, row.event_date): row for row in summaries.symbol_daily_summary(typed).collect()
     }
     assert len(found) == 3
-    day = found["SPY", date(2026, 5, 29)]
-    assert (day.total_events, day.unusual_events, day.unusual_event_pct) == (2, 1, 0.5)
+    day = found["ORBT", date(2026, 10, 6)]
+    assert (day.total_events, day.unusual_events, day.unusual_event_pct) == (3, 1, 0.3333)
 
 
 def test_ranking_order(spark):
     rows = [
-        event(event_id="a", volume=9000, open_interest=90000),
-        event(event_id="b", volume=100, open_interest=10, implied_volatility=0.9),
-        event(event_id="c", volume=500, open_interest=10, implied_volatility=0.9),
+        event(event_id="a", volume=6100, open_interest=90000),
+        event(event_id="b", volume=210, open_interest=20, implied_volatility=0.92),
+        event(event_id="c", volume=730, open_interest=40, implied_volatility=0.85),
         event(event_id="d"),
     ]
     frame = enrich(events_frame(spark, rows))
     top = rankings.top_unusual_contracts_report(frame).collect()
     assert [(row.unusual_activity_score, row.volume) for row in top] == [
-        (2, 500),
-        (2, 100),
-        (1, 9000),
+        (2, 730),
+        (2, 210),
+        (1, 6100),
     ]
     assert top[0].unusual_activity_flags == "VOLUME_EXCEEDS_OPEN_INTEREST|HIGH_IV"
     assert rankings.top_unusual_contracts_report(frame, limit=1).count() == 1
@@ -220,7 +221,7 @@ def test_batch_jsonl_keeps_unknown_fields(spark, tmp_path):
         **event(venue="CBOE", note='a "quoted" }'),
         "unusual_activity_flags": [],
         "unusual_activity_score": 0,
-        "volume_open_interest_ratio": 0.1412,
+        "volume_open_interest_ratio": 0.0413,
     }
     by_size = sorted(records("invalid"), key=len)
     assert any(r.get("raw_line") == "{bad" and r["validation_errors"] for r in by_size)

@@ -35,7 +35,7 @@ CASES = {
     "timestamp number": (event(event_timestamp=20260529), [v.TIMESTAMP_ERROR]),
     "expiration": (event(expiration_date="2026-02-30"), [v.EXPIRATION_ERROR]),
     "expiration with time": (
-        event(expiration_date="2026-06-19T00:00:00"),
+        event(expiration_date="2026-12-18T00:00:00"),
         [v.EXPIRATION_ERROR],
     ),
     "many": (
@@ -43,7 +43,7 @@ CASES = {
         [v.OPTION_TYPE_ERROR, v.VOLUME_ERROR, v.STRIKE_ERROR, v.EXPIRATION_ERROR],
     ),
     "number null": (event(volume=None), ["volume" + v.TYPE_SUFFIX]),
-    "number quoted": (event(strike="530"), ["strike" + v.TYPE_SUFFIX]),
+    "number quoted": (event(strike="84"), ["strike" + v.TYPE_SUFFIX]),
     "number text": (event(bid="x", volume=-1), ["bid" + v.TYPE_SUFFIX]),
     "int fraction": (event(volume=1.5), ["volume" + v.TYPE_SUFFIX]),
     "int too large": (event(volume=3_000_000_000), ["volume" + v.TYPE_SUFFIX]),

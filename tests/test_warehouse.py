@@ -22,8 +22,8 @@ def enriched(spark, rows):
 
 
 def test_unique_symbols_and_rows(spark):
-    frame = enriched(spark, [event(symbol="SPY"), event(symbol="QQQ"), event(symbol="SPY")])
-    assert [row.symbol for row in distinct_symbols(frame).collect()] == ["QQQ", "SPY"]
+    frame = enriched(spark, [event(symbol="ORBT"), event(symbol="KELP"), event(symbol="ORBT")])
+    assert [row.symbol for row in distinct_symbols(frame).collect()] == ["KELP", "ORBT"]
 
 
 def test_flag_rows(spark):
@@ -35,24 +35,24 @@ def test_flag_rows(spark):
 
 def test_contract_keeps_the_first_attributes(spark):
     rows = [
-        event(event_id="b", event_timestamp="2026-05-29T13:46:00", strike=531.0),
-        event(event_id="c", event_timestamp="2026-05-29T13:45:00", strike=530.0),
+        event(event_id="b", event_timestamp="2026-10-06T10:21:00", strike=85.0),
+        event(event_id="c", event_timestamp="2026-10-06T10:20:00", strike=84.0),
     ]
-    assert unique_contracts(enriched(spark, rows)).first().strike == 530.0
+    assert unique_contracts(enriched(spark, rows)).first().strike == 84.0
 
 
 def test_input_order_wins_when_recorded(spark, tmp_path):
     rows = [
-        event(event_id="b", event_timestamp="2026-05-29T13:46:00", strike=531.0),
-        event(event_id="c", event_timestamp="2026-05-29T13:45:00", strike=530.0),
-        event(event_id="b", event_timestamp="2026-05-28T13:46:00", strike=532.0),
+        event(event_id="b", event_timestamp="2026-10-06T10:21:00", strike=85.0),
+        event(event_id="c", event_timestamp="2026-10-06T10:20:00", strike=84.0),
+        event(event_id="b", event_timestamp="2026-10-05T10:21:00", strike=86.0),
     ]
     path = write_lines(tmp_path / "in", rows)
     frame = enrich(parse_events(read_lines(spark, path, with_order=True)))
-    assert unique_contracts(frame).first().strike == 531.0
+    assert unique_contracts(frame).first().strike == 85.0
     load_warehouse(frame, str(tmp_path / "w"))
     facts = Warehouse(spark, str(tmp_path / "w")).table("fact_options_event")
-    assert {row.event_id: float(row.strike) for row in facts.collect()} == {"b": 531.0, "c": 530.0}
+    assert {row.event_id: float(row.strike) for row in facts.collect()} == {"b": 85.0, "c": 84.0}
 
 
 def test_hot_key_is_cut_before_the_shuffle(spark):
