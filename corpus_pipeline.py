@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tapewatch.llm import byte_bpe, decontaminate, language, line_dedup, simhash
 from tapewatch.llm.queries import BYTE_RANKS, documents, held_out
-from tapewatch.llm.support import new_folder, unused
+from tapewatch.llm.support import new_folder, small_batches, unused
 
 #: A document whose predicted language has less than this probability is rejected, as one without letters is.
 MIN_LANGUAGE_SCORE = 0.3
@@ -21,6 +21,7 @@ MIN_LANGUAGE_SCORE = 0.3
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; without a labelled document nothing can be, and all stay."""
+    small_batches(spark)
     model = language.train(docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
     if not model.languages:
         return docs
@@ -42,6 +43,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     Rows without an id cannot be told apart by it: they stay. Of repeated rows with one id all stay if
     that id is kept.
     """
+    small_batches(spark)
     classes = simhash.simhash_components(docs)
     kept = (
         classes.filter(F.col("doc_id") == F.col("component_id"))
@@ -55,6 +57,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no item of the benchmark."""
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     matches = unused(docs, "matches")
     marked = decontaminate.with_contamination(docs, benchmark, matches=matches)
@@ -63,6 +66,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token numbers of each document, with the check that they decode to its text."""
+    small_batches(spark)
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     rows = docs.select("doc_id", "text", digest.alias("text_sha256"))
     return byte_bpe.with_tokens(rows, BYTE_RANKS, decoded="decoded").select(

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapewatch.llm.support import slices, trimmed
+from tapewatch.llm.support import kept_in_worker, slices, trimmed
 
 # ---- character classes ----------------------------------------------------------------
 
@@ -321,10 +321,9 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """One per worker and file, so that its memory of pieces outlives a task."""
-    return Codec(path)
+    return kept_in_worker(("byte_bpe", path), lambda: Codec(path))
 
 
 def with_tokens(

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewatch.llm.support import pieces_of, unused
+from tapewatch.llm.support import pieces_of, release_tables, unused
 
 GRAM_WORDS = 3
 SEEDS_PER_ITEM = 16
@@ -195,6 +195,7 @@ def _with_seeds(docs: DataFrame, text_column: str, block: Block, seeds: int) ->
 
     @F.arrow_udf("array<bigint>")
     def present(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release_tables()
         vocabulary, wanted = shared.value
         for texts in batches:
             found = []
@@ -227,6 +228,7 @@ def _matches(text: Column, block: Block, min_score: float) -> Column:
 
     @F.arrow_udf(MATCHES)
     def column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release_tables()
         block = shared.value
         table = np.array(sorted(block.seeds), dtype=np.int64)
         kind = pa.list_(

@@ -17,14 +17,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewatch.llm.support import cut, pieces_of, trimmed
+from tapewatch.llm.support import cut, kept_in_worker, pieces_of, trimmed
 
 UNDETERMINED = "und"
 #: Documents in the training sample, as expected of thresholds on a hash; all if there are fewer.
@@ -200,10 +199,9 @@ class Scorer:
         return languages[best], float(min(1.0, 1.0 / sharp.sum()))
 
 
-@lru_cache(maxsize=1)
 def scorer_of(model: Model) -> Scorer:
     """One per worker and model: tasks of a worker share its memory of words, and leave none behind."""
-    return Scorer(model)
+    return kept_in_worker(model, lambda: Scorer(model))
 
 
 def predicted(text: Column, model: Model) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tapewatch.llm import byte_bpe, decontaminate, language, licenses, line_dedup, pii, sharding, simhash
 from tapewatch.llm.exact_dedup import exact_duplicates
-from tapewatch.llm.support import cut, new_folder
+from tapewatch.llm.support import cut, new_folder, small_batches
 from tapewatch.llm.token_files import read_token_files, with_starts, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ PSEUDONYM_KEY = b"key of the registered query"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

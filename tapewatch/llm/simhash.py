@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewatch.llm.components import connected_components
-from tapewatch.llm.support import cut, long_literals, pieces_of, signed
+from tapewatch.llm.support import cut, long_literals, pieces_of, release_tables, signed
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -83,6 +83,7 @@ def fingerprint(text: Column, words: int = SHINGLE_WORDS) -> Column:
 
     @F.arrow_udf("long")
     def column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release_tables()
         for texts in batches:
             values = (signed(text_fingerprint(text.as_py(), words)) for text in texts)
             yield pa.array(values, pa.int64(), size=len(texts))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,6 +17,10 @@ from pyspark.sql import functions as F
 #: beyond these has at most N / HOT_KEYS of them.
 HOT_KEYS = 1024
 
+#: Rows of whole texts that go to a Python worker at a time.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in `spark.checkpoint.dir`.
@@ -83,6 +88,35 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[
         yield batch.slice(start)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hands whole texts to Python workers `BATCH_ROWS` at a time, unless the session has a size of its own.
+
+    A batch is held several times over, on both sides of the pipe. The size is a setting of the
+    session and changes no result.
+    """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
+_kept: list[tuple[Any, Any]] = []
+
+
+def kept_in_worker(key: Any, build: Callable[[], Any]) -> Any:
+    """`build()`, kept by this Python worker for its later tasks until other tables are asked for.
+
+    A worker serves one stage after another: what an earlier one kept is given back first.
+    """
+    if not _kept or _kept[0][0] != key:
+        release_tables()
+        _kept.append((key, build()))
+    return _kept[0][1]
+
+
+def release_tables() -> None:
+    """Gives back what this worker keeps; for stages that keep nothing themselves."""
+    _kept.clear()
+
+
 def trimmed(memory: dict, limit: int) -> None:
     """Forgets the later half of a memory over its limit: frequent words come early, rare ones late."""
     if len(memory) > limit:

@@ -26,14 +26,13 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.support import pieces_of, trimmed
+from tapewatch.llm.support import kept_in_worker, pieces_of, trimmed
 
 #: Token numbers in a frame at most: what a reader holds at a time.
 FRAME_TOKENS = 1 << 20
@@ -114,10 +113,9 @@ class WordEncoder:
         return b"".join(out) + self.end
 
 
-@lru_cache(maxsize=2)
 def word_encoder(path: str, end: int) -> WordEncoder:
     """One per worker and file, so that its memory of words outlives a task."""
-    return WordEncoder(path, end)
+    return kept_in_worker(("word_encoder", path, end), lambda: WordEncoder(path, end))
 
 
 class FileWriter:
