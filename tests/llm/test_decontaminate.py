@@ -126,3 +126,36 @@ def test_rarest_grams_are_seeds(planted):
             per_item[item] += 1
     assert set(per_item.values()) <= {0, 1, 2}
     assert per_item[0] == 2  # the item that a third of all documents have keeps its seeds
+
+
+def edited(words, kind):
+    """A copy of `words` with spread edits or cut ends."""
+    if kind == "whole":
+        return list(words)
+    if kind == "cut":
+        return words[len(words) // 6 : -(len(words) // 8)]
+    if kind == "inserted":  # no three words in a row are left
+        return [w for at, word in enumerate(words, 1) for w in ([word, "added"] if at % 2 == 0 else [word])]
+    every = int(kind)
+    return [f"new{at}" if at % every == 0 else word for at, word in enumerate(words, 1)]
+
+
+@pytest.mark.parametrize("least", [0.6, 0.45])
+def test_edited_copies_beside_whole_ones(spark, least):
+    random.seed(8)
+    vocabulary = [f"w{i}" for i in range(300)] + ["the", "of"] * 20
+    lengths = [40, 45, 50, 55, 59, 48, 3, 4, 5, 6, 7]
+    items = [(i, " ".join(random.choice(vocabulary) for _ in range(n))) for i, n in enumerate(lengths)]
+    docs = []
+    for _, text in items:
+        for kind in ["whole", "whole", "4", "5", "6", "7", "inserted", "cut"]:
+            around = [random.choice(vocabulary) for _ in range(40)]
+            docs.append((len(docs), " ".join(around[:20] + edited(text.split(), kind) + around[20:])))
+    expected = brute(docs, items, least)
+    assert len(expected) >= 7 * 6
+    found = pairs(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+        min_score=least,
+    )
+    assert found == expected
