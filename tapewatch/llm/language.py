@@ -3,7 +3,8 @@
 A word seen in training scores by its log frequency in each language. A word not seen backs off to
 its longest known character n-grams: at each place the longest n-gram with a count is taken, down
 to single characters, each step down costing a constant. A text's score of a language is the sum
-over its words; the language with the highest sum wins.
+over its words; the language with the highest sum wins. Frequencies are smoothed towards those of all
+languages together, so that a word which a language never showed does not favour one with few words.
 
 Training counts words over a bounded sample of labelled documents and keeps bounded tables: the
 bounds are parameters. The tables are counted by Spark; only the kept rows reach the driver and the
@@ -34,8 +35,8 @@ MAX_GRAMS = 30_000
 GRAM_SIZES = (4, 3, 2, 1)
 #: Log score that each step to a shorter n-gram costs.
 BACKOFF = math.log(0.4)
-#: Half a count for what a language never showed.
-SMOOTHING = 0.5
+#: Part of a frequency that is taken from all languages together: all that a language has of what it never showed.
+SMOOTHING = 0.1
 #: Words that a worker remembers the backed-off score of.
 CACHE_WORDS = 50_000
 
@@ -57,13 +58,23 @@ class Model:
 
 
 def _tables(counts, languages: list[str], totals: dict[str, int]) -> dict[str, tuple[float, ...]]:
-    table: dict[str, list[float]] = {}
-    floor = [math.log(SMOOTHING / (totals.get(lang, 0) + 1)) for lang in languages]
+    """Log frequencies, each a mixture with the frequency over all languages in one proportion for all.
+
+    What a language never showed has the same value in every such language, however few words it has.
+    """
     index = {lang: i for i, lang in enumerate(languages)}
+    table: dict[str, list[int]] = {}
     for key, lang, count in counts:
-        row = table.setdefault(key, list(floor))
-        row[index[lang]] = math.log((count + SMOOTHING) / (totals[lang] + 1))
-    return {key: tuple(row) for key, row in table.items()}
+        table.setdefault(key, [0] * len(languages))[index[lang]] = count
+    own = [max(1, totals.get(lang, 0)) for lang in languages]
+    every = max(1, sum(totals.values()))
+    return {
+        key: tuple(
+            math.log((1 - SMOOTHING) * count / total + SMOOTHING * sum(row) / every)
+            for count, total in zip(row, own)
+        )
+        for key, row in table.items()
+    }
 
 
 def train(

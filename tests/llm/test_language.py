@@ -88,3 +88,18 @@ def test_bounds_hold(spark):
 def test_label_source_and_id_are_no_inputs(spark, model):
     rows = spark.createDataFrame([(1, "the cat", "fr", "a"), (2, "the cat", None, "b")], "doc_id long, text string, lang string, source string")
     assert rows.select(predicted(F.col("text"), model).alias("p")).distinct().count() == 1
+
+
+@pytest.mark.parametrize("documents", [1, 2, 5])
+@pytest.mark.parametrize("few", ["es", "fr"])
+def test_a_language_with_few_documents_takes_no_others(spark, few, documents):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [r for r in docs.orderBy("doc_id").collect() if r.text and r.lang]
+    known = [r for r in rows if not held_out(r.doc_id)]
+    known = [r for r in known if r.lang != few] + [r for r in known if r.lang == few][:documents]
+    scorer = Scorer(train(spark.createDataFrame(known, docs.schema)))
+    for lang in sorted({r.lang for r in rows}):
+        own = [r for r in rows if held_out(r.doc_id) and r.lang == lang]
+        right = sum(scorer.predict(r.text)[0] == lang for r in own)
+        # one or two documents may show a handful of words: then the others only must not be lost to them
+        assert lang == few and documents < 5 or right >= 0.97 * len(own), (lang, right, len(own))
