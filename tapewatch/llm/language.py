@@ -7,8 +7,10 @@ over its words; the language with the highest sum wins. Frequencies are smoothed
 languages together, so that a word which a language never showed does not favour one with few words.
 
 Training counts words over a bounded sample of labelled documents and keeps bounded tables: the
-bounds are parameters. The tables are counted by Spark; only the kept rows reach the driver and the
-workers, at most `max_words + max_grams` of them.
+bounds are parameters. Each language has a share of a table, its most frequent words; a word that one
+language keeps is kept with its counts in all of them, so no kept word has a false zero. The tables
+are counted by Spark; only kept words reach the driver and the workers, at most
+`max_words + max_grams` of them with one count per language.
 """
 
 from __future__ import annotations
@@ -29,12 +31,14 @@ from tapewatch.llm.support import cut, kept_in_worker, pieces_of, trimmed
 UNDETERMINED = "und"
 #: Documents in the training sample, as expected of thresholds on a hash; all if there are fewer.
 TRAIN_DOCUMENTS = 8_000
-#: Rows (word, language) and (n-gram, language) that the model keeps at most, the most frequent.
+#: Words and n-grams that the model keeps at most, the most frequent ones of each language.
 MAX_WORDS = 60_000
 MAX_GRAMS = 30_000
 GRAM_SIZES = (4, 3, 2, 1)
 #: Log score that each step to a shorter n-gram costs.
 BACKOFF = math.log(0.4)
+#: Words of one language with the same count, up to `TIED`, are told apart by this many values of a hash.
+TIED, TIE_PARTS = 8, 256
 #: Part of a frequency that is taken from all languages together: all that a language has of what it never showed.
 SMOOTHING = 0.1
 #: Words that a worker remembers the backed-off score of.
@@ -57,24 +61,58 @@ class Model:
     grams: dict[str, tuple[float, ...]]
 
 
-def _tables(counts, languages: list[str], totals: dict[str, int]) -> dict[str, tuple[float, ...]]:
+def _kept(counts: DataFrame, key: str, limit: int) -> list:
+    """Rows (`key`, counts: list of (lang, count)) of the most frequent keys of each language, `limit` in all.
+
+    `limit` is dealt evenly; what a language has no words for goes to the others. Of words with the
+    same count, those with the smaller hash come first.
+    """
+    part = F.when(F.col("count") <= TIED, F.pmod(F.xxhash64(key), F.lit(TIE_PARTS))).otherwise(0)
+    ranked = counts.withColumn("part", part)
+    steps: dict[str, list] = {}
+    for row in ranked.groupBy("lang", "count", "part").agg(F.count("*").alias("n")).collect():
+        steps.setdefault(row["lang"], []).append((-row["count"], row["part"], row["n"]))
+    left, bounds = limit, []
+    fewest_first = sorted(steps, key=lambda lang: (sum(n for *_, n in steps[lang]), lang))
+    for place, lang in enumerate(fewest_first):
+        share, taken, last = left // (len(fewest_first) - place), 0, (-math.inf, 0)
+        for count, at, n in sorted(steps[lang]):
+            if taken + n > share:
+                break
+            taken, last = taken + n, (count, at)
+        left -= taken
+        if taken:
+            bounds += [F.lit(lang), F.struct(F.lit(-last[0]).cast("long").alias("count"), F.lit(last[1]).cast("long").alias("part"))]
+    if not bounds:
+        return []
+    bound = F.create_map(*bounds)[F.col("lang")]
+    within = (F.col("count") > bound["count"]) | ((F.col("count") == bound["count"]) & (F.col("part") <= bound["part"]))
+    return (
+        ranked.groupBy(key)
+        .agg(
+            F.max(F.coalesce(within, F.lit(False))).alias("kept"),
+            F.collect_list(F.struct("lang", "count")).alias("counts"),
+        )
+        .filter("kept")
+        .select(key, "counts")
+        .collect()
+    )
+
+
+def _tables(kept: list, languages: list[str], totals: dict[str, int]) -> dict[str, tuple[float, ...]]:
     """Log frequencies, each a mixture with the frequency over all languages in one proportion for all.
 
     What a language never showed has the same value in every such language, however few words it has.
     """
-    index = {lang: i for i, lang in enumerate(languages)}
-    table: dict[str, list[int]] = {}
-    for key, lang, count in counts:
-        table.setdefault(key, [0] * len(languages))[index[lang]] = count
     own = [max(1, totals.get(lang, 0)) for lang in languages]
     every = max(1, sum(totals.values()))
-    return {
-        key: tuple(
-            math.log((1 - SMOOTHING) * count / total + SMOOTHING * sum(row) / every)
-            for count, total in zip(row, own)
+    table = {}
+    for key, found in sorted((key, dict(counts)) for key, counts in kept):
+        shared = SMOOTHING * sum(found.values()) / every
+        table[key] = tuple(
+            math.log((1 - SMOOTHING) * found.get(lang, 0) / total + shared) for lang, total in zip(languages, own)
         )
-        for key, row in table.items()
-    }
+    return table
 
 
 def train(
@@ -114,7 +152,7 @@ def train(
         .agg(F.count("*").alias("count"))
     )
     words = cut(words)
-    kept = words.orderBy(F.desc("count"), "word", "lang").limit(max_words).collect()
+    kept = _kept(words, "word", max_words)
     padded = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
     grams = (
         words.select("lang", "count", padded.alias("word"))
@@ -139,7 +177,7 @@ def train(
         .agg(F.sum("count").alias("count"))
     )
     grams = cut(grams)
-    kept_grams = grams.orderBy(F.desc("count"), "gram", "lang").limit(max_grams).collect()
+    kept_grams = _kept(grams, "gram", max_grams)
     totals = {row["lang"]: row["n"] for row in words.groupBy("lang").agg(F.sum("count").alias("n")).collect()}
     gram_totals = {
         row["lang"]: row["n"] for row in grams.groupBy("lang").agg(F.sum("count").alias("n")).collect()

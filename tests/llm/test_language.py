@@ -103,3 +103,21 @@ def test_a_language_with_few_documents_takes_no_others(spark, few, documents):
         right = sum(scorer.predict(r.text)[0] == lang for r in own)
         # one or two documents may show a handful of words: then the others only must not be lost to them
         assert lang == few and documents < 5 or right >= 0.97 * len(own), (lang, right, len(own))
+
+
+def test_a_kept_word_has_its_counts_in_all_languages(spark):
+    """A small language keeps its share of the table, and no kept word has a false zero."""
+    rows = [(i, " ".join(f"big{chr(97 + w)}" for w in range(12)) + " shared rare", "en") for i in range(40)]
+    rows += [(100, "shared rare kleina kleinb", "de"), (101, "shared", "de")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = train(frame, max_words=8, max_grams=400)
+    assert len(found.words) <= 8 and found.languages == ("de", "en")
+    assert {"shared", "kleina", "kleinb", "rare"} <= set(found.words)
+    seen = {"de": {"shared", "rare", "kleina", "kleinb"}, "en": {"shared", "rare", *(f"big{chr(97 + w)}" for w in range(12))}}
+    totals = {"de": 5, "en": 40 * 14}
+    counts = {"de": {"shared": 2, "rare": 1, "kleina": 1, "kleinb": 1}, "en": dict.fromkeys(seen["en"], 40)}
+    for word, row in found.words.items():
+        everywhere = sum(counts[lang].get(word, 0) for lang in totals) / sum(totals.values())
+        for lang, value in zip(found.languages, row):
+            own = counts[lang].get(word, 0) / totals[lang]
+            assert np.exp(value) == pytest.approx((1 - language.SMOOTHING) * own + language.SMOOTHING * everywhere)
