@@ -117,7 +117,7 @@ class Pseudonyms:
 
     def card(self, found: str) -> str | None:
         digits = re.sub(r"\D", "", found)
-        if not 13 <= len(digits) <= 19 or check_digit(digits[:-1]) != int(digits[-1]) or len(set(digits)) == 1:
+        if not is_card(digits):
             return None
         body = self.digits("card", digits[:-1], lambda new: new[0] == digits[0] and len(set(new)) > 1)
         return refilled(found, body + str(check_digit(body)))
@@ -216,12 +216,39 @@ PATTERNS: list[tuple[str, str]] = [
     ("day_date", r"(?<![\d\-/.])\d{1,2}(?:\.\d{1,2}\.|/\d{1,2}/)(?:19|20)\d\d(?![\d/]|[\-.]\d)"),
     ("ssn", r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"),
     ("ipv4", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"),
-    ("card", r"(?<![\d+])(?<!\d[ \-])\d(?:[ \-]?\d){12,18}(?![ \-]?\d)"),
+    ("card", r"\d+(?:[ \-]\d+)*"),  # a whole run of groups: `cards_in` finds the cards in it
     ("card_run", r"(?<!\d)\d{13,19}(?!\d)"),
     ("phone", r"(?<![\w+])\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)|\d{1,4})(?:[ \-.]?\d{2,4}){2,4}(?!\d)|(?<![\w.\-+])(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?![\d\-])"),
 ]
 
 
+_GROUP = re.compile(r"\d+")
+
+
+def is_card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and len(set(digits)) > 1 and check_digit(digits[:-1]) == int(digits[-1])
+
+
+def cards_in(text: str, low: int, high: int) -> Iterator[tuple[int, int]]:
+    """(first, after last) of every stretch of whole groups of digits, in text[low:high], that is a valid card.
+
+    None begins right after a plus sign. A stretch has at most 19 digits, so few end at each group.
+    """
+    if high - low < 13:
+        return
+    groups = [(m.start(), m.end(), m.group()) for m in _GROUP.finditer(text, low, high)]
+    for at, (start, _, _) in enumerate(groups):
+        if text[start - 1 : start] == "+":
+            continue
+        digits = ""
+        for _, end, group in groups[at : at + 19]:
+            if len(digits) + len(group) > 19:
+                break
+            digits += group
+            if is_card(digits):
+                yield start, end
+
+
 _MARK = re.compile(r"[0-9@]+")
 #: No match begins more characters before its first digit or @, or ends more after its last one.
 BEFORE, AFTER = 100, 320
@@ -264,10 +291,13 @@ class Finder:
         found = []
         for low, high in self.windows(text):
             for rank, (name, pattern) in enumerate(self.patterns):
-                found += [(m.start(), rank, m.end(), name, m.group()) for m in pattern.finditer(text, low, high)]
+                for m in pattern.finditer(text, low, high):
+                    places = cards_in(text, *m.span()) if name == "card" else [m.span()]
+                    found += [(start, rank, -end, name, text[start:end]) for start, end in places]
         found.sort()
         out, spans, at = [], [], 0
-        for start, _, end, name, value in found:
+        for start, _, back, name, value in found:  # of cards that begin together the longest first
+            end = -back
             if start < at:
                 continue
             kind, pseudonym = self.kinds[name]

@@ -140,3 +140,26 @@ def test_registered_query_leaves_no_personal_value(spark):
         assert not [v for v in values if v in row.text]
         assert values or (row.text == text and row.n_spans == 0)
     assert found > 20 and len(rows) == len(docs)
+
+
+VISA, MASTER = "4111 1111 1111 1111", "5500 0000 0000 0004"
+
+
+@pytest.mark.parametrize(
+    ("text", "cards"),
+    [
+        (f"{VISA} 123", [VISA]),
+        (f"{VISA} 12/27", [VISA]),
+        (f"item 5 {VISA}", [VISA]),
+        (f"{VISA} {MASTER}", [VISA, MASTER]),
+        (f"{VISA.replace(' ', '-')}-123", [VISA.replace(" ", "-")]),
+        (f"order 77 {VISA.replace(' ', '-')} 12-27", [VISA.replace(" ", "-")]),
+        (f"1 2 3 {VISA} 4 5 6 {MASTER} 7", [VISA, MASTER]),
+    ],
+)
+def test_cards_beside_other_numbers(own, text, cards):
+    new, spans = own.replace(text)
+    assert [(kind, text[first:last]) for kind, first, last, _ in spans] == [("card", c) for c in cards]
+    for number in cards:
+        text = text.replace(number, own.replace(number)[0])
+    assert new == text and not any(number in new for number in cards)
