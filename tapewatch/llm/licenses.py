@@ -181,6 +181,18 @@ class Scanner:
         shortest_first = sorted(range(1, len(self.endings)), key=lambda at: self.automaton.states[at].length)
         for state in shortest_first:  # a link is shorter, so it has its own already
             self.endings[state] += self.endings[self.automaton.states[state].link]
+        #: For each state, the places in templates where its stretches end: (template, words up to there, most
+        #: words of a stretch ending there, the template's next word or None). A link adds places of shorter ones.
+        self.stops: list[tuple[tuple[int, int, int, int | None], ...]] = [()] * len(self.endings)
+        for state in shortest_first:
+            length, further = self.automaton.states[state].length, self.stops[self.automaton.states[state].link]
+            if length >= MIN_STRETCH:
+                places = set(self.automaton.places[state])
+                self.stops[state] = tuple(
+                    (number, words, length, sequences[number][words] if words < len(sequences[number]) else None)
+                    for number, words in sorted(places)
+                    if number >= len(self.phrases)
+                ) + tuple(stop for stop in further if stop[:2] not in places)
 
     def _numbers(self, text: str) -> list[int]:
         return [self.vocabulary.setdefault(word, len(self.vocabulary)) for word in words_of(text)]
@@ -207,7 +219,6 @@ class Scanner:
         total, runs = self.runs(text or "")
         starts, base = [], set()
         stretches: dict[int, list[tuple[int, int, int]]] = {}
-        first_template = len(self.phrases)
         for begin, ids in runs:
             if len(ids) < 2:
                 continue
@@ -217,11 +228,13 @@ class Scanner:
                     if length >= words:
                         starts.append(begin + at + 1 - words)
                         base.add(self.phrases[number][0])
-                # a stretch is long as can be where the next word does not lengthen it
-                if length >= MIN_STRETCH and (at + 1 == len(ended) or ended[at + 1][1] <= length):
-                    for number, words in self.automaton.places[state]:
-                        if number >= first_template:
-                            stretches.setdefault(number, []).append((begin + at + 1 - length, words - length, length))
+                # a template's own stretch ends where the text goes on with another word than the template
+                if length >= MIN_STRETCH:
+                    after = ids[at + 1] if at + 1 < len(ids) else -1
+                    for number, words, most, following in self.stops[state]:
+                        if following != after:
+                            own = min(length, most)
+                            stretches.setdefault(number, []).append((begin + at + 1 - own, words - own, own))
         spans = [span for number in sorted(stretches) for span in self._chains(number, stretches[number])]
         labels = {span["label"] for span in spans}
         score = max((span["cover"] for span in spans), default=0.0)

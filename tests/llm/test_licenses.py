@@ -123,3 +123,15 @@ def test_states_are_linear():
     scanner = licenses.Scanner(PHRASES, TEMPLATES)
     total = sum(len(words(t)) for t in [*PHRASES, *TEMPLATES.values()])
     assert len(scanner.automaton.states) < 2 * total
+
+
+def test_whole_templates_before_every_word(scanner):
+    """A template is found whatever word of the vocabulary comes next, as a word-by-word search finds it."""
+    for label, text in TEMPLATES.items():
+        for word in [*scanner.vocabulary, b"unknown"]:
+            found = scanner.scan(f"{text} {word.decode()} code")
+            own = words(f"{text} {word.decode()} code")
+            for other, given in TEMPLATES.items():
+                part = words(given)
+                if any(own[i : i + len(part)] == part for i in range(len(own) - len(part) + 1)):
+                    assert other in found["labels"], (label, word, other)
