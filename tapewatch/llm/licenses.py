@@ -14,6 +14,7 @@ its size does not depend on the data.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -253,9 +254,11 @@ class Scanner:
         """Spans of the text whose stretches, in the order of the template, cover enough of it."""
         label, ids = self.templates[number - len(self.phrases)]
         chains: list[list[int]] = []  # text begin, text end, template end, words covered
+        near: list[list[int]] = []  # those that a stretch may still extend: `at` only grows
         for at, place, length in sorted(set(found)):
             best = None
-            for chain in reversed(chains[-16:]):
+            near = [chain for chain in near if at - chain[1] <= MAX_GAP]
+            for chain in reversed(near):
                 skip_text, skip_template = at - chain[1], place - chain[2]
                 overlap = max(0, -skip_text, -skip_template)
                 if skip_text <= MAX_GAP and skip_template <= MAX_GAP and overlap < length and (
@@ -269,10 +272,14 @@ class Scanner:
                 chains.append([chain[0], at + length, place + length, gain])
             else:
                 chains.append([at, at + length, place + length, length])
-        until = -1
+            near.append(chains[-1])
+        taken: list[tuple[int, int]] = []  # disjoint, in the order of the text
         for begin, end, _, covered in sorted(chains, key=lambda chain: (-chain[3], chain[0], chain[1])):
-            if covered >= MIN_COVER * len(ids) and begin > until:
-                until = max(until, end - 1)
+            if covered < MIN_COVER * len(ids):
+                break
+            spot = bisect(taken, (begin, end))
+            if (not spot or taken[spot - 1][1] <= begin) and (spot == len(taken) or end <= taken[spot][0]):
+                taken.insert(spot, (begin, end))
                 yield {
                     "label": label,
                     "first_word": begin,

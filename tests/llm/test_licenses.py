@@ -135,3 +135,12 @@ def test_whole_templates_before_every_word(scanner):
                 part = words(given)
                 if any(own[i : i + len(part)] == part for i in range(len(own) - len(part) + 1)):
                     assert other in found["labels"], (label, word, other)
+
+
+def test_an_exact_copy_hides_no_edited_one_before_it(scanner):
+    own = TEMPLATES["mit-text"].split()
+    edited = " ".join([*own[:20], "REPLACED", *own[21:]])
+    found = scanner.scan(f"{edited} {'filler ' * 20} {TEMPLATES['mit-text']} {'filler ' * 20} {edited}")
+    size = len(words(TEMPLATES["mit-text"]))
+    spans = sorted((s["first_word"], s["last_word"]) for s in found["spans"] if s["label"] == "mit-text")
+    assert spans == [(at, at + size - 1) for at in (0, size + 20, 2 * (size + 20))]
