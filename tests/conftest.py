@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import json
 import sys
 from pathlib import Path
 
@@ -10,9 +9,6 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-SMALL = "/root/testdata/sf0.001"
-MEDIUM = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -28,46 +24,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def event(**changes) -> dict:
-    """A valid event with some fields changed; a value of `...` removes the field."""
-    row = {
-        "event_id": "evt_a",
-        "symbol": "ORBT",
-        "contract_symbol": "ORBT_20261218_00084000_P",
-        "expiration_date": "2026-12-18",
-        "strike": 84.0,
-        "option_type": "PUT",
-        "bid": 1.9,
-        "ask": 2.15,
-        "last_price": 2.05,
-        "volume": 640,
-        "open_interest": 15500,
-        "implied_volatility": 0.312,
-        "delta": -0.38,
-        "underlying_price": 86.75,
-        "event_timestamp": "2026-10-06T10:20:00",
-        "source": "venue_a",
-    }
-    row.update(changes)
-    return {name: value for name, value in row.items() if value is not ...}
-
-
-def write_lines(path, lines) -> str:
-    path.mkdir(parents=True, exist_ok=True)
-    texts = [line if isinstance(line, str) else json.dumps(line) for line in lines]
-    (path / "part.jsonl").write_text("\n".join(texts) + "\n", encoding="utf-8")
-    return str(path)
-
-
-def lines_frame(spark, lines):
-    texts = [line if isinstance(line, str) else json.dumps(line) for line in lines]
-    return spark.createDataFrame([(text,) for text in texts], "value string")
-
-
-def events_frame(spark, rows):
-    """Parsed raw events from dicts or raw lines."""
-    from tapewatch.sources.jsonl import parse_events, strip_lines
-
-    return parse_events(strip_lines(lines_frame(spark, rows)))

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from conftest import event, events_frame, write_lines
+from helpers import event, events_frame, write_lines
 from pyspark.sql import functions as F
 
 from tapewatch.operators import validate as v

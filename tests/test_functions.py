@@ -5,7 +5,7 @@ from datetime import date, datetime, timezone
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from conftest import event, events_frame
+from helpers import event, events_frame
 from pyspark.sql import functions as F
 
 from tapewatch.functions import iso, rounding, text

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SMALL, write_lines
+from helpers import SMALL, write_lines
 
 from tapewatch.operators import rankings, summaries
 from tapewatch.operators.enrich import activity_rows, process, unusual_events

@@ -4,7 +4,7 @@ import json
 import os
 
 import pytest
-from conftest import SMALL, event, events_frame, write_lines
+from helpers import SMALL, event, events_frame, write_lines
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 

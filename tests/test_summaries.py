@@ -9,7 +9,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
-from conftest import SMALL, event, events_frame, write_lines
+from helpers import SMALL, event, events_frame, write_lines
 
 from tapewatch.operators import rankings, summaries
 from tapewatch.operators.enrich import enrich, process, with_types

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import event, events_frame, lines_frame, write_lines
+from helpers import event, events_frame, lines_frame, write_lines
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

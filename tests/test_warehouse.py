@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from conftest import MEDIUM, SMALL, event, events_frame, write_lines
+from helpers import MEDIUM, SMALL, event, events_frame, write_lines
 from pyspark.sql import functions as F
 
 from tapewatch.operators.enrich import activity_rows, enrich, process
@@ -91,7 +91,7 @@ def test_replay_counts(spark, replay):
     assert first["fact_options_event"] == 6034
     assert first["fact_options_event"] + second["fact_options_event"] == 8632
     assert (first["fact_unusual_activity"], second["fact_unusual_activity"]) == (3610, 6897)
-    assert (first["dim_option_contract"], second["dim_option_contract"]) == (4871, 1564)
+    assert (first["dim_option_contract"], second["dim_option_contract"]) == (4820, 1481)
     assert first["dim_symbol"] == 8
     assert set(third.values()) == {0}
 
