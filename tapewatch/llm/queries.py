@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewatch.llm import byte_bpe, decontaminate, language, licenses, line_dedup, pii, sharding, simhash
+from tapewatch.llm import byte_bpe, decontaminate, language, licenses, line_dedup, phrases, pii, quality, sharding
+from tapewatch.llm import simhash, trie
 from tapewatch.llm.exact_dedup import exact_duplicates
 from tapewatch.llm.support import cut, new_folder, small_batches
 from tapewatch.llm.token_files import read_token_files, with_starts, write_token_files
@@ -131,6 +132,33 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language."""
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+#: From this probability of label 1 on, a document is predicted to have it.
+GOOD = 0.7
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, learnt from labels of documents not held out."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scores = quality.quality_scores(docs, labels, ~held_out(F.col("doc_id")))
+    return scores.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     build.__name__: build
     for build in (
@@ -144,6 +172,9 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_token_files,
         op10_pseudonyms,
+        op11_conversation_trie,
+        op12_collocations,
+        op13_quality,
     )
 }
 
@@ -189,4 +220,106 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN text IS NULL THEN NULL ELSE array_to_string(k, chr(10)) END AS kept_text
         FROM kept
     """,
+    "op11_conversation_trie": """
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+            SELECT conv_id, strlen(text) AS bytes, sha256(strlen(role) || ':' || role || text) AS id,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                       sha256(strlen(role) || ':' || role || text)) AS pos
+            FROM turns
+        ), convs AS (
+            SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS base,
+                   xor(list_reduce(
+                       list_prepend(4294967295::BIGINT,
+                           list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+                       lambda crc, code: list_reduce([xor(crc, code), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                           lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))
+                   ), 4294967295::BIGINT) % 9 AS h
+            FROM turns
+        ), heads AS (
+            SELECT c.conv_id, o.pos AS d, o.id, o.bytes
+            FROM convs c JOIN own o ON o.conv_id = c.base AND o.pos <= c.h
+        ), begun AS (
+            SELECT conv_id, count(*) AS turns FROM heads GROUP BY conv_id
+        ), rebuilt AS (
+            SELECT * FROM heads
+            UNION ALL
+            SELECT c.conv_id, coalesce(b.turns, 0) + o.pos - c.h, o.id, o.bytes
+            FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.pos > c.h
+            LEFT JOIN begun b ON b.conv_id = c.conv_id
+        ), sequences AS (
+            SELECT conv_id, list(id ORDER BY d) AS ids FROM rebuilt GROUP BY conv_id
+        ), members AS (
+            SELECT r.conv_id, r.d, r.bytes, sha256(array_to_string(s.ids[1:r.d], '')) AS node
+            FROM rebuilt r JOIN sequences s ON s.conv_id = r.conv_id
+            UNION ALL
+            SELECT conv_id, 0, 0, '' FROM convs
+        ), lasts AS (
+            SELECT conv_id, max(d) AS last FROM members GROUP BY conv_id
+        ), nodes AS (
+            SELECT m.d, m.node, min(m.conv_id) AS conv_id, count(*) AS n_convs, min(m.bytes) AS bytes,
+                   coalesce(string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) FILTER (WHERE l.last = m.d), '') AS ends
+            FROM members m JOIN lasts l ON l.conv_id = m.conv_id GROUP BY m.d, m.node
+        ), linked AS (
+            SELECT n.*, p.node AS parent
+            FROM nodes n LEFT JOIN members p ON p.conv_id = n.conv_id AND p.d = n.d - 1
+        ), children AS (
+            SELECT d - 1 AS d, parent AS node, count(*) AS n FROM linked WHERE d > 0 GROUP BY ALL
+        ), sums AS (
+            SELECT a.d, a.node, count(*) FILTER (WHERE c.n IS NULL) AS n_leaves,
+                   sum((x.n_convs - 1) * x.bytes) AS saved
+            FROM nodes x JOIN members a ON a.conv_id = x.conv_id AND a.d <= x.d
+            LEFT JOIN children c ON c.d = x.d AND c.node = x.node
+            GROUP BY a.d, a.node
+        )
+        SELECT x.conv_id, x.d::BIGINT AS depth, p.conv_id AS parent_conv_id, x.n_convs,
+               coalesce(c.n, 0)::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves,
+               s.saved::BIGINT AS saved_tokens, sha256(x.ends) AS ends_sha256
+        FROM linked x
+        LEFT JOIN nodes p ON p.d = x.d - 1 AND p.node = x.parent
+        LEFT JOIN children c ON c.d = x.d AND c.node = x.node
+        JOIN sums s ON s.d = x.d AND s.node = x.node
+    """,
+    "op12_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ), split AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w
+            FROM pieces
+        ), phrases AS (
+            SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+                       lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+            FROM split, (VALUES (1), (2), (3)) sizes(size)
+        ), counts AS (
+            SELECT lang, size, phrase, count(*)::HUGEINT AS n FROM phrases GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(n)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND n >= {phrases.MIN_COUNT}
+        ), cuts AS (
+            SELECT lang, phrase, size, n AS a, unnest(range(1, size)) AS k, w FROM candidates
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.size, c.a, c.k, x.n AS l, y.n AS r, 1000000 * c.a * c.a // (x.n * y.n) AS score
+            FROM cuts c
+            JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+            JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1
+        ), covering AS (
+            SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(n) AS longest
+            FROM candidates, (VALUES (1), (2)) starts(i) WHERE size = 3 GROUP BY ALL
+        ), ranked AS (
+            SELECT s.*, row_number() OVER (PARTITION BY s.lang
+                       ORDER BY s.score DESC, s.a DESC, encode(s.phrase)) AS rank
+            FROM scored s LEFT JOIN covering c ON c.lang = s.lang AND c.phrase = s.phrase
+            WHERE c.longest IS NULL OR 100 * c.longest < {phrases.COVERED} * s.a
+        )
+        SELECT r.lang, r.rank, r.phrase, r.a::BIGINT AS a, r.l::BIGINT AS l, r.r::BIGINT AS r, t.n,
+               r.score::BIGINT AS score
+        FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= {phrases.PER_LANGUAGE}
+    """,
 }

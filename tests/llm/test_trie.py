@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from tapewatch.llm import trie
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = [item.split()[0] for item in trie.NODE.split(", ")]
+
+
+def rebuilt(rows):
+    """Conversations as lists of (role, text), each with the beginning of its group's first one."""
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            whole = f"{len(role.encode())}:{role}{text}".encode()
+            key = (turn is not None, turn or 0, hashlib.sha256(whole).digest())
+            turns[conv].append((key, (role, text)))
+    own = {conv: [turn for _, turn in sorted(found)] for conv, found in turns.items()}
+    out = {}
+    for conv, sequence in own.items():
+        h = zlib.crc32(str(conv).encode()) % 9
+        out[conv] = tuple(own.get(conv - conv % 5, [])[:h] + sequence[h:])
+    return out
+
+
+def brute(conversations):
+    """Every beginning of every conversation, with all its figures counted one by one."""
+    members = defaultdict(list)
+    for conv, sequence in conversations.items():
+        for depth in range(len(sequence) + 1):
+            members[sequence[:depth]].append(conv)
+    out = set()
+    for node, convs in members.items():
+        below = [other for other in members if other[: len(node)] == node]
+        children = [other for other in below if len(other) == len(node) + 1]
+        leaves = [o for o in below if not any(len(x) == len(o) + 1 and x[: len(o)] == o for x in below)]
+        saved = sum((len(members[o]) - 1) * len(o[-1][1].encode()) for o in below if o)
+        ends = sorted(conv for conv in convs if len(conversations[conv]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        digest = hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest()
+        out.add((min(convs), len(node), parent, len(convs), len(children), len(leaves), saved, digest))
+    return out
+
+
+def found(spark, rows, **options):
+    nodes = trie.conversation_trie(spark.createDataFrame(rows, SCHEMA), **options).collect()
+    assert len(nodes) == len({(node.conv_id, node.depth) for node in nodes})
+    return {tuple(node[name] for name in COLUMNS) for node in nodes}
+
+
+def random_rows(seed, convs=40, words="ab", longest=9):
+    rng = random.Random(seed)
+    return [
+        (conv, turn, rng.choice(["user", "assistant"]), rng.choice(words) * rng.randint(0, 2))
+        for conv in range(convs)
+        for turn in range(rng.randint(0, longest))
+    ]
+
+
+@pytest.mark.parametrize("container_paths", [1, 3, 1000])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(spark, seed, container_paths):
+    rows = random_rows(seed)
+    assert found(spark, rows, container_paths=container_paths) == brute(rebuilt(rows))
+
+
+def test_many_copies_and_a_long_shared_beginning(spark):
+    """Copies are one path; what all share for 40 turns takes one burst, not forty."""
+    rows = [(5 * conv, turn, "user", f"same {turn}") for conv in range(30) for turn in range(40)]
+    rows += [(5 * conv, 40 + turn, "user", f"{conv % 12} ü{turn}") for conv in range(30) for turn in range(2)]
+    expected = brute(rebuilt(rows))
+    assert found(spark, rows, container_paths=4) == expected
+    sequences = trie.turn_sequences(spark.createDataFrame(rows, SCHEMA))
+    paths = trie.distinct_paths(sequences)
+    assert paths.count() == 12
+    assert len(trie._bursts(paths, 4)[1]) == 1
+
+
+def test_a_sequence_that_ends_where_a_container_bursts(spark):
+    rows = [(0, 0, "u", "x")] + [(5 * i, j, "u", "x" if j == 0 else f"{i}") for i in range(1, 9) for j in range(2)]
+    assert found(spark, rows, container_paths=2) == brute(rebuilt(rows))
+
+
+def test_odd_rows(spark):
+    """Nulls, empty texts, repeated rows, equal turn numbers, missing first conversations, turnless ones."""
+    rows = [
+        (None, 0, "user", "no conversation"),
+        (1, None, "user", "unnumbered"),
+        (1, 0, None, None),
+        (1, 0, "", ""),
+        (1, 1, "user", "x" * 70_000),
+        (2, 0, "user", "a"),
+        (2, 0, "user", "a"),
+        (2, 0, "assistant", "a"),
+        (7, 0, "us", "er"),
+        (8, 0, "user", ""),
+        (9, 5, "ü", "漢字 \x00"),
+        (10, -3, "user", "a"),
+        (13, 0, "user", "only turn"),
+        (-4, 0, "user", "negative id"),
+        (2**62, 0, "user", "large id"),
+    ]
+    for paths in (1, 256):
+        assert found(spark, rows, container_paths=paths) == brute_signed(rows)
+
+
+def brute_signed(rows):
+    """As `brute`; -4 % 5 is -4 in SQL, so conversation -4 belongs to the group of 0."""
+    conversations = rebuilt(rows)
+    own = {c: s for c, s in rebuilt([r for r in rows if r[0] == -4]).items()}
+    assert zlib.crc32(b"-4") % 9 == 0 or own  # its group's first conversation, 0, is absent
+    sequence = [("user", "negative id")]
+    conversations[-4] = tuple(sequence[zlib.crc32(b"-4") % 9 :])
+    return brute(conversations)
+
+
+def test_an_empty_table_has_no_node_and_other_columns_do_not_matter(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert trie.conversation_trie(empty).collect() == []
+    rows = [(0, 0, "user", "a", "clash", "clash", 7)]
+    frame = spark.createDataFrame(rows, SCHEMA + ", head string, seq string, n long")
+    assert len(trie.conversation_trie(frame).collect()) == 2
+
+
+def test_ids_far_apart_and_in_many_blocks_are_digested_in_order(spark):
+    rows = [(5 * 10**k, 0, "user", "same") for k in range(1, 15)] + [(5 * i, 0, "user", "same") for i in range(3000)]
+    rows = sorted(set(rows))
+    assert found(spark, rows) == brute(rebuilt(rows))
