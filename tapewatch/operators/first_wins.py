@@ -1,4 +1,4 @@
-"""First row per key, and rows whose key a table does not hold yet."""
+"""First row per key."""
 
 from __future__ import annotations
 
@@ -33,21 +33,6 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | None = N
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def new_rows(
-    batch: DataFrame, target: DataFrame, keys: list[str], wanted: DataFrame | None = None
-) -> DataFrame:
-    """First row of each key that `target` does not hold yet; keys must not be null.
-
-    The target's keys are cut to those of the batch first. Spark broadcasts the batch keys
-    when its own size estimate allows, and then the large target is never shuffled. `wanted`
-    may give those keys from a cheaper scan; more keys than the batch has do no harm.
-    """
-    distinct_keys = (batch if wanted is None else wanted).select(*keys).distinct()
-    held = target.select(*keys).join(distinct_keys, keys, "left_semi")
-    first = batch.distinct() if batch.columns == keys else first_per_key(batch, keys)
-    return first.join(held, keys, "left_anti")
-
-
 CONTRACT_ATTRIBUTES = ["contract_symbol", "symbol", "option_type", "strike", "expiration_date"]
 
 

@@ -122,7 +122,7 @@ def warehouse_schema(table: str) -> T.StructType:
     id_column, time_column = WAREHOUSE_AUDIT[table]
     fields = list(WAREHOUSE_COLUMNS[table].fields)
     if id_column:
-        fields.insert(0, T.StructField(id_column, T.LongType()))
+        fields.insert(0, T.StructField(id_column, T.StringType()))
     fields.append(T.StructField(time_column, T.TimestampNTZType()))
     fields.append(T.StructField("load_id", T.StringType()))
     return T.StructType(fields)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import ExitStack
 
 import pytest
 from helpers import SMALL, write_lines
@@ -120,25 +121,52 @@ def test_no_python_and_no_cross_join_anywhere(spark, store, facts):
             assert word not in text
 
 
-def test_merge_shuffles_the_batch_once(spark, store):
+def above(text: str, node: str) -> list[str]:
+    """Names of the operators above the first line of a plan tree that holds `node`."""
+    lines = [line for line in text.splitlines() if line.strip()]
+    at = next(i for i, line in enumerate(lines) if node in line)
+    depth, found = re.search(r"\w", lines[at]).start(), []
+    for line in reversed(lines[:at]):
+        start = re.search(r"\w", line).start()
+        if start < depth:
+            depth = start
+            found.append(line.strip(" :+-*"))
+    return found
+
+
+def delta_tree(spark, store, table):
+    """Physical plan of a second load, its keys found by a join of both sides, none broadcast."""
+    home = warehouse.Warehouse(spark, f"{store}/w")
+    typed = warehouse.with_types(batch.read_valid(spark, f"{store}/out"))
+    state = home.log.state()
+    with ExitStack() as stack:
+        held = warehouse._held(stack, home, table, state.loads.values(), state.buckets)
+        delta = warehouse.table_delta(typed, held, table, state.buckets)
+        return delta._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("table", warehouse.TABLES)
+def test_the_history_is_never_moved(spark, store, table):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        typed = warehouse.with_types(batch.read_valid(spark, f"{store}/out"))
-        target = warehouse.Warehouse(spark, f"{store}/w").stored("fact_options_event")
-        text = plan(warehouse.table_delta(typed, target, "fact_options_event"))
+        text = delta_tree(spark, store, table)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # The batch, the target's keys, the batch's keys: every join reuses these.
-    assert text.count("hashpartitioning(event_id") == 3
-    # The partial limit per key sits below the shuffle, the final one above.
-    assert text.index("WindowGroupLimit") < text.rindex("WindowGroupLimit")
-
-
-def test_small_batch_leaves_the_target_in_place(spark, store):
-    typed = warehouse.with_types(batch.read_valid(spark, f"{store}/out"))
-    target = warehouse.Warehouse(spark, f"{store}/w").stored("fact_options_event")
-    text = plan(warehouse.table_delta(typed, target, "fact_options_event"))
-    assert "BroadcastHashJoin LeftSemi BuildRight" in text
+    held = next(line for line in text.splitlines() if "bucketed_" in line)
+    assert "Bucketed: true" in held
+    assert not [name for name in above(text, "bucketed_") if "Exchange" in name]
+    # of the history only keys are read, and no row of a fact table
+    keys = set(warehouse.WAREHOUSE_KEYS[table])
+    assert set(re.search(r"ReadSchema: struct<(.*?)>", held)[1].replace(":string", "").split(",")) == keys
+    assert "load_id=" not in text or table not in warehouse.TIMED
+    # the partial limit per key sits below the shuffle, the final one above
+    if table != "dim_symbol":
+        assert text.index("WindowGroupLimit") < text.rindex("WindowGroupLimit")
+
+
+def test_a_small_batch_is_broadcast(spark, store):
+    text = delta_tree(spark, store, "fact_options_event")
+    assert "BroadcastHashJoin" in text and "LeftSemi, BuildRight" in text
 
 
 def test_generated_code_stays_compilable(spark, store):

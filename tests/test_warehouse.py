@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
+from glob import glob
 
 import pytest
 from helpers import MEDIUM, SMALL, event, events_frame, write_lines
@@ -11,8 +13,9 @@ from tapewatch.operators.first_wins import first_per_key, unique_contracts
 from tapewatch.operators.summaries import distinct_symbols
 from tapewatch.operators.validate import valid_events
 from tapewatch.plans import analytics, warehouse
+from tapewatch.plans.commits import FULL_EVERY, CommitLog
 from tapewatch.plans.warehouse import Warehouse, load_warehouse
-from tapewatch.schema import RAW_FIELDS, WAREHOUSE_KEYS
+from tapewatch.schema import ENRICHED_FIELDS, RAW_FIELDS, WAREHOUSE_KEYS
 from tapewatch.sources.jsonl import parse_events, read_lines
 from tapewatch.sources.market_events import options_events, project_events
 
@@ -131,27 +134,160 @@ def test_analytics_run_over_the_tables(spark, replay):
     assert total == hours
 
 
-def test_a_load_that_died_can_run_again(spark, tmp_path, monkeypatch):
+def fact_ids(spark, root):
+    return sorted(row.event_id for row in Warehouse(spark, root).table("fact_options_event").collect())
+
+
+def test_a_load_that_died_leaves_nothing_visible_and_can_run_again(spark, tmp_path, monkeypatch):
     batch = process(options_events(spark, SMALL))
     root = str(tmp_path / "w")
     whole = warehouse.table_delta
 
-    def dies(typed, target, table):
+    def dies(typed, held, table, buckets):
         if table == "fact_unusual_activity":
             raise RuntimeError("lost")
-        return whole(typed, target, table)
+        return whole(typed, held, table, buckets)
 
     monkeypatch.setattr(warehouse, "table_delta", dies)
     with pytest.raises(RuntimeError):
         load_warehouse(batch, root, load_id="day1")
     monkeypatch.undo()
+    store = Warehouse(spark, root)
+    assert glob(f"{root}/fact_options_event/load_id=day1/*/*.parquet")
+    assert all(store.table(table).isEmpty() for table in WAREHOUSE_KEYS)
     again = load_warehouse(batch, root, load_id="day1")
     assert again["fact_options_event"] == 863
     assert again["fact_unusual_activity"] == 61 + 120 + 334
-    store = Warehouse(spark, root)
     for table, keys in WAREHOUSE_KEYS.items():
         rows = store.table(table)
         assert rows.count() == rows.select(*keys).distinct().count() == again[table]
+    # of the two attempts only the one that was committed is kept
+    assert store.remove_leftovers() == []
+    removed = store.remove_leftovers(older_than_hours=-1)
+    assert len(removed) == 3 + 2  # rows of three tables; keys and files of the one fact table among them
+    assert store.table("fact_options_event").count() == 863 and store.remove_leftovers(-1) == []
+
+
+def test_a_committed_load_is_not_run_again(spark, tmp_path):
+    root = str(tmp_path / "w")
+    first = load_warehouse(enriched(spark, [event()]), root, load_id="day1")
+    again = load_warehouse(enriched(spark, [event(), event(event_id="other")]), root, load_id="day1")
+    assert first == again and fact_ids(spark, root) == ["evt_a"]
+    with pytest.raises(ValueError):
+        load_warehouse(enriched(spark, [event()]), root, load_id="a/b")
+
+
+def interleaved(monkeypatch, action):
+    """Runs `action` once, after the first load from now on has written and before it commits."""
+    prepared = warehouse._prepared
+
+    def with_action(*args):
+        monkeypatch.setattr(warehouse, "_prepared", prepared)
+        mine = prepared(*args)
+        action()
+        return mine
+
+    monkeypatch.setattr(warehouse, "_prepared", with_action)
+
+
+def test_two_loads_at_once_insert_each_key_once(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "w")
+    one = [event(event_id="a", strike=1.0), event(event_id="b", strike=1.0, volume=9000)]
+    two = [event(event_id="b", strike=2.0, implied_volatility=0.9), event(event_id="c", strike=2.0)]
+    second = {}
+    interleaved(
+        monkeypatch, lambda: second.update(load_warehouse(enriched(spark, two), root, load_id="two"))
+    )
+    first = load_warehouse(enriched(spark, one), root, load_id="one")
+    store = Warehouse(spark, root)
+    facts = {row.event_id: (float(row.strike), row.load_id) for row in store.stored("fact_options_event").collect()}
+    assert facts == {"a": (1.0, "one"), "b": (2.0, "two"), "c": (2.0, "two")}
+    # the one contract and the symbol came with the load that was committed first
+    assert [float(row.strike) for row in store.table("dim_option_contract").collect()] == [2.0]
+    assert store.table("dim_symbol").count() == 1
+    flags = {(row.event_id, row.flag) for row in store.table("fact_unusual_activity").collect()}
+    assert flags == {("b", "HIGH_VOLUME"), ("b", "HIGH_IV")}
+    assert first == {"dim_symbol": 0, "dim_option_contract": 0, "fact_options_event": 1, "fact_unusual_activity": 1}
+    assert second == {"dim_symbol": 1, "dim_option_contract": 1, "fact_options_event": 2, "fact_unusual_activity": 1}
+    third = load_warehouse(enriched(spark, one + two), root)
+    assert set(third.values()) == {0}
+
+
+def test_loads_without_a_common_key_and_the_same_load_twice(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "w")
+    load_warehouse(enriched(spark, [event()]), root)
+    other = enriched(spark, [event(event_id="z", contract_symbol="Z", symbol="ZZ")])
+    interleaved(monkeypatch, lambda: load_warehouse(other, root))
+    mine = load_warehouse(enriched(spark, [event(event_id="y", contract_symbol="Y", symbol="YY")]), root)
+    assert mine["fact_options_event"] == mine["dim_symbol"] == 1
+    twin = enriched(spark, [event(event_id="twin")])
+    interleaved(monkeypatch, lambda: load_warehouse(twin, root, load_id="twin"))
+    assert load_warehouse(twin, root, load_id="twin")["fact_options_event"] == 1
+    assert fact_ids(spark, root) == ["evt_a", "twin", "y", "z"]
+
+
+def test_a_reset_between_writing_and_committing(spark, tmp_path, monkeypatch):
+    """What a load left out because the old tables held it is inserted into the new ones."""
+    root = str(tmp_path / "w")
+    load_warehouse(enriched(spark, [event(event_id="a")]), root)
+    fresh = enriched(spark, [event(event_id="new")])
+    interleaved(monkeypatch, lambda: load_warehouse(fresh, root, reset=True))
+    load_warehouse(enriched(spark, [event(event_id="a"), event(event_id="b")]), root)
+    assert fact_ids(spark, root) == ["a", "b", "new"]
+
+
+def test_one_writer_takes_a_version_and_readers_open_few_files(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "w"))
+    start = log.state()
+    assert (start.version, start.loads) == (-1, {})
+    assert log.append(start, buckets=4) and not log.append(start, buckets=8)
+    state = log.state()
+    assert (state.version, state.buckets) == (0, 4)
+    for number in range(70):
+        load = {"load_id": f"l{number}", "attempts": {"t": f"a{number}"}, "rows": {"t": number}}
+        assert log.append(log.state(), load=load)
+    opened = []
+    read = log._read
+    log._read = lambda version: opened.append(version) or read(version)
+    state = log.state()
+    assert len(state.loads) == 70 and state.loads["l69"].rows == {"t": 69} and state.buckets == 4
+    assert len(opened) <= FULL_EVERY
+    assert not [name for name in os.listdir(tmp_path / "w" / "_commits") if name.startswith(".") and not name.endswith(".crc")]
+
+
+def test_an_hour_of_a_year_opens_few_files(spark, tmp_path):
+    root = str(tmp_path / "w")
+    minutes = spark.range(0, 365 * 24 * 60, 20)
+    at = F.expr("timestamp_ntz '2026-01-01 00:00:00' + make_dt_interval(0, 0, id, 0)")
+    events = (
+        enriched(spark, [event(volume=9000)])
+        .drop("event_id", "event_timestamp")
+        .crossJoin(minutes)
+        .select("*", F.concat(F.lit("e"), "id").alias("event_id"), at.alias("event_timestamp"))
+    )
+    events.select(*ENRICHED_FIELDS).orderBy(F.rand(1)).write.parquet(f"{root}/in")
+    settings = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        load_warehouse(spark.read.parquet(f"{root}/in"), f"{root}/w", key_buckets=2)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    store = Warehouse(spark, f"{root}/w")
+    start, end = datetime(2026, 7, 1, 13), datetime(2026, 7, 1, 14)
+    for table in warehouse.TIMED:
+        everything = len(glob(f"{store.path(table)}/*/*/*.parquet"))
+        opened = store.files_between(table, start, end)
+        assert everything >= 150 and 1 <= len(opened) <= everything / 100 + 1
+        rows = store.between(table, start, end)
+        assert rows.count() == 3
+        whole = store.table(table).filter(F.col("event_timestamp").between(start, datetime(2026, 7, 1, 13, 59)))
+        assert rows.exceptAll(whole).isEmpty() and whole.exceptAll(rows).isEmpty()
+        assert store.files_between(table, datetime(2020, 1, 1), datetime(2020, 1, 2)) == []
+        assert store.between(table, datetime(2020, 1, 1), datetime(2020, 1, 2)).isEmpty()
+    assert Warehouse(spark, str(tmp_path / "none")).between("fact_options_event", start, end).isEmpty()
 
 
 def test_reset_empties_the_tables(spark, tmp_path):
