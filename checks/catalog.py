@@ -9,6 +9,7 @@ Results carry doubles for decimals and ISO text for dates, so that engines compa
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +29,10 @@ from tapewatch.operators.validate import (
 )
 from tapewatch.plans import batch, marts, metrics, reports, warehouse
 from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
-from tapewatch.sources.jsonl import parse_events, read_enriched, read_events, write_jsonl
+from tapewatch.sources.jsonl import parse_events, read_enriched, read_events, read_lines, write_jsonl
 from tapewatch.sources.market_events import options_events, options_lines
 from tapewatch.sources.tables import read_csv, write_csv, write_parquet
-from tapewatch.streaming import consumer
+from tapewatch.streaming import alerts, consumer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -385,6 +386,52 @@ def warehouse_insert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(counts, "load string, table_name string, rows_inserted bigint")
 
 
+#: One day of the test data's thirty, read by time.
+DAY = (datetime(2024, 1, 10), datetime(2024, 1, 11))
+
+
+@query
+def events_of_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts of one day, from the files that hold some of it."""
+    return plain(loaded_warehouse(spark, sf_dir).between("fact_options_event", *DAY))
+
+
+@query
+def flags_of_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loaded_warehouse(spark, sf_dir).between("fact_unusual_activity", *DAY)
+
+
+def _raced_warehouse(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
+    """Two loads that begin on the same empty tables; the changed replay is committed first."""
+
+    def build(folder: str) -> warehouse.Warehouse:
+        first = batch_events(spark, sf_dir)
+        home = warehouse.Warehouse(spark, folder)
+        home.create()
+        slow = warehouse.prepare_load(first, folder, "slow")
+        warehouse.load_warehouse(replayed_events(first.drop(*DERIVED_FIELDS)), folder, load_id="quick")
+        warehouse.commit_load(slow)
+        return home
+
+    return _once(spark, sf_dir, "raced", build)
+
+
+@query
+def concurrent_load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = _raced_warehouse(spark, sf_dir).stored("fact_options_event")
+    return plain(facts.select("event_id", "contract_symbol", "volume", "strike", "load_id"))
+
+
+@query
+def concurrent_load_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(_raced_warehouse(spark, sf_dir).table("dim_option_contract"))
+
+
+@query
+def concurrent_load_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raced_warehouse(spark, sf_dir).table("fact_unusual_activity")
+
+
 # ---- analytics ----------------------------------------------------------------------
 
 
@@ -513,3 +560,36 @@ def flags_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.size(flags) > 0, piped_flags(flags)).otherwise("NONE")
     return batch_events(spark, sf_dir).select("event_id", text.alias("flags"))
 
+
+def _delivered_twice(spark: SparkSession, sf_dir: str) -> str:
+    """All events as JSON-lines files, and all again in other files."""
+
+    def build(folder: str) -> str:
+        lines = options_lines(spark, sf_dir)
+        lines.write.option("maxRecordsPerFile", 1_000_000).text(folder)
+        lines.repartition(3).write.mode("append").text(folder)
+        return folder
+
+    return _once(spark, sf_dir, "twice", build)
+
+
+@query
+def replayed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of a stream that delivers every event twice, with a restart in between."""
+
+    def build(folder: str) -> str:
+        for _ in range(2):
+            stream = consumer.read_stream(spark, _delivered_twice(spark, sf_dir), 4)
+            run = alerts.start_alerts(stream, f"{folder}/out", f"{folder}/checkpoint", delay="400 days")
+            run.awaitTermination()
+        return f"{folder}/out"
+
+    return plain(alerts.read_alerts(spark, _once(spark, sf_dir, "replayed-alerts", build)))
+
+
+@query
+def distinct_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch form over the same files."""
+    lines = read_lines(spark, _delivered_twice(spark, sf_dir), with_order=True)
+    first = alerts.distinct_alerts(alerts.alert_lines(lines))
+    return first.select("event_id", F.unix_micros("event_time").alias("event_micros"))

@@ -196,6 +196,10 @@ _FLAG_COUNTS = "SELECT flag, COUNT(*) AS {name} FROM activity GROUP BY flag"
 _CONTRACTS = """SELECT contract_symbol, symbol, option_type, strike, expiration_date FROM typed
 QUALIFY row_number() OVER (PARTITION BY contract_symbol ORDER BY event_timestamp, event_id) = 1"""
 _ACTIVITY_TYPED = "SELECT event_id, contract_symbol, symbol, flag, event_timestamp FROM activity"
+_FACTS = """SELECT event_id, contract_symbol, symbol, option_type, strike, expiration_date, bid, ask,
+  last_price, volume, open_interest, volume_open_interest_ratio, implied_volatility, delta,
+  underlying_price, unusual_activity_score, event_timestamp, source FROM typed"""
+_DAY = "event_timestamp >= TIMESTAMP '2024-01-10' AND event_timestamp < TIMESTAMP '2024-01-11'"
 _SYMBOL_SUMMARY = _summary("symbol") + " ORDER BY unusual_events DESC, total_volume DESC, symbol"
 _HOURS = f"""SELECT date_trunc('hour', event_timestamp) AS event_hour, COUNT(*) AS {{name}}
 FROM typed WHERE unusual_activity_score > 0 GROUP BY 1"""
@@ -287,11 +291,7 @@ FROM enriched WHERE unusual_activity_score > 0"""
     ),
     "dim_symbol": _enriched("SELECT DISTINCT symbol FROM enriched"),
     "dim_option_contract": _enriched(_CONTRACTS),
-    "fact_options_event": _enriched(
-        """SELECT event_id, contract_symbol, symbol, option_type, strike, expiration_date, bid, ask,
-  last_price, volume, open_interest, volume_open_interest_ratio, implied_volatility, delta,
-  underlying_price, unusual_activity_score, event_timestamp, source FROM typed"""
-    ),
+    "fact_options_event": _enriched(_FACTS),
     "fact_unusual_activity": _enriched(_ACTIVITY_TYPED),
     "warehouse_merge_events": _replay(
         """SELECT event_id, contract_symbol, volume, strike, unusual_activity_score
@@ -322,6 +322,28 @@ grid AS (
 SELECT 'load' || g.load AS load, g.table_name, COUNT(r.load) AS rows_inserted
 FROM grid g LEFT JOIN rows_by_load r ON r.load = g.load AND r.table_name = g.table_name
 GROUP BY ALL"""
+    ),
+    "events_of_a_day": _enriched(f"{_FACTS} WHERE {_DAY}"),
+    "flags_of_a_day": _enriched(f"{_ACTIVITY_TYPED} WHERE {_DAY}"),
+    "concurrent_load_events": _replay(
+        """, raced AS (
+  SELECT * FROM both_loads
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY load DESC) = 1
+)
+SELECT event_id, contract_symbol, volume, strike, CASE load WHEN 1 THEN 'slow' ELSE 'quick' END AS load_id
+FROM raced"""
+    ),
+    "concurrent_load_contracts": _replay(
+        """SELECT contract_symbol, symbol, option_type, strike, expiration_date FROM both_loads
+QUALIFY row_number() OVER (PARTITION BY contract_symbol
+                           ORDER BY load DESC, event_timestamp, event_id) = 1"""
+    ),
+    "concurrent_load_flags": _replay(
+        """SELECT event_id, contract_symbol, symbol, flag, event_timestamp FROM (
+  SELECT load, event_id, contract_symbol, symbol,
+         unnest(string_split(unusual_activity_flags, '|')) AS flag, event_timestamp
+  FROM both_loads WHERE unusual_activity_score > 0)
+QUALIFY row_number() OVER (PARTITION BY event_id, flag ORDER BY load DESC) = 1"""
     ),
     # analytics
     "symbol_activity": _enriched(_SYMBOL_SUMMARY),
@@ -372,4 +394,10 @@ SELECT event_id, CASE WHEN validation_errors <> '' THEN 'invalid'
     "stream_quarantine": _raw(_QUARANTINE),
     "stream_log": _raw(f""", scored AS ({_ENRICHED_OF} FROM checked)
 SELECT {_STATUS} FROM scored"""),
+    "replayed_alerts": _enriched(
+        f"SELECT {_ENRICHED_COLUMNS} FROM enriched WHERE unusual_activity_score > 0"
+    ),
+    "distinct_alerts": _enriched(
+        "SELECT event_id, epoch_us(event_timestamp) AS event_micros FROM typed WHERE unusual_activity_score > 0"
+    ),
 }

@@ -290,6 +290,50 @@ def _prepared(warehouse: Warehouse, typed: DataFrame, load_id: str, state: State
     return Load(load_id, attempts, rows)
 
 
+@dataclass(frozen=True)
+class PreparedLoad:
+    """A load that is written but that nobody sees yet."""
+
+    warehouse: Warehouse
+    typed: DataFrame
+    state: State
+    load: Load
+
+
+def prepare_load(
+    enriched: DataFrame, root: str, load_id: str, reset: bool = False, key_buckets: int = KEY_BUCKETS
+) -> PreparedLoad | dict[str, int]:
+    """Writes a load against the tables as they are now; the rows it inserted if it is committed already."""
+    if not re.fullmatch(r"[\w.\-]+", load_id):
+        raise ValueError("a load id has letters, digits, points, hyphens and underscores")
+    warehouse = Warehouse(enriched.sparkSession, root)
+    state = warehouse.create(reset, key_buckets)
+    if load_id in state.loads:
+        return _inserted(state.loads[load_id])
+    typed = with_types(enriched)
+    return PreparedLoad(warehouse, typed, state, _prepared(warehouse, typed, load_id, state))
+
+
+def _inserted(load: Load) -> dict[str, int]:
+    return {table: load.rows[table] for table in TABLES}
+
+
+def commit_load(prepared: PreparedLoad) -> dict[str, int]:
+    """Makes a written load visible, without what others have inserted since; the rows inserted."""
+    warehouse, state, mine = prepared.warehouse, prepared.state, prepared.load
+    while not warehouse.log.append(state, load=vars(mine)):
+        newer = warehouse.log.state()
+        if mine.load_id in newer.loads:
+            return _inserted(newer.loads[mine.load_id])
+        if newer.epoch != state.epoch:
+            # the tables were emptied: what was left out may be missing now
+            mine = _prepared(warehouse, prepared.typed, mine.load_id, newer)
+        else:
+            mine = _without(warehouse, mine, newer.since(state), state.buckets)
+        state = newer
+    return _inserted(mine)
+
+
 def load_warehouse(
     enriched: DataFrame,
     root: str,
@@ -304,19 +348,5 @@ def load_warehouse(
     Parquet-backed frame when it is large. Events that do not fit are written to `load_rejects`.
     `key_buckets` is that of a new warehouse; an existing one keeps its own.
     """
-    load_id = load_id or uuid.uuid4().hex
-    if not re.fullmatch(r"[\w.\-]+", load_id):
-        raise ValueError("a load id has letters, digits, points, hyphens and underscores")
-    warehouse = Warehouse(enriched.sparkSession, root)
-    state, typed, mine = warehouse.create(reset, key_buckets), with_types(enriched), None
-    while load_id not in state.loads:
-        mine = mine or _prepared(warehouse, typed, load_id, state)
-        if warehouse.log.append(state, load=vars(mine)):
-            return {table: mine.rows[table] for table in TABLES}
-        newer = warehouse.log.state()
-        if newer.epoch != state.epoch:
-            mine = None  # the tables were emptied: what was left out may be missing now
-        elif load_id not in newer.loads:
-            mine = _without(warehouse, mine, newer.since(state), state.buckets)
-        state = newer
-    return {table: state.loads[load_id].rows[table] for table in TABLES}
+    prepared = prepare_load(enriched, root, load_id or uuid.uuid4().hex, reset, key_buckets)
+    return commit_load(prepared) if isinstance(prepared, PreparedLoad) else prepared
