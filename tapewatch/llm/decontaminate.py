@@ -10,8 +10,8 @@ one, tells exact, edited and paraphrased copies from chance. An item that leaked
 documents, whole or edited, is found by the same rule.
 
 The test set is handled in blocks of at most `BLOCK_WORDS` words, one after the other: that is the
-proven bound of what is sent to the workers. Documents are read twice per block and never
-shuffled: once to count documents per n-gram, once to seed and align. N-grams are exact (numbers of
+proven bound of what is sent to the workers; of `BLOCKS_AT_ONCE` blocks the functions run in one
+stage, then the rows are written out. Documents are read twice per block and never shuffled: once to count documents per n-gram, once to seed and align. N-grams are exact (numbers of
 words in the block's vocabulary), not hashes.
 """
 
@@ -28,10 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewatch.llm.support import pieces_of, release_tables, unused
+from tapewatch.llm.support import cut, pieces_of, release_tables, unused
 
-#: Items of fewer words must stand word for word.
-GRAM_WORDS = 3
 #: Seeds per item at least, the rarest; more wherever a match could do without these.
 SEEDS_PER_ITEM = 16
 #: Share of an item's best possible alignment score from which a document counts as contaminated.
@@ -39,6 +37,8 @@ MIN_SCORE = 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of test items in a block: what one pass over the documents sends to every worker.
 BLOCK_WORDS = 400_000
+#: Blocks whose functions run in one stage; after so many the rows are written to the shared folder.
+BLOCKS_AT_ONCE = 4
 
 MATCHES = "array<struct<item: bigint, score: double, first_word: bigint, last_word: bigint>>"
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -50,7 +50,7 @@ def words_of(text: str | None) -> Iterator[list[bytes]]:
         yield _WORD.findall(piece)
 
 
-def grams_of(ids: np.ndarray, vocabulary: int, size: int = GRAM_WORDS) -> np.ndarray:
+def grams_of(ids: np.ndarray, vocabulary: int, size: int) -> np.ndarray:
     """The number of each `size`-gram of word numbers; -1 where a word is unknown.
 
     Exact: the vocabulary of a block is small enough for three numbers in 63 bits.
@@ -223,20 +223,6 @@ def _aligned(ids: np.ndarray, block: Block, tables: tuple[np.ndarray, np.ndarray
     return sorted(found)
 
 
-def _short_items(ids: np.ndarray, block: Block) -> list[tuple]:
-    """Items of fewer words than an n-gram, which must stand word for word."""
-    found = []
-    for number, words in zip(block.numbers, block.items):
-        if 0 < len(words) < GRAM_WORDS and len(ids) >= len(words):
-            same = np.ones(len(ids) - len(words) + 1, dtype=bool)
-            for k, word in enumerate(words):
-                same &= ids[k : len(ids) - len(words) + 1 + k] == word
-            if same.any():
-                at = int(np.argmax(same))
-                found.append((number, 1.0, at, at + len(words) - 1))
-    return found
-
-
 def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, bytes]]]:
     """The distinct items (number, words) in lists of about `block_words` words."""
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -257,9 +243,8 @@ def _block(rows: list[tuple[int, str]], min_score: float = MIN_SCORE) -> Block:
     demands = [_demand(len(words), min_score) for words in items]
     block = Block(vocabulary, [number for number, _ in rows], items, demands, defaultdict(list), {})
     for item, (words, demand) in enumerate(zip(items, demands)):
-        if len(words) >= GRAM_WORDS:
-            for at, gram in enumerate(block.grams(words, demand.size).tolist()):
-                block.places[gram].append((item, at))
+        for at, gram in enumerate(block.grams(words, demand.size).tolist() if len(words) else ()):
+            block.places[gram].append((item, at))
     return block
 
 
@@ -328,7 +313,7 @@ def _matches(text: Column, block: Block, min_score: float) -> Column:
             found = []
             for text in texts:
                 ids = _ids(text.as_py(), block.vocabulary)
-                rows = _aligned(ids, block, tables, min_score) + _short_items(ids, block)
+                rows = _aligned(ids, block, tables, min_score)
                 found.append([dict(zip(names, row)) for row in rows])
             yield pa.array(found, kind)
 
@@ -352,7 +337,7 @@ def with_contamination(
     and other characters, without regard to case. An item counts once per document, at its best
     place, the first of equal ones. Every item that scores `min_score` anywhere is found, whatever
     `seeds_per_item` (the least number of seeds): it changes the speed only. Null and empty texts have no matches, and items without words
-    none either; items shorter than an n-gram must stand word for word. Repeated items with the same
+    none either. Repeated items with the same
     number and text count once; rows of `docs` stay as they are, repeated ones too. An empty test set
     or table gives empty arrays or no rows. `matches` must be a new name.
     """
@@ -365,7 +350,9 @@ def with_contamination(
     )
     result = docs.withColumn(matches, F.lit(None).cast(MATCHES))
     name = F.col(matches)
-    for rows in _blocks(items, block_words):
+    for number, rows in enumerate(_blocks(items, block_words)):
+        if number and number % BLOCKS_AT_ONCE == 0:
+            result = cut(result)
         block = _block(rows, min_score)
         if any(len(words) for words in block.items):
             block = _with_seeds(docs, text_column, block, seeds_per_item, whole=True)

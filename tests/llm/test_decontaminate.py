@@ -159,3 +159,24 @@ def test_edited_copies_beside_whole_ones(spark, least):
         min_score=least,
     )
     assert found == expected
+
+
+def test_items_of_one_and_two_words_follow_the_same_rule(spark):
+    """A gap costs a match, whatever the item's length."""
+    docs = [(1, "see alpha new beta here"), (2, "alpha beta"), (3, "beta alpha"), (4, "alpha x y beta"), (5, "gamma!"), (6, None)]
+    items = [(10, "alpha beta"), (11, "Gamma")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.contaminated_pairs(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.score) for r in found} == {(1, 10, 0.75), (2, 10, 1.0), (5, 11, 1.0)}
+
+
+def test_many_blocks_are_cut_into_stages(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCKS_AT_ONCE", 2)
+    items = [(i, f"item number w{i} has some words of its own v{i} here") for i in range(12)]
+    docs = [(i, f"before it, item number w{i} has some words of its own v{i} here and after") for i in range(0, 12, 3)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id long, text string")
+    marked = decontaminate.with_contamination(frame, table, block_words=12)
+    assert {(r.doc_id, m.item) for r in marked.collect() for m in r.matches if m.score == 1} == {(i, i) for i in range(0, 12, 3)}
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") <= 2
