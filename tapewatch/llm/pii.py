@@ -16,6 +16,7 @@ from calendar import monthrange
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from functools import lru_cache
+from math import isqrt
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -38,13 +39,13 @@ class Feistel:
 
     def __init__(self, key: bytes, label: str, size: int):
         self.size, self.label = size, label.encode()
-        self.left = max(1, int(size**0.5))
-        while self.left * self.left < size:
-            self.left += 1
+        self.left = isqrt(max(1, size) - 1) + 1
         self.key = hashlib.blake2b(key, digest_size=32, person=b"feistel").digest()
 
     def _value(self, turn: int, half: int) -> int:
         data = b"%d|%d|%d|%s" % (self.size, turn, half, self.label)
+        if self.left.bit_length() > 112:  # long names: as many bits as they need, and a margin
+            return int.from_bytes(hashlib.shake_256(self.key + data).digest(self.left.bit_length() // 8 + 9), "big")
         return int.from_bytes(hashlib.blake2b(data, key=self.key, digest_size=16).digest(), "big")
 
     def _once(self, value: int, turns) -> int:
@@ -123,11 +124,11 @@ class Pseudonyms:
         return refilled(found, body + str(check_digit(body)))
 
     def phone(self, found: str) -> str | None:
+        """The country code stays; a number without one is of country 1, and linked to its form with it."""
         digits = re.sub(r"\D", "", found)
-        if not 10 <= len(digits) <= 15:
-            return None
-        country, rest = digits[:-10], digits[-10:]
-        return refilled(found, country + self.digits("phone" + country, rest))
+        country = country_code(digits) if found.startswith("+") else "1"
+        rest = digits.removeprefix(country) if found.startswith("+") else digits
+        return refilled(found, digits[: len(digits) - len(rest)] + self.digits("phone" + country, rest))
 
     def address(self, found: str) -> str | None:
         parts = found.split(".")
@@ -146,16 +147,12 @@ class Pseudonyms:
 
     def iban(self, found: str) -> str | None:
         plain = found.replace(" ", "")
-
-        def rest(text: str) -> int:
-            return int("".join(str(int(char, 36)) for char in text[4:] + text[:4])) % 97
-
-        if not 15 <= len(plain) <= 34 or rest(plain) != 1:
+        if iban_rest(plain) != 1:
             return None
         numbers = re.sub(r"\D", "", plain[4:])
         given = iter(self.digits("iban" + plain[:2], numbers)) if numbers else iter("")
         body = "".join(next(given) if char.isdigit() else char for char in plain[4:])
-        check = 98 - rest(plain[:2] + "00" + body)
+        check = 98 - iban_rest(plain[:2] + "00" + body)
         new = iter(f"{plain[:2]}{check:02d}{body}")
         return "".join(char if char == " " else next(new) for char in found)
 
@@ -185,40 +182,73 @@ class Pseudonyms:
         return re.sub(r"\d+", lambda _: next(new), found)
 
     def email(self, found: str) -> str | None:
-        """The name's letters and digits change, each for one of its kind; the domain stays."""
+        """The name's letters and digits change, each for one of its kind; the domain stays.
+
+        Kinds are digits, letters a to z and accented Latin letters; case of a to z is kept.
+        """
         name, _, domain = found.rpartition("@")
-        kinds, value, size = [], 0, 1
+        bases, value, size = [], 0, 1
         for char in name:
-            base = 26 if "a" <= char.lower() <= "z" else 10 if char in "0123456789" else 0
-            kinds.append(base)
-            if base:
-                code = ord(char.lower()) - 97 if base == 26 else int(char)
-                value, size = value * base + code, size * base
+            alphabet = next((kind for kind in ALPHABETS if char.lower() in kind or char in kind), "")
+            plain = char if char in alphabet else char.lower()
+            bases.append(alphabet)
+            if alphabet:
+                value, size = value * len(alphabet) + alphabet.index(plain), size * len(alphabet)
         if size == 1:
             return None
-        shape = "".join("a" if kind == 26 else "0" if kind else char for kind, char in zip(kinds, name))
+        shape = "".join(kind[0] if kind else char for kind, char in zip(bases, name))
         value = self.network("email" + shape, size).permute(value)
         out = []
-        for char, base in zip(reversed(name), reversed(kinds)):
-            if base:
-                value, code = divmod(value, base)
-                new = chr(97 + code) if base == 26 else str(code)
-                char = new.upper() if char.isupper() else new
+        for char, alphabet in zip(reversed(name), reversed(bases)):
+            if alphabet:
+                value, code = divmod(value, len(alphabet))
+                new = alphabet[code]
+                char = new.upper() if char not in alphabet else new
             out.append(char)
         return "".join(reversed(out)) + "@" + domain
 
 
-#: What is looked for, in order of precedence where matches begin at the same place.
+#: What the characters of an e-mail name are permuted within.
+ALPHABETS = (
+    "0123456789",
+    "abcdefghijklmnopqrstuvwxyz",
+    "".join(char for char in map(chr, range(0xC0, 0x180)) if char.isalpha()),
+)
+
+# Country codes of one and of two digits, all others have three; the digits that
+# follow where a plan has one length only; the characters of an IBAN by country.
+SHORT_CODES = {"1", "7"}
+TWO_DIGIT_CODES = set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
+    "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+NATIONAL_DIGITS = {"1": 10, "7": 10, "30": 10, "33": 9, "34": 9, "41": 9, "45": 8, "47": 8, "48": 9, "65": 8, "91": 10, "351": 9, "420": 9}
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "ES": 24, "FI": 18,
+    "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18,
+    "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24,
+    "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+#: Digits behind a country code, where its plan has no one length.
+LEAST_DIGITS, MOST_DIGITS = 7, 15
+
+
+def country_code(digits: str) -> str:
+    return next((digits[:n] for n, codes in ((1, SHORT_CODES), (2, TWO_DIGIT_CODES)) if digits[:n] in codes), digits[:3])
+
+
+#: What is looked for besides e-mail addresses, IBANs and numbers with a country code.
 PATTERNS: list[tuple[str, str]] = [
-    ("email", r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,62}[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?\.){1,4}[A-Za-z]{2,24}(?![A-Za-z0-9])"),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     ("iso_date", r"(?<![\d\-/.])(?:19|20)\d\d(?:-\d\d-\d\d|/\d\d/\d\d)(?![\d/]|[\-.]\d)"),
     ("day_date", r"(?<![\d\-/.])\d{1,2}(?:\.\d{1,2}\.|/\d{1,2}/)(?:19|20)\d\d(?![\d/]|[\-.]\d)"),
     ("ssn", r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"),
     ("ipv4", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"),
     ("card", r"\d+(?:[ \-]\d+)*"),  # a whole run of groups: `cards_in` finds the cards in it
     ("card_run", r"(?<!\d)\d{13,19}(?!\d)"),
-    ("phone", r"(?<![\w+])\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)|\d{1,4})(?:[ \-.]?\d{2,4}){2,4}(?!\d)|(?<![\w.\-+])(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?![\d\-])"),
+    ("phone", r"(?<![\w.\-+])(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?![\d\-])"),
 ]
 
 
@@ -249,6 +279,86 @@ def cards_in(text: str, low: int, high: int) -> Iterator[tuple[int, int]]:
                 yield start, end
 
 
+_NAME = re.compile(r"[\w.%+\-]")
+_DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,63}(?![A-Za-z0-9])")
+
+
+def emails_in(text: str) -> Iterator[tuple[int, int]]:
+    """(first, after last) of every e-mail address: a name of any length, an @ and a domain with a point."""
+    at = text.find("@")
+    while at >= 0:
+        start = at
+        while start and _NAME.match(text[start - 1]):
+            start -= 1
+        while start < at and not text[start].isalnum():
+            start += 1
+        domain = _DOMAIN.match(text, at + 1)
+        if start < at and text[at - 1].isalnum() and domain:
+            yield start, domain.end()
+        at = text.find("@", at + 1)
+
+
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d\d")
+
+
+def iban_rest(plain: str) -> int:
+    """1 if the check number is right."""
+    return int("".join(str(int(char, 36)) for char in plain[4:] + plain[:4])) % 97
+
+
+def ibans_in(text: str, low: int, high: int) -> Iterator[tuple[int, int]]:
+    """(first, after last) of every valid IBAN, plain or in groups of four, whatever stands behind it.
+
+    It has the length of its country; of a country that is not known the longest valid one is taken.
+    """
+    for found in _IBAN.finditer(text, low, high):
+        start = found.start()
+        plain, ends = "", {}
+        at = start
+        while at < len(text) and len(plain) < 34:
+            char = text[at]
+            if char == " " and plain and len(plain) % 4 == 0 and text[at - 1] != " ":
+                at += 1
+                continue
+            if not ("0" <= char <= "9" or "A" <= char <= "Z"):
+                break
+            plain, at = plain + char, at + 1
+            if len(plain) >= 15 and not (at < len(text) and text[at].isascii() and text[at].isalnum()):
+                ends[len(plain)] = at
+        length = IBAN_LENGTHS.get(plain[:2])
+        for size in [length] if length else sorted(ends, reverse=True):
+            if size in ends and iban_rest(plain[:size]) == 1:
+                yield start, ends[size]
+                break
+
+
+_PLUS = re.compile(r"(?<![\w+])\+(?=\d)")
+_PART = re.compile(r"[ \-.]?(?:\((\d{1,5})\)|(\d+))")
+
+
+def phones_in(text: str, low: int, high: int) -> Iterator[tuple[int, int]]:
+    """(first, after last) of every number with a plus sign and a country code, in whole groups.
+
+    Where all numbers of the country have one length, the groups that make it up are taken; else the
+    longest stretch of up to 15 digits, so a number that follows in the same style may go with it.
+    """
+    for found in _PLUS.finditer(text, low, high):
+        digits, at, ends = "", found.end(), {}
+        while (part := _PART.match(text, at)) and len(digits) <= MOST_DIGITS:
+            if not digits and part.group(2) is None:
+                break
+            digits, at = digits + (part.group(1) or part.group(2)), part.end()
+            ends[len(digits)] = at
+        country = country_code(digits)
+        one = len(country) + NATIONAL_DIGITS.get(country, 0)
+        if one in ends and one > len(country):
+            yield found.start(), ends[one]
+        elif country not in SHORT_CODES:
+            fits = [n for n in ends if len(country) + LEAST_DIGITS <= n <= MOST_DIGITS]
+            if fits:
+                yield found.start(), ends[max(fits)]
+
+
 _MARK = re.compile(r"[0-9@]+")
 #: No match begins more characters before its first digit or @, or ends more after its last one.
 BEFORE, AFTER = 100, 320
@@ -269,6 +379,7 @@ class Finder:
             "card": ("card", own.card),
             "card_run": ("card", own.card),
             "phone": ("phone", own.phone),
+            "international": ("phone", own.phone),
         }
         self.patterns = [(name, re.compile(pattern)) for name, pattern in PATTERNS]
 
@@ -288,9 +399,11 @@ class Finder:
 
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int, str]]]:
         """(new text, spans (kind, first, after last, pseudonym)): places are characters of the old text."""
-        found = []
+        found = [(start, 0, -end, "email", text[start:end]) for start, end in emails_in(text)]
         for low, high in self.windows(text):
-            for rank, (name, pattern) in enumerate(self.patterns):
+            for name, places in (("iban", ibans_in), ("international", phones_in)):
+                found += [(start, 0, -end, name, text[start:end]) for start, end in places(text, low, high)]
+            for rank, (name, pattern) in enumerate(self.patterns, 1):
                 for m in pattern.finditer(text, low, high):
                     places = cards_in(text, *m.span()) if name == "card" else [m.span()]
                     found += [(start, rank, -end, name, text[start:end]) for start, end in places]
@@ -319,7 +432,9 @@ def pseudonymised(text: Column, key: bytes) -> Column:
     """The struct `RESULT` of each text: the new text and what was replaced where.
 
     Null stays null without spans; an empty text stays empty. Where two kinds overlap the one that begins
-    first is taken, then the one named first in `PATTERNS`. Numbers that fail their check stay.
+    first is taken, then e-mail addresses, IBANs and numbers with a country code, then the one named first
+    in `PATTERNS`. Numbers that fail their check stay. A date is linked to dates written in the same
+    order and width only: `3/7/2020` and `2020-07-03` get different days.
     """
 
     @F.arrow_udf(RESULT)

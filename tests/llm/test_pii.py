@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tapewatch.llm import pii
 from tapewatch.llm.pii import Feistel, Finder, check_digit, pseudonymised
 
 KEY = b"a secret"
@@ -163,3 +164,55 @@ def test_cards_beside_other_numbers(own, text, cards):
     for number in cards:
         text = text.replace(number, own.replace(number)[0])
     assert new == text and not any(number in new for number in cards)
+
+
+VALUES = {
+    "iban": ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "GB82WEST12345698765432", "NO93 8601 1117 947"],
+    "phone": ["+1 389 555 5010", "+1 (389) 555-5010", "(389) 555-5010", "+45 12 34 56 78", "+15551234567", "+33 1 23 45 67 89", "+47 22 33 44 55"],
+    "email": ["x@a.b.c.d.e.com", "x@a.bb.cc.dd.ee.ff.com", "ünal@example.com", "n" * 90 + ".1@mail.example.org", "É.Ñ9@x.es"],
+    "card": [VISA, MASTER.replace(" ", "-")],
+    "ipv4": ["169.122.221.182"],
+    "ssn": ["123-45-6789"],
+}
+CONTEXTS = ["{}", "{} BANK", "{} EUR 20", "see {}, or", "{} 2024", "no 5: {}", "({})", "{} and {}", "Tel. {}\n{}", "{};{}"]
+
+
+@pytest.mark.parametrize("kind", sorted(VALUES))
+def test_a_value_has_one_pseudonym_in_every_context(own, kind):
+    for value in VALUES[kind]:
+        alone, spans = own.replace(value)
+        assert [(s[0], s[1], s[2]) for s in spans] == [(kind, 0, len(value))], value
+        for context in CONTEXTS:
+            assert own.replace(context.replace("{}", value))[0] == context.replace("{}", alone), (value, context)
+
+
+def test_written_forms_of_a_number_are_linked(own):
+    digits = [re.sub(r"\D", "", own.replace(text)[0])[-10:] for text in ("+1 389 555 5010", "(389) 555-5010", "+1 (389) 555-5010", "389-555-5010", "+13895555010")]
+    assert len(set(digits)) == 1 and digits[0] != "3895555010"
+    assert own.replace("+45 12 34 56 78")[0].startswith("+45 ")
+    assert own.replace("ünal@example.com")[0][0] != "ü" and own.replace("Ünal@example.com")[0] != "Ünal@example.com"
+
+
+def substrings_that_are_ibans(text):
+    """Every substring, held against the check number and the country's length."""
+    found = set()
+    for i in range(len(text)):
+        for j in range(i + 15, min(len(text), i + 45) + 1):
+            plain = text[i:j].replace(" ", "")
+            if re.fullmatch(r"[A-Z]{2}\d\d[A-Z0-9]+", plain) and pii.IBAN_LENGTHS.get(plain[:2]) == len(plain):
+                if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1 and text[i] != " " and text[j - 1] != " ":
+                    found.add(text[i:j])
+    return found
+
+
+def test_nothing_valid_stays_in_random_mixtures(own):
+    rng = random.Random(5)
+    flat = [value for kind in ("iban", "card", "ssn", "email") for value in VALUES[kind]]
+    for _ in range(150):
+        parts = [rng.choice([*flat, "BANK", "EUR", "12", "2024", "x", "No.", "word"]) for _ in range(6)]
+        text = " ".join(parts)
+        new, spans = own.replace(text)
+        assert not substrings_that_are_ibans(text) & substrings_that_are_ibans(new)
+        for value in flat:
+            assert value not in new, (text, value)
+        assert all(text[first:last] != pseudonym for _, first, last, pseudonym in spans)
