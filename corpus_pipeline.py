@@ -34,6 +34,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that are boilerplate in their source; n_chars follows the text."""
     kept = line_dedup.drop_boilerplate(docs)
+    if "n_chars" not in docs.columns:
+        return kept.select(docs.columns)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
