@@ -27,7 +27,7 @@ from tapewatch.operators.validate import (
     split_events,
     with_validation_errors,
 )
-from tapewatch.plans import batch, marts, metrics, reports, warehouse
+from tapewatch.plans import batch, marts, metrics, outputs, reports, warehouse
 from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
 from tapewatch.sources.jsonl import parse_events, read_enriched, read_events, read_lines, write_jsonl
 from tapewatch.sources.market_events import options_events, options_lines
@@ -304,6 +304,59 @@ def mart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(sorted(written.items()), "mart string, rows bigint")
 
 
+_MEASURES = (
+    "total_events bigint, unusual_events bigint, unusual_event_pct double, total_volume bigint, "
+    "avg_implied_volatility double, avg_unusual_activity_score double"
+)
+_REPORT_LAYOUTS = {
+    "top_unusual_contracts": (
+        "contract_symbol string, symbol string, option_type string, strike double, "
+        "expiration_date string, volume int, open_interest int, volume_open_interest_ratio double, "
+        "implied_volatility double, unusual_activity_score int, unusual_activity_flags string"
+    ),
+    "symbol_summary": f"symbol string, {_MEASURES}",
+    "flag_distribution": "flag string, `count` bigint",
+    "option_type_summary": f"option_type string, {_MEASURES}",
+}
+_MARTS = ["unusual_events", "symbol_daily_summary", "flag_summary", "option_type_summary"]
+
+
+def _written_outputs(spark: SparkSession, sf_dir: str) -> str:
+    """Every report and mart, written from the batch layer in two scans."""
+
+    def build(folder: str) -> str:
+        outputs.write_outputs(
+            batch_events(spark, sf_dir),
+            f"{folder}/reports",
+            f"{folder}/marts",
+            partition_events_by=["event_date"],
+        )
+        return folder
+
+    return _once(spark, sf_dir, "outputs", build)
+
+
+def _report_file(name: str) -> Query:
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _written_outputs(spark, sf_dir)
+        return read_csv(spark, f"{folder}/reports/{name}", _REPORT_LAYOUTS[name])
+
+    return read
+
+
+def _mart_file(name: str) -> Query:
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return plain(spark.read.parquet(f"{_written_outputs(spark, sf_dir)}/marts/{name}"))
+
+    return read
+
+
+for _name in _REPORT_LAYOUTS:
+    query(_report_file(_name), f"report_file_{_name}")
+for _name in _MARTS:
+    query(_mart_file(_name), f"mart_file_{_name}")
+
+
 @query
 def batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid events of a whole batch run: text in, one pass, Parquet out."""

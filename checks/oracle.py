@@ -401,3 +401,23 @@ SELECT {_STATUS} FROM scored"""),
         "SELECT event_id, epoch_us(event_timestamp) AS event_micros FROM typed WHERE unusual_activity_score > 0"
     ),
 }
+
+# what the written files hold is what the queries of the same content return
+ORACLE_SQL |= {
+    f"report_file_{name}": ORACLE_SQL[query]
+    for name, query in {
+        "top_unusual_contracts": "top_unusual_contracts_report",
+        "symbol_summary": "symbol_summary",
+        "flag_distribution": "flag_distribution",
+        "option_type_summary": "option_type_summary",
+    }.items()
+}
+ORACLE_SQL |= {
+    f"mart_file_{name}": ORACLE_SQL[query]
+    for name, query in {
+        "unusual_events": "unusual_events",
+        "symbol_daily_summary": "symbol_daily_summary",
+        "flag_summary": "flag_distribution_fact",
+        "option_type_summary": "option_type_summary",
+    }.items()
+}
