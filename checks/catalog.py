@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from checks.scratch import new_folder
 from tapewatch.functions.text import event_summary, piped_flags, processing_summary
-from tapewatch.operators import rankings, summaries
+from tapewatch.operators import baseline, rankings, summaries
 from tapewatch.operators.enrich import activity_rows, enrich, process, unusual_events, with_types
 from tapewatch.operators.first_wins import unique_contracts
 from tapewatch.operators.validate import (
@@ -27,7 +27,7 @@ from tapewatch.operators.validate import (
     split_events,
     with_validation_errors,
 )
-from tapewatch.plans import batch, marts, metrics, outputs, reports, warehouse
+from tapewatch.plans import batch, history, marts, metrics, outputs, reports, warehouse
 from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
 from tapewatch.sources.jsonl import parse_events, read_enriched, read_events, read_lines, write_jsonl
 from tapewatch.sources.market_events import options_events, options_lines
@@ -559,6 +559,56 @@ def top_symbols_by_volume_script(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rankings.top_symbols_by_volume_script(_facts(spark, sf_dir))
 
 
+# ---- history ------------------------------------------------------------------------
+
+
+def _history(spark: SparkSession, sf_dir: str, keys: tuple[str, ...]) -> DataFrame:
+    """Moments per key and day: written for all events, then once more for the first ten days."""
+
+    def build(folder: str) -> str:
+        typed = with_types(batch_events(spark, sf_dir))
+        history.update_history(typed, folder, keys)
+        first_days = typed.filter(F.col("event_date") < F.lit("2024-01-11").cast("date"))
+        history.update_history(first_days, folder, keys)
+        return folder
+
+    folder = _once(spark, sf_dir, "history-" + "-".join(keys), build)
+    return history.read_history(spark, folder, keys)
+
+
+@query
+def contract_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, sum and sum of squares of volumes per contract and day; replayed days are replaced."""
+    moments = _history(spark, sf_dir, baseline.CONTRACT)
+    return plain(
+        moments.select(
+            "contract_symbol",
+            "event_date",
+            "n",
+            F.col("total").cast("bigint").alias("total"),
+            F.col("squares").cast("bigint").alias("squares"),
+        )
+    )
+
+
+@query
+def contract_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's volume against its contract's twenty days before."""
+    typed = with_types(batch_events(spark, sf_dir))
+    scored = baseline.against_baseline(typed, _history(spark, sf_dir, baseline.CONTRACT))
+    return scored.select("event_id", "base_n", "z_score", "above_baseline")
+
+
+@query
+def symbol_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's volume against its symbol's and option type's five days before."""
+    keys = ("symbol", "option_type")
+    typed = with_types(batch_events(spark, sf_dir))
+    moments = _history(spark, sf_dir, keys)
+    scored = baseline.against_baseline(typed, moments, keys, days=5, min_events=10, limit=1.5)
+    return scored.select("event_id", "base_n", "z_score", "above_baseline")
+
+
 # ---- streaming and simulation -------------------------------------------------------
 
 

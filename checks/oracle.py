@@ -209,6 +209,35 @@ _STATUS = """'event_id=' || event_id || ' symbol=' || COALESCE(symbol, 'None') |
        THEN CAST(unusual_activity_score AS VARCHAR) ELSE '0' END
   || ' flags=' || CASE WHEN validation_errors = '' AND unusual_activity_flags <> ''
        THEN unusual_activity_flags ELSE 'NONE' END AS status_line"""
+
+
+def _baseline(keys: list[str], days: int, min_events: int, limit: float) -> str:
+    """Every event joined with the events of its key in the days before, and summed up."""
+    names = ", ".join(keys)
+    same = " AND ".join(f"past.{key} = days.{key}" for key in keys)
+    exact = "CAST({} AS HUGEINT)"
+    spread = f"({exact.format('base_n')} * squares - total * total)"
+    above = f"({exact.format('base_n')} * volume - total)"
+    return f""", days AS (SELECT DISTINCT {names}, event_day FROM typed),
+history AS (
+  SELECT {", ".join(f"days.{key}" for key in keys)}, days.event_day, COUNT(past.event_id) AS base_n,
+    CAST(SUM(past.volume) AS HUGEINT) AS total,
+    CAST(SUM(CAST(past.volume AS BIGINT) * past.volume) AS HUGEINT) AS squares
+  FROM days LEFT JOIN typed past ON {same} AND past.event_day < days.event_day
+    AND past.event_day >= days.event_day - {days}
+  GROUP BY ALL
+),
+scored AS (
+  SELECT event_id, base_n, {spread} AS spread, {above} AS above,
+    CASE WHEN {spread} > 0 THEN floor(
+      CAST({above} AS DOUBLE) / sqrt(CAST({spread} AS DOUBLE)) * 10000 + 0.5) / 10000 END AS z_score
+  FROM typed JOIN history USING ({names}, event_day)
+)
+SELECT event_id, base_n, z_score, COALESCE(base_n >= {min_events} AND
+  CASE WHEN spread = 0 THEN above > 0 ELSE z_score >= {limit} END, FALSE) AS above_baseline
+FROM scored"""
+
+
 ORACLE_SQL: dict[str, str] = {
     # validation and enrichment
     "validation_errors": _raw("SELECT event_id, validation_errors FROM checked"),
@@ -382,6 +411,15 @@ FROM typed GROUP BY symbol ORDER BY total_volume DESC, total_events DESC, symbol
         """SELECT symbol, CAST(SUM(volume) AS BIGINT) AS total_volume
 FROM typed GROUP BY symbol ORDER BY total_volume DESC, symbol LIMIT 25"""
     ),
+    # history
+    "contract_moments": _enriched(
+        """SELECT contract_symbol, strftime(event_day, '%Y-%m-%d') AS event_date, COUNT(*) AS n,
+  CAST(SUM(volume) AS BIGINT) AS total,
+  CAST(SUM(CAST(volume AS BIGINT) * volume) AS BIGINT) AS squares
+FROM typed GROUP BY ALL"""
+    ),
+    "contract_baseline": _enriched(_baseline(["contract_symbol"], 20, 3, 3.0)),
+    "symbol_baseline": _enriched(_baseline(["symbol", "option_type"], 5, 10, 1.5)),
     # streaming
     "stream_route": _raw(
         f""", scored AS ({_ENRICHED_OF} FROM checked)
