@@ -32,7 +32,7 @@ from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
 from tapewatch.sources.jsonl import parse_events, read_enriched, read_events, read_lines, write_jsonl
 from tapewatch.sources.market_events import options_events, options_lines
 from tapewatch.sources.tables import read_csv, write_csv, write_parquet
-from tapewatch.streaming import alerts, consumer
+from tapewatch.streaming import alerts, consumer, rates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -696,3 +696,35 @@ def distinct_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_lines(spark, _delivered_twice(spark, sf_dir), with_order=True)
     first = alerts.distinct_alerts(alerts.alert_lines(lines))
     return first.select("event_id", F.unix_micros("event_time").alias("event_micros"))
+
+
+def _rated_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Counts by symbol and hour of a stream whose files are in no order of time."""
+
+    def build(folder: str) -> str:
+        options_lines(spark, sf_dir).repartition(6).write.text(f"{folder}/in")
+        for files in (2, 1000):
+            stream = consumer.read_stream(spark, f"{folder}/in", files)
+            run = rates.start_rates(stream, f"{folder}/out", f"{folder}/checkpoint", by="symbol")
+            run.awaitTermination()
+        return f"{folder}/out"
+
+    return _once(spark, sf_dir, "rates", build)
+
+
+@query
+def stream_quarantine_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rates.read_rates(spark, _rated_stream(spark, sf_dir), "symbol")
+
+
+@query
+def quarantine_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch form over the lines of the batch job."""
+    return rates.quarantine_rates(read_lines(spark, raw_folder(spark, sf_dir)), "symbol")
+
+
+@query
+def quarantine_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours with twice the rate of the 48 hours before."""
+    found = rates.read_rates(spark, _rated_stream(spark, sf_dir), "symbol")
+    return rates.spikes(found, "symbol", 48 * 3600, factor=2, min_invalid=1)

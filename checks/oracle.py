@@ -203,6 +203,11 @@ _DAY = "event_timestamp >= TIMESTAMP '2024-01-10' AND event_timestamp < TIMESTAM
 _SYMBOL_SUMMARY = _summary("symbol") + " ORDER BY unusual_events DESC, total_volume DESC, symbol"
 _HOURS = f"""SELECT date_trunc('hour', event_timestamp) AS event_hour, COUNT(*) AS {{name}}
 FROM typed WHERE unusual_activity_score > 0 GROUP BY 1"""
+_RATES = f"""SELECT date_trunc('hour', TRY_CAST(event_timestamp AS TIMESTAMP)) AS window_start, symbol,
+  COUNT(*) AS events, COUNT(*) FILTER (WHERE validation_errors <> '') AS invalid,
+  COUNT(*) FILTER (WHERE validation_errors = '' AND unusual_activity_score > 0) AS alerts,
+  COUNT(*) FILTER (WHERE validation_errors <> '') * 1000000 // COUNT(*) AS invalid_per_million
+FROM ({_ENRICHED_OF} FROM checked) GROUP BY ALL"""
 _STATUS = """'event_id=' || event_id || ' symbol=' || COALESCE(symbol, 'None') || ' status='
   || CASE WHEN validation_errors = '' THEN 'valid' ELSE 'invalid' END
   || ' unusual_activity_score=' || CASE WHEN validation_errors = ''
@@ -432,6 +437,18 @@ SELECT event_id, CASE WHEN validation_errors <> '' THEN 'invalid'
     "stream_quarantine": _raw(_QUARANTINE),
     "stream_log": _raw(f""", scored AS ({_ENRICHED_OF} FROM checked)
 SELECT {_STATUS} FROM scored"""),
+    "stream_quarantine_rates": _raw(_RATES),
+    "quarantine_rates": _raw(_RATES),
+    "quarantine_spikes": _raw(
+        f""", rates AS ({_RATES}),
+based AS (
+  SELECT r.*, CAST(SUM(p.events) AS BIGINT) AS base_events, CAST(SUM(p.invalid) AS BIGINT) AS base_invalid
+  FROM rates r JOIN rates p ON p.symbol IS NOT DISTINCT FROM r.symbol
+    AND p.window_start < r.window_start AND p.window_start >= r.window_start - INTERVAL 48 HOUR
+  GROUP BY ALL
+)
+SELECT * FROM based WHERE invalid >= 1 AND invalid * base_events >= 2 * base_invalid * events"""
+    ),
     "replayed_alerts": _enriched(
         f"SELECT {_ENRICHED_COLUMNS} FROM enriched WHERE unusual_activity_score > 0"
     ),
