@@ -21,6 +21,7 @@ store Spark can write to, under Spark's commit protocol, and a lost executor's t
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -58,6 +59,50 @@ _PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 _PARTS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
 
 
+# The settings of the tokenizers whose texts may be taken apart like this.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def _settings(component) -> dict | None:
+    return json.loads(component.__getstate__()) if component is not None else None
+
+
+def splits_by_parts(tokenizer) -> bool:
+    """Whether a text's tokens are those of its parts: known settings, nothing random, nothing cut or padded."""
+    added = tokenizer.get_added_tokens_decoder().values()
+    plain_added = not any(
+        token.normalized or token.single_word or token.lstrip or token.rstrip or token.content.split() != [token.content]
+        for token in added
+    )
+    return (
+        plain_added
+        and _settings(tokenizer.normalizer) == _NORMALIZER
+        and _settings(tokenizer.pre_tokenizer) == _PRE_TOKENIZER
+        and not getattr(tokenizer.model, "dropout", None)
+        and tokenizer.truncation is None
+        and tokenizer.padding is None
+    )
+
+
 class Parts(dict):
     """Tokens of parts of words, by the library's model, remembered."""
 
@@ -78,9 +123,9 @@ class WordEncoder:
     """Token numbers of texts, by the tokenizers library, remembered by part or word.
 
     For tokenizers that lower-case, drop white space and split words into runs of letters, single
-    digits, contractions and runs of the rest: a text's tokens are those of its parts, one after the
-    other. Parts of plain texts go to the library's model; the words of other texts, between ASCII
-    white space, go to the whole library.
+    digits, contractions and runs of the rest (`splits_by_parts`): a text's tokens are those of its
+    parts, one after the other. Parts of plain texts go to the library's model; the words of other
+    texts, between ASCII white space, go to the whole library. Every other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str, end: int):
@@ -88,6 +133,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_parts = splits_by_parts(self.tokenizer)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = struct.pack("<I", end)
         self.parts = Parts(self.tokenizer.model)
@@ -102,6 +148,9 @@ class WordEncoder:
 
     def encode(self, text: str | None) -> bytes:
         """Token numbers as little-endian 32-bit integers, then the end number."""
+        if not self.by_parts:
+            ids = self.tokenizer.encode(text or "", add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids) + self.end
         out = []
         for data in pieces_of((text or "").encode()):
             piece = data.decode()
@@ -231,13 +280,51 @@ def write_token_files(
     )
 
 
+def _token_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(paths)
+    return files.filter(F.col("length") > 0)
+
+
+def file_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per token file: path, n_documents, first_id and last_id (null if no document has one).
+
+    Reads every file once, but only its seek table is looked at. Store the rows (as Parquet, say)
+    and give them to `read_token_files`, so that a lookup opens the files that can hold its documents.
+    """
+
+    def ranges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for files in batches:
+            for path, content in zip(files.column(0).to_pylist(), files.column(1)):
+                entries = seek_table(content.as_py())
+                ids = [doc_id for doc_id, *_ in entries if doc_id is not None]
+                row = [path, sum(first for _, first, *_ in entries), min(ids, default=None), max(ids, default=None)]
+                kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+                names = ["path", "n_documents", "first_id", "last_id"]
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
+
+    found = _token_files(spark, [folder]).select("path", "content")
+    return found.mapInArrow(ranges, "path string, n_documents long, first_id long, last_id long")
+
+
+def _paths_with(ranges: DataFrame, wanted: set[int]) -> list[str]:
+    """Paths of the files whose range holds a wanted id: at most as many as ids, or as files share a range."""
+    ids = F.array(*[F.lit(one).cast("long") for one in sorted(wanted)])
+    holds = F.exists(ids, lambda one: one.between(F.col("first_id"), F.col("last_id")))
+    return [row.path for row in ranges.filter(holds).select("path").collect()]
+
+
 def read_token_files(
-    spark: SparkSession, folder: str, doc_ids: Iterable[int] | None = None, with_ids: bool = True
+    spark: SparkSession,
+    folder: str,
+    doc_ids: Iterable[int] | None = None,
+    with_ids: bool = True,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
     """Documents in token files: file, ordinal (in the file), doc_id, n_tokens, ids_crc32 and ids.
 
     `ids` are little-endian 32-bit integers, the end number included, or null without `with_ids`.
-    With `doc_ids` only the frames of those documents are decompressed. A damaged file raises.
+    With `doc_ids` only the frames of those documents are decompressed, and with `ranges` (of
+    `file_ranges`) as well only the files that can hold them are opened. A damaged file raises.
     """
     wanted = None if doc_ids is None else set(doc_ids)
     names = ["file", "ordinal", "doc_id", "n_tokens", "ids_crc32", "ids"]
@@ -268,15 +355,14 @@ def read_token_files(
                 if found:
                     yield batch(found)
 
+    layout = "file long, ordinal long, doc_id long, n_tokens long, ids_crc32 long, ids binary"
+    paths = [folder]
+    if wanted is not None and ranges is not None:
+        paths = _paths_with(ranges, wanted)
+        if not paths:
+            return spark.createDataFrame([], layout)
     number = F.regexp_extract(F.col("path"), r"part-(\d+)", 1).cast("long")
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "part-*")
-        .load(folder)
-        .filter(F.col("length") > 0)
-        .select(number.alias("file"), "content")
-        .mapInArrow(rows, "file long, ordinal long, doc_id long, n_tokens long, ids_crc32 long, ids binary")
-    )
+    return _token_files(spark, paths).select(number.alias("file"), "content").mapInArrow(rows, layout)
 
 
 def with_starts(documents: DataFrame) -> DataFrame:

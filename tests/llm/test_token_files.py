@@ -125,3 +125,55 @@ def test_words_one_by_one_are_like_the_library(library, words):
     plain = "".join(c for c in " ".join(words) if c in "aZéÉßÿ'strevmld09., <|end>_$")
     for text in (" ".join(words), "".join(words), plain, plain.upper()):
         assert encoder.encode(text) == ids_of(library, text)
+
+
+TEXTS = ["Hello, world's  end\n\tIT'S 1234 <|endoftext|>", "", "  two  blanks ", "漢字 é É", "a b" * 300]
+
+
+def variants(tmp_path):
+    """Tokenizers with other settings: another vocabulary, no lower-casing, a prefix space, an added word."""
+    from tokenizers import AddedToken, normalizers, pre_tokenizers
+
+    yield public_tokenizers.path("byte_bpe_50k.json")
+    for name in ("cased", "spaced", "added", "cut"):
+        changed = Tokenizer.from_file(PATH)
+        if name == "cased":
+            changed.normalizer = normalizers.NFC()
+        elif name == "spaced":
+            changed.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+        elif name == "added":
+            changed.add_tokens([AddedToken("world", single_word=True, normalized=True)])
+        else:
+            changed.enable_truncation(3)
+        changed.save(str(tmp_path / f"{name}.json"))
+        yield str(tmp_path / f"{name}.json")
+
+
+def test_other_tokenizers_get_whole_texts(library, tmp_path):
+    assert token_files.WordEncoder(PATH, 2).by_parts
+    for path in variants(tmp_path):
+        encoder, other = token_files.WordEncoder(path, 2), Tokenizer.from_file(path)
+        assert not encoder.by_parts
+        for text in TEXTS:
+            assert encoder.encode(text) == ids_of(other, text)
+
+
+def test_lookups_open_only_files_that_can_hold_the_documents(spark, library, tmp_path):
+    rows = [(i, f"number {i}") for i in range(200)] + [(None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = str(tmp_path / "f")
+    write_token_files(docs, folder, PATH, 2, file_bytes=100)
+    token_files.file_ranges(spark, folder).write.parquet(str(tmp_path / "ranges"))
+    ranges = spark.read.parquet(str(tmp_path / "ranges"))
+    stored = ranges.collect()
+    assert len(stored) > 10 and sum(row.n_documents for row in stored) == len(rows)
+    wanted = [3, 150, 999]
+    kept = {row.path for row in stored if any((row.first_id or 0) <= i <= (row.last_id or -1) for i in wanted)}
+    for row in stored:  # a file that is opened although it cannot hold a wanted document would raise
+        if row.path not in kept:
+            Path(row.path.removeprefix("file:")).write_bytes(b"damaged")
+    found = read_token_files(spark, folder, doc_ids=wanted, ranges=ranges).collect()
+    assert {r.doc_id: bytes(r.ids) for r in found} == {i: ids_of(library, f"number {i}") for i in (3, 150)}
+    assert 0 < len(kept) <= 4
+    assert read_token_files(spark, folder, doc_ids=[999], ranges=ranges).collect() == []
+    assert read_token_files(spark, folder, doc_ids=[], ranges=ranges).collect() == []
