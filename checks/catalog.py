@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from checks.scratch import new_folder
 from tapewatch.functions.text import event_summary, piped_flags, processing_summary
-from tapewatch.operators import baseline, rankings, summaries
+from tapewatch.operators import baseline, drift, rankings, summaries
 from tapewatch.operators.enrich import activity_rows, enrich, process, unusual_events, with_types
 from tapewatch.operators.first_wins import unique_contracts
 from tapewatch.operators.validate import (
@@ -609,6 +609,19 @@ def symbol_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("event_id", "base_n", "z_score", "above_baseline")
 
 
+@query
+def daily_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null shares and drift of every field of the raw events, valid or not, day by day."""
+    return plain(drift.daily_checks(drift.daily_profile(_parsed(spark, sf_dir)), days=3, limit=100_000, min_rows=20))
+
+
+@query
+def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How old the latest event of each symbol is at a given time."""
+    now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    return drift.freshness(_parsed(spark, sf_dir), now, 3600, by="symbol")
+
+
 # ---- streaming and simulation -------------------------------------------------------
 
 

@@ -208,6 +208,46 @@ _RATES = f"""SELECT date_trunc('hour', TRY_CAST(event_timestamp AS TIMESTAMP)) A
   COUNT(*) FILTER (WHERE validation_errors = '' AND unusual_activity_score > 0) AS alerts,
   COUNT(*) FILTER (WHERE validation_errors <> '') * 1000000 // COUNT(*) AS invalid_per_million
 FROM ({_ENRICHED_OF} FROM checked) GROUP BY ALL"""
+_TIME = "TRY_CAST(event_timestamp AS TIMESTAMP)"
+
+
+def _binned(field: str, edges: str) -> str:
+    number = f"CAST((SELECT COUNT(*) FROM unnest({edges}) AS t(edge) WHERE edge <= {field}) AS VARCHAR)"
+    return f"""SELECT CAST({_TIME} AS DATE) AS d, '{field}' AS field,
+  CASE WHEN {field} IS NULL THEN NULL ELSE {number} END AS bin FROM checked"""
+
+
+# every bin of a field on every day, so that bins which a day lacks are counted as they are
+_CHECKS = f""", binned AS (
+  {_binned("volume", "[0, 1, 10, 50, 100, 500, 1000, 5000, 10000, 50000]")}
+  UNION ALL {_binned("open_interest", "[0, 1, 100, 500, 1000, 5000, 10000, 50000]")}
+  UNION ALL {_binned("implied_volatility", "[0::DOUBLE, 0.1, 0.2, 0.4, 0.6, 0.8, 1.0, 2.0]::DOUBLE[]")}
+  UNION ALL {_binned("strike", "[0, 10, 50, 100, 200, 500, 1000]::DOUBLE[]")}
+  UNION ALL SELECT CAST({_TIME} AS DATE), 'symbol', symbol FROM checked
+  UNION ALL SELECT CAST({_TIME} AS DATE), 'option_type', option_type FROM checked
+),
+counted AS (SELECT d, field, bin, COUNT(*) AS n FROM binned WHERE d IS NOT NULL GROUP BY ALL),
+grid AS (
+  SELECT * FROM (SELECT DISTINCT d, field FROM counted) JOIN (SELECT DISTINCT field, bin FROM counted) USING (field)
+),
+sides AS (
+  SELECT g.d, g.field, g.bin,
+    COALESCE(SUM(c.n) FILTER (WHERE c.d = g.d), 0) AS a, COALESCE(SUM(c.n) FILTER (WHERE c.d < g.d), 0) AS b
+  FROM grid g LEFT JOIN counted c ON c.field = g.field AND c.bin IS NOT DISTINCT FROM g.bin
+    AND c.d <= g.d AND c.d >= g.d - 3
+  GROUP BY ALL
+),
+totals AS (SELECT *, SUM(a) OVER (PARTITION BY d, field) AS ra, SUM(b) OVER (PARTITION BY d, field) AS rb FROM sides),
+checks AS (
+  SELECT d, field, CAST(ra AS BIGINT) AS rows, CAST(COALESCE(SUM(a) FILTER (WHERE bin IS NULL), 0) AS BIGINT) AS nulls,
+    CAST(rb AS BIGINT) AS base_rows,
+    CASE WHEN rb > 0 THEN CAST(SUM(abs(a * rb - b * ra)) * 1000000 // (2 * ra * rb) AS BIGINT) END AS distance
+  FROM totals GROUP BY d, field, ra, rb
+)
+SELECT strftime(d, '%Y-%m-%d') AS event_date, field, rows, nulls, nulls * 1000000 // rows AS nulls_per_million,
+  base_rows, distance AS distance_per_million,
+  COALESCE(distance >= 100000 AND rows >= 20 AND base_rows >= 20, FALSE) AS drifted
+FROM checks"""
 _STATUS = """'event_id=' || event_id || ' symbol=' || COALESCE(symbol, 'None') || ' status='
   || CASE WHEN validation_errors = '' THEN 'valid' ELSE 'invalid' END
   || ' unusual_activity_score=' || CASE WHEN validation_errors = ''
@@ -425,6 +465,13 @@ FROM typed GROUP BY ALL"""
     ),
     "contract_baseline": _enriched(_baseline(["contract_symbol"], 20, 3, 3.0)),
     "symbol_baseline": _enriched(_baseline(["symbol", "option_type"], 5, 10, 1.5)),
+    "daily_checks": _raw(_CHECKS),
+    "source_freshness": _raw(
+        f"""SELECT symbol, MAX({_TIME}) AS latest,
+  epoch_us(TIMESTAMP '2024-01-31' - MAX({_TIME})) // 1000000 AS age_seconds,
+  COALESCE(epoch_us(TIMESTAMP '2024-01-31' - MAX({_TIME})) // 1000000 > 3600, TRUE) AS stale
+FROM checked GROUP BY symbol"""
+    ),
     # streaming
     "stream_route": _raw(
         f""", scored AS ({_ENRICHED_OF} FROM checked)
