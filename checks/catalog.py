@@ -27,7 +27,7 @@ from tapewatch.operators.validate import (
     split_events,
     with_validation_errors,
 )
-from tapewatch.plans import batch, history, marts, metrics, outputs, reports, warehouse
+from tapewatch.plans import backfill, batch, history, marts, metrics, outputs, reports, warehouse
 from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
 from tapewatch.sources.jsonl import parse_events, read_enriched, read_events, read_lines, write_jsonl
 from tapewatch.sources.market_events import options_events, options_lines
@@ -609,6 +609,40 @@ def symbol_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("event_id", "base_n", "z_score", "above_baseline")
 
 
+def _corrected(spark: SparkSession, sf_dir: str) -> str:
+    """The events in days, then a correction: some volumes change, some events move to the next day, some go."""
+
+    def build(folder: str) -> str:
+        columns = ["event_id", "contract_symbol", "volume", "event_timestamp", "event_date"]
+        typed = with_types(batch_events(spark, sf_dir)).select(*columns)
+        backfill.write_days(typed, f"{folder}/days")
+        history.update_history(typed, f"{folder}/history")
+        last = F.col("volume") % 10
+        changed = typed.filter(last.isin(3, 7)).withColumns(
+            {
+                "event_date": F.when(last == 3, F.date_add("event_date", 1)).otherwise(F.col("event_date")),
+                "volume": F.when(last == 7, F.col("volume") + 1000).otherwise(F.col("volume")),
+            }
+        )
+        gone = typed.filter(last == 5).select("event_id")
+        backfill.backfill(changed, f"{folder}/days", "first", gone, f"{folder}/history")
+        return folder
+
+    return _once(spark, sf_dir, "backfill", build)
+
+
+@query
+def backfilled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(backfill.read_days(spark, f"{_corrected(spark, sf_dir)}/days").drop("event_timestamp"))
+
+
+@query
+def backfilled_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moments = history.read_history(spark, f"{_corrected(spark, sf_dir)}/history")
+    whole = [F.col(name).cast("bigint").alias(name) for name in ("total", "squares")]
+    return plain(moments.select("contract_symbol", "event_date", "n", *whole))
+
+
 @query
 def daily_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null shares and drift of every field of the raw events, valid or not, day by day."""

@@ -248,6 +248,11 @@ SELECT strftime(d, '%Y-%m-%d') AS event_date, field, rows, nulls, nulls * 100000
   base_rows, distance AS distance_per_million,
   COALESCE(distance >= 100000 AND rows >= 20 AND base_rows >= 20, FALSE) AS drifted
 FROM checks"""
+_CORRECTED = """, corrected AS (
+  SELECT event_id, contract_symbol, CASE WHEN volume % 10 = 7 THEN volume + 1000 ELSE volume END AS volume,
+    strftime(CASE WHEN volume % 10 = 3 THEN event_day + 1 ELSE event_day END, '%Y-%m-%d') AS event_date
+  FROM typed WHERE volume % 10 <> 5
+)"""
 _STATUS = """'event_id=' || event_id || ' symbol=' || COALESCE(symbol, 'None') || ' status='
   || CASE WHEN validation_errors = '' THEN 'valid' ELSE 'invalid' END
   || ' unusual_activity_score=' || CASE WHEN validation_errors = ''
@@ -465,6 +470,12 @@ FROM typed GROUP BY ALL"""
     ),
     "contract_baseline": _enriched(_baseline(["contract_symbol"], 20, 3, 3.0)),
     "symbol_baseline": _enriched(_baseline(["symbol", "option_type"], 5, 10, 1.5)),
+    "backfilled_events": _enriched(f"{_CORRECTED} SELECT * FROM corrected"),
+    "backfilled_moments": _enriched(
+        f"""{_CORRECTED} SELECT contract_symbol, event_date, COUNT(*) AS n, CAST(SUM(volume) AS BIGINT) AS total,
+  CAST(SUM(CAST(volume AS BIGINT) * volume) AS BIGINT) AS squares
+FROM corrected GROUP BY ALL"""
+    ),
     "daily_checks": _raw(_CHECKS),
     "source_freshness": _raw(
         f"""SELECT symbol, MAX({_TIME}) AS latest,
