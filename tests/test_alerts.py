@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from helpers import SMALL, event, lines_frame, write_lines
@@ -32,6 +33,9 @@ def deliver(root, name, rows):
     (root / "in").mkdir(exist_ok=True)
     text = "\n".join(row if isinstance(row, str) else json.dumps(row) for row in rows) + "\n"
     (root / name).write_text(text)
+    # a second apart: the stream takes files by their time, and two written in one millisecond in any order
+    moment = 1_790_000_000 + len(list((root / "in").iterdir()))
+    os.utime(root / name, (moment, moment))
     (root / name).rename(root / "in" / name)
 
 
