@@ -29,10 +29,10 @@ from tapewatch.operators.validate import (
 )
 from tapewatch.plans import backfill, batch, history, marts, metrics, outputs, reports, warehouse
 from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
-from tapewatch.sources.jsonl import parse_events, read_enriched, read_events, read_lines, write_jsonl
+from tapewatch.sources.jsonl import json_lines, parse_events, read_enriched, read_events, read_lines, write_jsonl
 from tapewatch.sources.market_events import options_events, options_lines
 from tapewatch.sources.tables import read_csv, write_csv, write_parquet
-from tapewatch.streaming import alerts, consumer, rates
+from tapewatch.streaming import alerts, compaction, consumer, rates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -111,6 +111,22 @@ def loaded_warehouse(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
     return _once(spark, sf_dir, "warehouse", build)
 
 
+def _loaded_in_input_order(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
+    """Tables loaded from lines that come latest event first and disagree about a contract's strike."""
+
+    def build(folder: str) -> warehouse.Warehouse:
+        number = F.substring("event_id", 5, 20).cast("bigint")
+        strike = F.when(F.col("strike") > 0, F.col("strike") + number % 7).otherwise(F.col("strike"))
+        latest_first = options_events(spark, sf_dir).withColumn("strike", strike).orderBy(number.desc())
+        json_lines(latest_first, keep_nulls=False).write.text(f"{folder}/raw")
+        batch.run_batch(spark, f"{folder}/raw", f"{folder}/layer")
+        events = batch.read_valid(spark, f"{folder}/layer", with_order=True)
+        warehouse.load_warehouse(events, f"{folder}/tables")
+        return warehouse.Warehouse(spark, f"{folder}/tables")
+
+    return _once(spark, sf_dir, "input-order", build)
+
+
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded_warehouse(spark, sf_dir).table("fact_options_event")
 
@@ -415,6 +431,12 @@ def fact_unusual_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded_warehouse(spark, sf_dir).table("fact_unusual_activity")
 
 
+@query
+def contracts_in_input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts as the input first names them, which here is last by time."""
+    return plain(_loaded_in_input_order(spark, sf_dir).table("dim_option_contract"))
+
+
 @query
 def warehouse_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _replayed_warehouse(spark, sf_dir)[0].table("fact_options_event")
@@ -703,6 +725,37 @@ def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(F.col("value").alias("status_line"))
 
 
+def _compacted_stream(spark: SparkSession, sf_dir: str) -> str:
+    """All events in many batches, packed into generations twice, the first files removed in between."""
+
+    def build(folder: str) -> str:
+        source, out = f"{folder}/in", f"{folder}/out"
+        options_lines(spark, sf_dir).repartition(8).write.text(source)
+        for files, least in ((2, 2), (1000, 1)):
+            run = consumer.start_consumer(
+                spark, source, out, f"{folder}/checkpoint", max_files_per_trigger=files, log=True
+            )
+            run.awaitTermination()
+            compaction.compact(spark, out, min_batches=least)
+            compaction.remove_compacted(spark, out, older_than_hours=0)
+            # the second delivery: one file without events, so that the last batch is finished
+            spark.createDataFrame([], "value string").coalesce(1).write.mode("append").text(source)
+        return out
+
+    return _once(spark, sf_dir, "compacted", build)
+
+
+@query
+def compacted_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(consumer.read_alerts(spark, _compacted_stream(spark, sf_dir)))
+
+
+@query
+def compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = consumer.read_log(spark, _compacted_stream(spark, sf_dir))
+    return lines.select(F.col("value").alias("status_line"))
+
+
 @query
 def flags_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flags as piped text, `NONE` where there are none."""

@@ -372,6 +372,10 @@ FROM enriched WHERE unusual_activity_score > 0"""
     "dim_option_contract": _enriched(_CONTRACTS),
     "fact_options_event": _enriched(_FACTS),
     "fact_unusual_activity": _enriched(_ACTIVITY_TYPED),
+    "contracts_in_input_order": _enriched(
+        """SELECT contract_symbol, symbol, option_type, strike + e % 7 AS strike, expiration_date
+FROM enriched QUALIFY row_number() OVER (PARTITION BY contract_symbol ORDER BY e DESC) = 1"""
+    ),
     "warehouse_merge_events": _replay(
         """SELECT event_id, contract_symbol, volume, strike, unusual_activity_score
 FROM merged_events"""
@@ -494,6 +498,11 @@ SELECT event_id, CASE WHEN validation_errors <> '' THEN 'invalid'
     ),
     "stream_quarantine": _raw(_QUARANTINE),
     "stream_log": _raw(f""", scored AS ({_ENRICHED_OF} FROM checked)
+SELECT {_STATUS} FROM scored"""),
+    "compacted_alerts": _enriched(
+        f"SELECT {_ENRICHED_COLUMNS} FROM enriched WHERE unusual_activity_score > 0"
+    ),
+    "compacted_log": _raw(f""", scored AS ({_ENRICHED_OF} FROM checked)
 SELECT {_STATUS} FROM scored"""),
     "stream_quarantine_rates": _raw(_RATES),
     "quarantine_rates": _raw(_RATES),

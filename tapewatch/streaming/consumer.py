@@ -2,7 +2,8 @@
 
 Each micro-batch is written in one pass to `<output>/batch_id=N/route=...`. A batch that is
 retried after a failure replaces its own folder, so with the checkpoint every event leaves
-exactly once, and any reader of the folders sees no leftovers.
+exactly once, and any reader of the folders sees no leftovers. `streaming.compaction` packs finished
+batches into larger files; the readers here take them from there.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapewatch.functions.activity import DEFAULT_THRESHOLDS, Thresholds, is_unusual
 from tapewatch.functions.text import processing_summary
-from tapewatch.plans.batch import REPLACE_ALL, ROUTE, classify, read_route, unsorted_partition_writes
+from tapewatch.plans.batch import REPLACE_ALL, ROUTE, classify, unsorted_partition_writes
 from tapewatch.schema import ENRICHED_FIELDS
 from tapewatch.sources.jsonl import (
     enriched_text,
@@ -22,6 +23,7 @@ from tapewatch.sources.jsonl import (
     quarantine_text,
     strip_lines,
 )
+from tapewatch.streaming.compaction import compacted_until, read_output
 
 ALERT = "alert"
 INVALID = "invalid"
@@ -90,10 +92,13 @@ def consume(
 ) -> StreamingQuery:
     """Route a stream that has a `value` column, from files or any other source.
 
-    Without `poll_interval` the query handles what is there and stops.
+    Without `poll_interval` the query handles what is there and stops. A batch whose number is already
+    in a compacted generation ends the query: the checkpoint is not the one that the output belongs to.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= compacted_until(batch.sparkSession, output_dir):
+            raise ValueError(f"batch {batch_id} of {output_dir} is compacted; a new checkpoint needs a new output")
         out = output_lines(route(parse_events(batch), thresholds), log)
         with unsorted_partition_writes(batch.sparkSession):
             folder = f"{output_dir}/batch_id={batch_id}"
@@ -134,15 +139,15 @@ def start_consumer(
 
 def read_alerts(spark: SparkSession, output_dir: str) -> DataFrame:
     """Alerts written so far, parsed."""
-    lines = read_route(spark, output_dir, ALERT)
+    lines = read_output(spark, output_dir, ALERT)
     return parse_enriched(lines).select(*ENRICHED_FIELDS)
 
 
 def read_quarantine(spark: SparkSession, output_dir: str) -> DataFrame:
     """Quarantined lines (`value`) written so far."""
-    return read_route(spark, output_dir, INVALID)
+    return read_output(spark, output_dir, INVALID)
 
 
 def read_log(spark: SparkSession, output_dir: str) -> DataFrame:
     """Status lines (`value`) written so far, if the consumer was asked to log."""
-    return read_route(spark, output_dir, LOG)
+    return read_output(spark, output_dir, LOG)
