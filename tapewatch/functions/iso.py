@@ -17,7 +17,8 @@ _OFFSET = r"Z|[+-](?:[01]\d|2[0-3])(?:[0-5]\d(?:[0-5]\d)?|:[0-5]\d(?::[0-5]\d)?)
 DATE_PATTERN = rf"^{_DATE}\z"
 TIMESTAMP_PATTERN = rf"^{_DATE}(?:[T ]{_CLOCK}(?:{_OFFSET})?)?\z"
 
-_EPOCH = "1970-01-01 00:00:00"
+# sign, hours, minutes and seconds of what `_OFFSET` matches, "Z" apart
+_OFFSET_PARTS = r"([+-])(\d{2}):?(\d{2})?:?(\d{2})?\z"
 
 
 def is_iso_date(text: Column) -> Column:
@@ -29,42 +30,46 @@ def iso_date(text: Column) -> Column:
     return F.when(text.rlike(DATE_PATTERN), text.try_cast("date"))
 
 
+def _tail(text: Column) -> Column:
+    """What follows the date."""
+    return F.substring(text, 11, 64)
+
+
 def _has_offset(text: Column) -> Column:
-    tail = F.substring(text, 11, 64)
+    tail = _tail(text)
     return tail.endswith("Z") | tail.contains("+") | tail.contains("-")
 
 
-def _castable(text: Column) -> Column:
-    """The same moment as Spark's cast reads it: "." in fractions, seconds before an offset.
+def _wall_clock(text: Column) -> Column:
+    """TIMESTAMP_NTZ as written, without the offset. Plain text, by far the most common, is left alone."""
+    bare = F.regexp_replace(F.replace(_tail(text), F.lit(","), F.lit(".")), r"(?:Z|[+-].*)\z", "")
+    plain = ~_has_offset(text) & ~text.contains(",")
+    return F.when(plain, text).otherwise(F.concat(F.substring(text, 1, 10), bare)).try_cast("timestamp_ntz")
 
-    Text with seconds and no comma, by far the most common, is left alone.
-    """
-    dotted = F.replace(text, F.lit(","), F.lit("."))
-    with_minutes = F.regexp_replace(dotted, "^(.{13})(?=[Z+-])", "$1:00")
-    with_seconds = F.regexp_replace(with_minutes, "^(.{16})(?=[Z+-])", "$1:00")
-    usual = (F.substring(text, 17, 1) == ":") & ~text.contains(",")
-    return F.when(usual, text).otherwise(with_seconds)
+
+def _offset(text: Column) -> Column:
+    """How far the wall clock is ahead of UTC."""
+    sign, *parts = (F.regexp_extract(_tail(text), _OFFSET_PARTS, group) for group in range(1, 5))
+    hours, minutes, seconds = (F.coalesce(part.try_cast("int"), F.lit(0)) for part in parts)
+    size = hours * 3600 + minutes * 60 + seconds
+    return F.make_dt_interval(secs=F.when(sign == "-", -size).otherwise(size).cast("decimal(18,6)"))
 
 
 def is_iso_timestamp(text: Column) -> Column:
-    return text.rlike(TIMESTAMP_PATTERN) & _castable(text).try_cast("timestamp_ntz").isNotNull()
+    return text.rlike(TIMESTAMP_PATTERN) & _wall_clock(text).isNotNull()
 
 
 def iso_timestamp(text: Column) -> Column:
     """TIMESTAMP_NTZ in UTC of an ISO string, null when it is not one. Naive text is kept as is.
 
-    The instant of a string with an offset is counted from the epoch, as a cast back to a
-    wall clock would use the session's zone. Offsets beyond 18 hours are not accepted.
+    The offset, of up to a day, is subtracted here, as a cast would go through the session's zone and
+    refuse offsets beyond 18 hours.
     """
-    clock = _castable(text)
-    since_epoch = F.make_dt_interval(
-        secs=F.unix_micros(clock.try_cast("timestamp")).cast("decimal(24,6)") / 1000000
-    )
-    instant = F.lit(_EPOCH).cast("timestamp_ntz") + since_epoch
+    clock = _wall_clock(text)
     in_utc = ~_has_offset(text) | text.endswith("Z") | text.endswith("+00:00")
     return F.when(
         text.rlike(TIMESTAMP_PATTERN),
-        F.when(in_utc, clock.try_cast("timestamp_ntz")).otherwise(instant),
+        F.when(in_utc, clock).otherwise(clock - _offset(text)),
     )
 
 

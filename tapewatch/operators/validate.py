@@ -25,6 +25,7 @@ OPTION_TYPES = ("CALL", "PUT")
 MALFORMED = "malformed JSON"
 MISSING_PREFIX = "Missing required field: "
 TYPE_SUFFIX = " has invalid type"
+LIMIT_SUFFIX = " is too large"
 OPTION_TYPE_ERROR = "option_type must be one of {'CALL', 'PUT'}"
 VOLUME_ERROR = "volume cannot be negative"
 OPEN_INTEREST_ERROR = "open_interest cannot be negative"
@@ -79,13 +80,12 @@ def value_rules() -> list[tuple[str, Column]]:
     ]
 
 
-def _usable(name: str) -> Column:
-    """Whether a number is there and can be held; NaN is above every limit."""
-    there = F.col(name).isNotNull()
-    if name not in LIMITED_NUMBERS:
-        return there
+def _number_rules() -> list[tuple[str, Column]]:
+    """(message, condition) of numbers that are there and can be held; NaN is above every limit."""
+    there = [(name + TYPE_SUFFIX, F.col(name).isNotNull()) for name in CHECKED_NUMBERS]
     limit = F.lit(NUMBER_LIMIT)
-    return there & (F.col(name) < limit) & (F.col(name) > -limit)
+    within = {name: (F.col(name) < limit) & (F.col(name) > -limit) for name in LIMITED_NUMBERS}
+    return there + [(name + LIMIT_SUFFIX, F.coalesce(held, F.lit(True))) for name, held in within.items()]
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -150,17 +150,15 @@ def with_validation_errors(df: DataFrame, only: Column | None = None) -> DataFra
     """Add `validation_errors`, empty for a valid row; null where `only` is false.
 
     The first of these that applies is reported alone: malformed line, missing fields,
-    wrong types, broken value rules.
+    numbers of a wrong type or too large, broken value rules.
     """
     missing = F.transform(_missing_fields(df), lambda name: F.concat(F.lit(MISSING_PREFIX), name))
-    wrong_types = _broken(
-        [(name + TYPE_SUFFIX, _usable(name)) for name in CHECKED_NUMBERS]
-    )
+    number_rules = _number_rules()
     has_nulls = ~_all([F.col(name).isNotNull() for name in RAW_FIELDS])
-    has_all_numbers = F.coalesce(_all([_usable(name) for name in CHECKED_NUMBERS]), F.lit(False))
+    has_all_numbers = _all([met for _, met in number_rules])
     errors = (
         F.when(has_nulls & (F.size(missing) > 0), missing)
-        .when(~has_all_numbers, wrong_types)
+        .when(~has_all_numbers, _broken(number_rules))
         .otherwise(_broken(value_rules()))
     )
     if _from_json(df):

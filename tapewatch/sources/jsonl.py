@@ -54,15 +54,27 @@ def read_lines(spark: SparkSession, path: str, with_order: bool = False) -> Data
     return strip_lines(lines)
 
 
+def _whole(number: Column) -> Column:
+    """An INT of a number without a fraction, `1200.0` and `1.2e3` included; null of any other."""
+    whole = number.try_cast("int")
+    return F.when(whole == number, whole)
+
+
 def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Flatten `from_json` through a generator.
 
     A plain projection would let filters on the fields be pushed below it, and each pushed
     reference would parse the line again. Filters do not pass a generator's own output.
+    Whole numbers may be written as floats, so they are read as such; a double holds every INT.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    integers = {field.name for field in schema.fields if isinstance(field.dataType, T.IntegerType)}
+    read = [
+        T.StructField(field.name, T.DoubleType()) if field.name in integers else field for field in schema.fields
+    ]
+    with_corrupt = T.StructType([*read, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", with_corrupt, JSON_OPTIONS)
-    return lines.select("*", F.inline(F.array(parsed)))
+    flat = lines.select("*", F.inline(F.array(parsed)))
+    return flat.withColumns({name: _whole(F.col(name)) for name in sorted(integers)})
 
 
 def parse_events(lines: DataFrame, fail_fast: bool = False) -> DataFrame:

@@ -22,13 +22,13 @@ CHOICES = {
     "symbol": ["ORBT", None, ...],
     "option_type": ["CALL", "PUT", "put", None, 5, ...],
     "expiration_date": ["2026-12-18", "2026-02-30", "20261218", None, 7, ...],
-    "event_timestamp": ["2026-10-06T10:20:00+00:00", "2026-10-06 10:20", "soon", None, ...],
+    "event_timestamp": ["2026-10-06T10:20:00+00:00", "2026-10-06 10:20", "2026-10-06T10+23:59", "soon", None, ...],
     "strike": [84.0, 1, 0, -5.5, *NOT_A_NUMBER, ...],
-    "bid": [0, 4.2, 9.5, -0.01, *NOT_A_NUMBER, ...],
+    "bid": [0, 4.2, 9.5, -0.01, 1e14, -1e300, *NOT_A_NUMBER, ...],
     "ask": [4.5, 4.2, -1, *NOT_A_NUMBER, ...],
     "last_price": [0, 4.4, -2, *NOT_A_NUMBER, ...],
-    "volume": [0, 4999, 5000, 20000, -1, 1.5, *NOT_A_NUMBER, ...],
-    "open_interest": [0, 1, 5000, -1, *NOT_A_NUMBER, ...],
+    "volume": [0, 4999, 5000, 5000.0, 2e4, 20000, -1, -1.0, 1.5, 2**31, 3e9, *NOT_A_NUMBER, ...],
+    "open_interest": [0, 1, 0.0, 5000, 5e3, -1, 0.5, *NOT_A_NUMBER, ...],
     "implied_volatility": [0.8, 0.7999, 1.1, 0, -1, *NOT_A_NUMBER, ...],
     "delta": [0.5, None, "x", ...],
     "underlying_price": [86.75, 0, -3, *NOT_A_NUMBER, ...],
@@ -55,12 +55,15 @@ def expected_errors(row: dict) -> list[str]:
     if missing:
         return missing
     whole = ("volume", "open_interest")
-    wrong = []
+    wrong, large = [], []
     for name in v.CHECKED_NUMBERS:
         value = row[name]
         number = isinstance(value, (int, float)) and not isinstance(value, bool)
-        if not number or (name in whole and not isinstance(value, int)):
+        if not number or (name in whole and (value != int(value) or abs(value) >= 2**31)):
             wrong.append(name + v.TYPE_SUFFIX)
+        elif name not in whole and abs(value) >= 1e14:
+            large.append(name + v.LIMIT_SUFFIX)
+    wrong += large
     if wrong:
         return wrong
     checks = [
@@ -88,7 +91,7 @@ def expected_score(row: dict) -> int:
 def expected_ratio(row: dict) -> float | None:
     if not row["open_interest"]:
         return None
-    share = Decimal(row["volume"]) / row["open_interest"]
+    share = Decimal(row["volume"]) / Decimal(row["open_interest"])
     return float(share.quantize(Decimal("0.0001"), ROUND_HALF_UP))
 
 

@@ -22,7 +22,9 @@ TIMESTAMPS = [
     "2026-05-29T13:45:00-00:00", "2026-05-29T13:45:00+5:30", "2026-05-29T13:45:00z", "2026",
     "2026-05", "T13:45", " 2026-05-29", "2026-05-29 ", "2026-5-9", "", "x", "2026-13-01",
     "0000-01-01", "2026-05-29T13:45:00+05:3015", "9999-12-31T23:59:59", "2024-02-29T00:00",
-    "2023-02-29", "2026-05-29T13:45:00+", "2026-05-29T",
+    "2023-02-29", "2026-05-29T13:45:00+", "2026-05-29T", "2026-05-29T13:45:00+23:59",
+    "2026-05-29T13-19", "2026-05-29 01:45:00,5-20:00:30", "2026-05-29T13:45:00+18:00:01",
+    "2026-05-29T13:45:00-2359", "2026-05-29T13:45Z", "2026-12-31T23:59:59.999999-23:59:59",
 ]
 
 DATES = ["2026-05-29", "2026-02-30", "2024-02-29", "2023-02-29", "2026-5-9", " 2026-05-29",

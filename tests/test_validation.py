@@ -47,6 +47,12 @@ CASES = {
     "number text": (event(bid="x", volume=-1), ["bid" + v.TYPE_SUFFIX]),
     "int fraction": (event(volume=1.5), ["volume" + v.TYPE_SUFFIX]),
     "int too large": (event(volume=3_000_000_000), ["volume" + v.TYPE_SUFFIX]),
+    "int as float": (event(volume=1200.0, open_interest=3e3), []),
+    "int as float below zero": (event(volume=-1200.0), [v.VOLUME_ERROR]),
+    "price too large": (event(last_price=1e14, bid=-1e15), ["bid" + v.LIMIT_SUFFIX, "last_price" + v.LIMIT_SUFFIX]),
+    "price at its limit": (event(last_price=99_999_999_999_999.0), []),
+    "wrong type before too large": (event(ask="x", bid=1e14), ["ask" + v.TYPE_SUFFIX, "bid" + v.LIMIT_SUFFIX]),
+    "offset of a day": (event(event_timestamp="2026-10-06T10:20:00-23:59"), []),
     "bool number": (event(ask=True), ["ask" + v.TYPE_SUFFIX]),
     "unchecked nulls": (
         event(event_id=None, symbol=None, contract_symbol=None, delta=None, source=None),
