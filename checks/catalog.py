@@ -22,6 +22,7 @@ from tapewatch.operators.enrich import activity_rows, enrich, process, unusual_e
 from tapewatch.operators.first_wins import unique_contracts
 from tapewatch.operators.validate import (
     ERRORS,
+    MALFORMED,
     invalid_events,
     is_valid,
     split_events,
@@ -30,7 +31,7 @@ from tapewatch.operators.validate import (
 from tapewatch.plans import backfill, batch, history, marts, metrics, outputs, reports, warehouse
 from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
 from tapewatch.sources.jsonl import json_lines, parse_events, read_enriched, read_events, read_lines, write_jsonl
-from tapewatch.sources.market_events import options_events, options_lines
+from tapewatch.sources.market_events import dirty_lines, options_events, options_lines
 from tapewatch.sources.tables import read_csv, write_csv, write_parquet
 from tapewatch.streaming import alerts, compaction, consumer, rates
 
@@ -254,6 +255,63 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.run_metrics(_parsed(spark, sf_dir))
 
 
+# ---- input as careless senders write it ---------------------------------------------
+
+
+def dirty_layer(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a batch run over dirty lines."""
+
+    def build(folder: str) -> str:
+        dirty_lines(spark, sf_dir).write.text(f"{folder}/raw")
+        batch.run_batch(spark, f"{folder}/raw", f"{folder}/layer")
+        return f"{folder}/layer"
+
+    return _once(spark, sf_dir, "dirty", build)
+
+
+def _dirty_warehouse(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
+    """Tables loaded from the dirty lines, of repeated ids the first in the input."""
+
+    def build(folder: str) -> warehouse.Warehouse:
+        events = batch.read_valid(spark, dirty_layer(spark, sf_dir), with_order=True)
+        warehouse.load_warehouse(events, folder)
+        return warehouse.Warehouse(spark, folder)
+
+    return _once(spark, sf_dir, "dirty-tables", build)
+
+
+@query
+def dirty_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = batch.read_invalid(spark, dirty_layer(spark, sf_dir))
+    return found.groupBy(F.array_join(ERRORS, ";").alias(ERRORS)).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query
+def dirty_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantined lines that are JSON objects, by the id that they carry."""
+    found = batch.read_invalid(spark, dirty_layer(spark, sf_dir)).filter(~F.array_contains(ERRORS, MALFORMED))
+    event_id = F.get_json_object("value", "$.event_id").alias("event_id")
+    return found.select(event_id, F.array_join(ERRORS, ";").alias(ERRORS))
+
+
+@query
+def dirty_typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = with_types(batch.read_valid(spark, dirty_layer(spark, sf_dir)))
+    return plain(typed.select("event_id", "event_timestamp", "event_date", "event_hour", "volume", "strike", "source"))
+
+
+@query
+def dirty_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = _dirty_warehouse(spark, sf_dir).table("fact_options_event")
+    return plain(facts.select("event_id", "contract_symbol", "volume", "strike", "event_timestamp", "source"))
+
+
+@query
+def dirty_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = _dirty_warehouse(spark, sf_dir).stored(warehouse.REJECTS)
+    return rejects.select("event_id", F.array_join("reasons", ";").alias("reasons"))
+
+
 # ---- reports and marts --------------------------------------------------------------
 
 

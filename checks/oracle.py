@@ -111,6 +111,27 @@ activity AS (
   FROM typed WHERE unusual_activity_score > 0
 )"""
 
+# The lines of `dirty_lines` that a reader can use, with what is wrong with the others.
+_DIRTY = f"""{_RAW},
+dirty AS (
+  SELECT * EXCLUDE (event_id, source, validation_errors),
+    CASE WHEN e % 19 = 4 THEN 'evt_' || (e - 1) ELSE event_id END AS event_id,
+    CASE WHEN e % 31 = 7 THEN NULL ELSE source END AS source,
+    CASE WHEN e % 11 IN (1, 6) THEN 'malformed JSON'
+         WHEN symbol IS NULL THEN validation_errors
+         WHEN e % 11 = 4 THEN 'volume has invalid type'
+         WHEN e % 11 = 5 THEN 'strike has invalid type'
+         ELSE validation_errors END AS validation_errors
+  FROM checked
+),
+dirty_typed AS (
+  SELECT * EXCLUDE (event_timestamp),
+    CAST(event_timestamp AS TIMESTAMP)
+      + CASE WHEN e % 7 = 3 THEN INTERVAL '-150 minutes' WHEN e % 29 = 5 THEN INTERVAL '1395 minutes'
+             ELSE INTERVAL '0 minutes' END AS event_timestamp
+  FROM dirty WHERE validation_errors = ''
+)"""
+
 # Two deliveries, merged first-wins table by table.
 _REPLAY = f"""{_ENRICHED},
 second_base AS (
@@ -372,6 +393,18 @@ FROM enriched WHERE unusual_activity_score > 0"""
     "dim_option_contract": _enriched(_CONTRACTS),
     "fact_options_event": _enriched(_FACTS),
     "fact_unusual_activity": _enriched(_ACTIVITY_TYPED),
+    "dirty_error_counts": f"""{_DIRTY}
+SELECT validation_errors, COUNT(*) AS lines FROM dirty WHERE validation_errors <> '' GROUP BY validation_errors""",
+    "dirty_quarantine": f"""{_DIRTY}
+SELECT event_id, validation_errors FROM dirty WHERE validation_errors NOT IN ('', 'malformed JSON')""",
+    "dirty_typed_events": f"""{_DIRTY}
+SELECT event_id, event_timestamp, strftime(event_timestamp, '%Y-%m-%d') AS event_date,
+  CAST(hour(event_timestamp) AS INTEGER) AS event_hour, volume, strike, source FROM dirty_typed""",
+    "dirty_facts": f"""{_DIRTY}
+SELECT event_id, contract_symbol, volume, strike, event_timestamp, source FROM dirty_typed
+WHERE source IS NOT NULL QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY e) = 1""",
+    "dirty_rejects": f"""{_DIRTY}
+SELECT event_id, 'source does not fit fact_options_event' AS reasons FROM dirty_typed WHERE source IS NULL""",
     "contracts_in_input_order": _enriched(
         """SELECT contract_symbol, symbol, option_type, strike + e % 7 AS strike, expiration_date
 FROM enriched QUALIFY row_number() OVER (PARTITION BY contract_symbol ORDER BY e DESC) = 1"""

@@ -91,3 +91,34 @@ def options_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as JSON lines (`value`); null fields become absent keys."""
     lines = json_lines(options_events(spark, sf_dir), keep_nulls=False)
     return lines.select(F.inline(F.array(F.struct("value"))))
+
+
+def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as lines (`value`) in order, as careless senders write them.
+
+    Ids that repeat the one before, offsets, a null source, lines that are cut, doubled, padded or
+    followed by a blank one, numbers with fractions or quotes; each by a modulus of the event id.
+    """
+    e, time = F.col("e"), F.col("event_timestamp")
+    offset = F.when(e % 7 == 3, F.lit("+02:30")).when(e % 29 == 5, F.lit("-23:15")).otherwise("")
+    events = project_events(spark.read.parquet(f"{sf_dir}/events.parquet")).select(
+        "e",
+        F.when(e % 19 == 4, F.concat(F.lit("evt_"), e - 1)).otherwise(F.col("event_id")).alias("event_id"),
+        F.when(time.endswith("p"), time).otherwise(F.concat(time, offset)).alias("event_timestamp"),
+        *[name for name in RAW_FIELDS if name not in ("event_id", "event_timestamp")],
+    )
+    text = F.to_json(F.struct(*RAW_FIELDS), {"ignoreNullFields": "true"})
+    no_source = F.replace(text, F.lit('"source":"events"'), F.lit('"source":null'))
+    line = events.select("e", F.when(e % 31 == 7, no_source).otherwise(text).alias("line"))
+    whole, volume = F.col("line"), r'("volume":-?\d+)'
+    written = (
+        F.when(e % 11 == 1, F.expr("substr(line, 1, length(line) - 1)"))
+        .when(e % 11 == 2, F.concat(F.lit("  "), whole, F.lit("\t")))
+        .when(e % 11 == 3, F.regexp_replace(whole, volume, "$1.0"))
+        .when(e % 11 == 4, F.regexp_replace(whole, volume, "$1.5"))
+        .when(e % 11 == 5, F.regexp_replace(whole, r'"strike":([-+.E\d]+)', '"strike":"$1"'))
+        .when(e % 11 == 6, F.concat(whole, whole))
+        .otherwise(whole)
+    )
+    blank = F.when(e % 23 == 0, F.lit("   "))
+    return line.orderBy("e").select(F.explode(F.array_compact(F.array(written, blank))).alias("value"))
