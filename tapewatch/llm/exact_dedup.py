@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.support import HOT_KEYS, cut
+from tapewatch.llm.support import HOT_KEYS, cut, with_group
 
 BLOCK_BYTES = 2048
 #: A block with fewer rows is never treated as frequent.
@@ -161,7 +161,7 @@ def exact_duplicates(
             "group_size",
         )
     )
-    return named.join(groups, ["level", "name"]).select(
+    return with_group(named, cut(groups), ["level", "name"], "group_size").select(
         "doc_id",
         "keep_id",
         "group_size",

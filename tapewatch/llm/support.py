@@ -50,6 +50,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """`rows`, each with the row of `groups` that has its `keys`; `size` counts the rows of a group.
+
+    `groups` has one row per key, keys hold no nulls, and no other column names are shared. The
+    `HOT_KEYS` largest groups are broadcast, so rows of a hot group stay where they are; of N rows at
+    most N / HOT_KEYS of any other group meet in one task. Both are read more than once: they should
+    be tables that were cut.
+    """
+    hot = F.broadcast(
+        groups.filter(F.col(size) > 1).orderBy(F.desc(size), *keys).limit(HOT_KEYS)
+    )
+    columns = [*rows.columns, *[name for name in groups.columns if name not in keys]]
+    here = rows.join(hot, keys).select(*columns)
+    others = rows.join(hot.select(*keys), keys, "left_anti")
+    return here.unionByName(others.join(groups, keys).select(*columns))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """`name`, lengthened until no column of `df` has it."""
     taken = {column.lower() for column in df.columns}

@@ -7,7 +7,7 @@ from collections import defaultdict
 
 import pytest
 
-from tapewatch.llm import exact_dedup
+from tapewatch.llm import exact_dedup, support
 from tapewatch.llm.exact_dedup import exact_duplicates
 
 
@@ -63,3 +63,17 @@ def test_all_bytes_decide(spark):
     rows = list(enumerate(texts))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(frame, block_bytes=2) == brute(rows)
+
+
+def test_rows_find_their_group_hot_or_not(spark, monkeypatch):
+    """Two groups are broadcast, the others are joined; ties and single rows lose nothing."""
+    monkeypatch.setattr(support, "HOT_KEYS", 2)
+    sizes = {("a", 1): 40, ("a", 2): 30, ("b", 1): 30, ("b", 2): 3, ("c", 1): 1, ("c", 2): 1}
+    keys = [key for key, size in sizes.items() for _ in range(size)]
+    rows = spark.createDataFrame([(*key, at) for at, key in enumerate(keys)], "x string, y int, at int")
+    groups = spark.createDataFrame([(*key, size) for key, size in sizes.items()], "x string, y int, size int")
+    found = support.with_group(rows, groups, ["x", "y"], "size")
+    assert found.columns == ["x", "y", "at", "size"]
+    assert sorted(map(tuple, found.collect())) == sorted((*key, at, sizes[key]) for at, key in enumerate(keys))
+    nothing = support.with_group(rows.limit(0), groups.limit(0), ["x", "y"], "size")
+    assert nothing.collect() == []
