@@ -788,7 +788,7 @@ def _compacted_stream(spark: SparkSession, sf_dir: str) -> str:
 
     def build(folder: str) -> str:
         source, out = f"{folder}/in", f"{folder}/out"
-        options_lines(spark, sf_dir).repartition(8).write.text(source)
+        options_lines(spark, sf_dir, parts=8).write.text(source)
         for files, least in ((2, 2), (1000, 1)):
             run = consumer.start_consumer(
                 spark, source, out, f"{folder}/checkpoint", max_files_per_trigger=files, log=True
@@ -826,9 +826,8 @@ def _delivered_twice(spark: SparkSession, sf_dir: str) -> str:
     """All events as JSON-lines files, and all again in other files."""
 
     def build(folder: str) -> str:
-        lines = options_lines(spark, sf_dir)
-        lines.write.option("maxRecordsPerFile", 1_000_000).text(folder)
-        lines.repartition(3).write.mode("append").text(folder)
+        options_lines(spark, sf_dir).write.option("maxRecordsPerFile", 1_000_000).text(folder)
+        options_lines(spark, sf_dir, parts=3).write.mode("append").text(folder)
         return folder
 
     return _once(spark, sf_dir, "twice", build)
@@ -860,7 +859,7 @@ def _rated_stream(spark: SparkSession, sf_dir: str) -> str:
     """Counts by symbol and hour of a stream whose files are in no order of time."""
 
     def build(folder: str) -> str:
-        options_lines(spark, sf_dir).repartition(6).write.text(f"{folder}/in")
+        options_lines(spark, sf_dir, parts=6).write.text(f"{folder}/in")
         for files in (2, 1000):
             stream = consumer.read_stream(spark, f"{folder}/in", files)
             run = rates.start_rates(stream, f"{folder}/out", f"{folder}/checkpoint", by="symbol")

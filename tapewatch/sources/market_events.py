@@ -26,9 +26,17 @@ def _faulty(modulus: int, fault: str, value: str) -> Column:
     return F.expr(f"case when e % {modulus} = 0 then {fault} else {value} end")
 
 
+def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that events are derived from.
+
+    They are a fraction of a line's bytes, so rows are sorted or dealt out here and not as lines.
+    """
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "value", "props")
+
+
 def options_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 16 raw fields, typed; a null symbol stands for an absent key."""
-    return project_events(spark.read.parquet(f"{sf_dir}/events.parquet")).select(*RAW_FIELDS)
+    return project_events(source_events(spark, sf_dir)).select(*RAW_FIELDS)
 
 
 def project_events(events: DataFrame) -> DataFrame:
@@ -87,9 +95,13 @@ def project_events(events: DataFrame) -> DataFrame:
     return steps.select(F.inline(F.array(row)))
 
 
-def options_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events as JSON lines (`value`); null fields become absent keys."""
-    lines = json_lines(options_events(spark, sf_dir), keep_nulls=False)
+def options_lines(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """The same events as JSON lines (`value`), dealt into `parts`; null fields become absent keys."""
+    events = source_events(spark, sf_dir)
+    if parts:
+        # by columns: dealt in turn, every task would sort its rows first
+        events = events.repartition(parts, "event_id", "ts", "user_id")
+    lines = json_lines(project_events(events).select(*RAW_FIELDS), keep_nulls=False)
     return lines.select(F.inline(F.array(F.struct("value"))))
 
 
