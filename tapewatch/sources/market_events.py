@@ -113,7 +113,7 @@ def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e, time = F.col("e"), F.col("event_timestamp")
     offset = F.when(e % 7 == 3, F.lit("+02:30")).when(e % 29 == 5, F.lit("-23:15")).otherwise("")
-    events = project_events(spark.read.parquet(f"{sf_dir}/events.parquet")).select(
+    events = project_events(source_events(spark, sf_dir).orderBy("event_id")).select(
         "e",
         F.when(e % 19 == 4, F.concat(F.lit("evt_"), e - 1)).otherwise(F.col("event_id")).alias("event_id"),
         F.when(time.endswith("p"), time).otherwise(F.concat(time, offset)).alias("event_timestamp"),
@@ -133,4 +133,4 @@ def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(whole)
     )
     blank = F.when(e % 23 == 0, F.lit("   "))
-    return line.orderBy("e").select(F.explode(F.array_compact(F.array(written, blank))).alias("value"))
+    return line.select(F.explode(F.array_compact(F.array(written, blank))).alias("value"))

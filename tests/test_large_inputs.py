@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from tapewatch.sources.market_events import options_lines
+from tapewatch.sources.market_events import dirty_lines, options_lines
 
 
 @pytest.fixture
@@ -25,6 +25,16 @@ def physical(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+def test_dirty_lines_are_sorted_before_they_are_written_out(spark, source):
+    lines = dirty_lines(spark, source)
+    text = physical(lines)
+    assert text.index("evt_") < text.index("Sort [") < text.index("Exchange rangepartitioning")
+    assert "evt_" not in text[text.index("Sort [") :]
+    ids = [row.value.partition('"event_id":"')[2].partition('"')[0] for row in lines.collect() if row.value.strip()]
+    numbers = [int(name.removeprefix("evt_")) for name in ids]
+    assert len(numbers) == 200 and all(later >= earlier - 1 for earlier, later in zip(numbers, numbers[1:]))
+
+
 def test_lines_are_dealt_out_before_they_are_written_out(spark, source):
     lines = options_lines(spark, source, parts=3)
     text = physical(lines)
