@@ -29,9 +29,9 @@ from tapewatch.operators.validate import (
     with_validation_errors,
 )
 from tapewatch.plans import backfill, batch, history, marts, metrics, outputs, reports, warehouse
-from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS
+from tapewatch.schema import DERIVED_FIELDS, ENRICHED_FIELDS, RAW_FIELDS
 from tapewatch.sources.jsonl import json_lines, parse_events, read_enriched, read_events, read_lines, write_jsonl
-from tapewatch.sources.market_events import dirty_lines, options_events, options_lines
+from tapewatch.sources.market_events import dirty_lines, options_events, options_lines, project_events, source_events
 from tapewatch.sources.tables import read_csv, write_csv, write_parquet
 from tapewatch.streaming import alerts, compaction, consumer, rates
 
@@ -116,10 +116,9 @@ def _loaded_in_input_order(spark: SparkSession, sf_dir: str) -> warehouse.Wareho
     """Tables loaded from lines that come latest event first and disagree about a contract's strike."""
 
     def build(folder: str) -> warehouse.Warehouse:
-        number = F.substring("event_id", 5, 20).cast("bigint")
-        strike = F.when(F.col("strike") > 0, F.col("strike") + number % 7).otherwise(F.col("strike"))
-        latest_first = options_events(spark, sf_dir).withColumn("strike", strike).orderBy(number.desc())
-        json_lines(latest_first, keep_nulls=False).write.text(f"{folder}/raw")
+        latest_first = project_events(source_events(spark, sf_dir).orderBy(F.desc("event_id")))
+        strike = F.when(F.col("strike") > 0, F.col("strike") + F.col("e") % 7).otherwise(F.col("strike"))
+        json_lines(latest_first.withColumn("strike", strike).select(*RAW_FIELDS), keep_nulls=False).write.text(f"{folder}/raw")
         batch.run_batch(spark, f"{folder}/raw", f"{folder}/layer")
         events = batch.read_valid(spark, f"{folder}/layer", with_order=True)
         warehouse.load_warehouse(events, f"{folder}/tables")
