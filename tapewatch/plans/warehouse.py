@@ -36,7 +36,7 @@ from tapewatch.schema import (
     WAREHOUSE_NULLABLE,
     warehouse_schema,
 )
-from tapewatch.sources.key_index import bucketed_keys, unheld, write_bucketed
+from tapewatch.sources.key_index import bucketed_keys, unheld, without_held, write_bucketed
 from tapewatch.sources.tables import counted
 
 TABLES = list(WAREHOUSE_COLUMNS)
@@ -54,8 +54,10 @@ LOAD_ID = "load_id"
 KEYS, FILES = "_keys", "_files"
 FILES_SCHEMA = "name string, first timestamp_ntz, last timestamp_ntz, rows bigint"
 
-#: Buckets of the keys of a new warehouse: about the keys' expected bytes / 128 MB.
+#: Least buckets of the keys of a new warehouse; its first load may ask for more.
 KEY_BUCKETS = 16
+#: Rows that a task sorts, about 0.1 GB of events. A batch of more is dealt out by its number of rows.
+TASK_ROWS = 200_000
 
 # Tables whose files are clustered by time; the others are small and bucketed by key themselves.
 TIME = "event_timestamp"
@@ -191,6 +193,26 @@ def table_delta(typed: DataFrame, held: DataFrame | None, table: str, buckets: i
     )
 
 
+def parts_of(rows: int) -> int:
+    """Tasks, or buckets of keys, of about `TASK_ROWS` rows."""
+    return max(KEY_BUCKETS, -(-rows // TASK_ROWS))
+
+
+def large_delta(typed: DataFrame, held: DataFrame | None, table: str, parts: int) -> DataFrame:
+    """As `table_delta`, for a batch of many rows into a table whose keys are near unique.
+
+    Rows move once: they are dealt into the buckets of `held`, whatever their number of copies, joined
+    there and then cut to the first per key. Without `held` they are dealt into `parts`.
+    """
+    keys = WAREHOUSE_KEYS[table]
+    dealt = _storable(table_input(typed, table), table).repartition(parts, *keys)
+    if held is not None:
+        dealt = without_held(dealt, held, keys)
+    return first_per_key(dealt, keys).select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in WAREHOUSE_COLUMNS[table]]
+    )
+
+
 def _row_id(keys: list[str]) -> Column:
     """A 128-bit id of a row's key."""
     first, *rest = [F.col(key) for key in keys]
@@ -226,8 +248,14 @@ def rejected_rows(typed: DataFrame) -> DataFrame:
     )
 
 
-def _write(warehouse: Warehouse, table: str, rows: DataFrame, load_id: str, buckets: int) -> tuple[str, int]:
-    """Writes rows of a load with their keys and file list; returns the attempt's name and their number."""
+def _write(
+    warehouse: Warehouse, table: str, rows: DataFrame, load_id: str, buckets: int, expected: int = 0
+) -> tuple[str, int]:
+    """Writes rows of a load with their keys and file list; returns the attempt's name and their number.
+
+    Where more than `TASK_ROWS` are `expected`, ranges of time are counted by them and not by Spark,
+    which measures compressed bytes: a task would sort several times as many.
+    """
     spark, keys = warehouse.spark, WAREHOUSE_KEYS[table]
     attempt = uuid.uuid4().hex
     folder = warehouse.folder(table, load_id, attempt)
@@ -235,7 +263,8 @@ def _write(warehouse: Warehouse, table: str, rows: DataFrame, load_id: str, buck
         out, observation = counted(rows)
         write_bucketed(out, folder, keys, buckets)
         return attempt, observation.get["rows"]
-    out, observation = counted(rows.repartitionByRange(TIME).sortWithinPartitions(TIME, "symbol"))
+    ranges = [parts_of(expected)] if expected > TASK_ROWS else []
+    out, observation = counted(rows.repartitionByRange(*ranges, TIME).sortWithinPartitions(TIME, "symbol"))
     out.write.parquet(folder)
     number = observation.get["rows"]
     if number:
@@ -277,12 +306,16 @@ def _without(warehouse: Warehouse, mine: Load, others: list[Load], buckets: int)
 
 def _prepared(warehouse: Warehouse, typed: DataFrame, load_id: str, state: State) -> Load:
     """A load against `state`, written but not committed."""
-    attempts, rows = {}, {}
+    attempts, rows, arrived = {}, {}, typed.count()
     for table in TABLES:
         with ExitStack() as stack:
             held = _held(stack, warehouse, table, state.loads.values(), state.buckets)
-            delta = _with_audit(table_delta(typed, held, table, state.buckets), table)
-            attempts[table], rows[table] = _write(warehouse, table, delta, load_id, state.buckets)
+            if table in TIMED and arrived > TASK_ROWS:
+                delta = large_delta(typed, held, table, parts_of(arrived) if held is None else state.buckets)
+            else:
+                delta = table_delta(typed, held, table, state.buckets)
+            delta = _with_audit(delta, table)
+            attempts[table], rows[table] = _write(warehouse, table, delta, load_id, state.buckets, arrived)
     attempts[REJECTS] = uuid.uuid4().hex
     rejected, observation = counted(rejected_rows(typed))
     rejected.write.parquet(warehouse.folder(REJECTS, load_id, attempts[REJECTS]))
@@ -301,12 +334,14 @@ class PreparedLoad:
 
 
 def prepare_load(
-    enriched: DataFrame, root: str, load_id: str, reset: bool = False, key_buckets: int = KEY_BUCKETS
+    enriched: DataFrame, root: str, load_id: str, reset: bool = False, key_buckets: int | None = None
 ) -> PreparedLoad | dict[str, int]:
     """Writes a load against the tables as they are now; the rows it inserted if it is committed already."""
     if not re.fullmatch(r"[\w.\-]+", load_id):
         raise ValueError("a load id has letters, digits, points, hyphens and underscores")
     warehouse = Warehouse(enriched.sparkSession, root)
+    if key_buckets is None:
+        key_buckets = KEY_BUCKETS if warehouse.log.state().buckets else parts_of(enriched.count())
     state = warehouse.create(reset, key_buckets)
     if load_id in state.loads:
         return _inserted(state.loads[load_id])
@@ -339,14 +374,15 @@ def load_warehouse(
     root: str,
     reset: bool = False,
     load_id: str | None = None,
-    key_buckets: int = KEY_BUCKETS,
+    key_buckets: int | None = None,
 ) -> dict[str, int]:
     """Merge enriched events into the four tables; returns the rows inserted into each.
 
     `load_id` names a delivery: once committed it is not loaded again, and the rows inserted then are
-    returned. The batch is read once per table with only that table's columns, so pass a
+    returned. The batch is counted, then read once per table with only that table's columns, so pass a
     Parquet-backed frame when it is large. Events that do not fit are written to `load_rejects`.
-    `key_buckets` is that of a new warehouse; an existing one keeps its own.
+    `key_buckets` is that of a new warehouse, by default for `TASK_ROWS` of this batch in each; an
+    existing one keeps its own.
     """
     prepared = prepare_load(enriched, root, load_id or uuid.uuid4().hex, reset, key_buckets)
     return commit_load(prepared) if isinstance(prepared, PreparedLoad) else prepared

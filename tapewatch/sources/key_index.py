@@ -65,3 +65,12 @@ def unheld(batch: DataFrame, held: DataFrame | None, keys: Sequence[str], bucket
     # an outer join: an anti join would be moved below the repartition and deal out `held` anew
     dealt = batch.repartition(buckets, *keys).join(found, list(keys), "left")
     return dealt.filter(F.col("_held").isNull()).drop("_held")
+
+
+def without_held(dealt: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of `dealt`, which lie in the buckets of `held`, whose key is not in `held`.
+
+    For batches too large for a broadcast: neither side moves, and `dealt` is computed once.
+    """
+    marked = dealt.join(held.withColumn("_held", F.lit(True)), list(keys), "left")
+    return marked.filter(F.col("_held").isNull()).drop("_held")
