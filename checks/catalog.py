@@ -539,7 +539,7 @@ def _raced_warehouse(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
     def build(folder: str) -> warehouse.Warehouse:
         first = batch_events(spark, sf_dir)
         home = warehouse.Warehouse(spark, folder)
-        home.create()
+        home.create(key_buckets=warehouse.parts_of(first.count()))
         slow = warehouse.prepare_load(first, folder, "slow")
         warehouse.load_warehouse(replayed_events(first.drop(*DERIVED_FIELDS)), folder, load_id="quick")
         warehouse.commit_load(slow)

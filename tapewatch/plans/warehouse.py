@@ -299,8 +299,13 @@ def _without(warehouse: Warehouse, mine: Load, others: list[Load], buckets: int)
                 continue
             schema = warehouse.schema(table)
             written = warehouse.spark.read.schema(schema).parquet(warehouse.folders(table, [mine])[0]).drop(LOAD_ID)
-            left = unheld(written, held, WAREHOUSE_KEYS[table], buckets).select(*written.columns)
-            attempts[table], rows[table] = _write(warehouse, table, left, mine.load_id, buckets)
+            keys, many = WAREHOUSE_KEYS[table], mine.rows[table]
+            if many > TASK_ROWS:
+                left = without_held(written.repartition(buckets, *keys), held, keys)
+            else:
+                left = unheld(written, held, keys, buckets)
+            left = left.select(*written.columns)
+            attempts[table], rows[table] = _write(warehouse, table, left, mine.load_id, buckets, many)
     return Load(mine.load_id, attempts, rows)
 
 

@@ -46,7 +46,7 @@ def load_all(spark, root, raced):
     return counts, contents(root, spark)
 
 
-@pytest.mark.parametrize("raced", [False])
+@pytest.mark.parametrize("raced", [False, True])
 def test_large_batches_load_the_rows_that_small_ones_do(spark, tmp_path, monkeypatch, raced):
     small = load_all(spark, f"{tmp_path}/small", raced)
     used = []
